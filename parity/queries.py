@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyhouse.adapters import Retail
+from tallyhouse.adapters import SOURCES, Retail
 from tallyhouse.functions import status_is
 from tallyhouse.operators import (
     activity,
@@ -496,12 +496,8 @@ def activity_daily_window(r: Retail) -> DataFrame:
 
 def _streamed(r: Retail, name: str, job: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Run ``job`` as a stream over the event files and read what it appended."""
-    spark = r.source("events").sparkSession
-    events = (
-        spark.readStream.schema(r.source("events").schema)
-        .option("pathGlobFilter", "events.parquet")
-        .parquet(r._folder)
-    )
+    spark = r.spark
+    events = read_stream(spark, r.folder, SOURCES["events"], pattern="events.parquet")
     folder = f"{checkpoint_dir(spark)}/stream-{name}-{uuid.uuid4().hex}"
     result = job(events)
     write_stream(result, f"{folder}/out", f"{folder}/state").awaitTermination()

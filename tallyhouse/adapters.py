@@ -34,6 +34,21 @@ def _days(count: Column | int) -> Column:
 
 OPENED = "1995-01-01"
 
+# Columns of the test tables; declared, so opening a table runs no job.
+SOURCES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,"
+    " o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double,"
+    " l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string,"
+    " l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
 
 class Retail(Mapping):
     """Lazily built domain tables over one folder of parquet files."""
@@ -43,8 +58,16 @@ class Retail(Mapping):
         self._folder = folder.rstrip("/")
         self._made: dict[str, DataFrame] = {}
 
+    @property
+    def spark(self) -> SparkSession:
+        return self._spark
+
+    @property
+    def folder(self) -> str:
+        return self._folder
+
     def source(self, name: str) -> DataFrame:
-        return self._spark.read.parquet(f"{self._folder}/{name}.parquet")
+        return self._spark.read.schema(SOURCES[name]).parquet(f"{self._folder}/{name}.parquet")
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._made:

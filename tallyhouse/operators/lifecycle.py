@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyhouse.sinks import Mode, write
@@ -16,13 +16,13 @@ TARGET_FILE_BYTES = 128 * 1024 * 1024
 
 
 def latest_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """The last row of each key by ``order``, found with an aggregate."""
-    keys = list(keys)
-    rest = [name for name in df.columns if name not in keys and name not in order]
-    latest = df.groupBy(*keys).agg(F.max(F.struct(*order, *rest)).alias("_row"))
-    return latest.select(
-        *[F.col(name) if name in keys else F.col(f"_row.{name}").alias(name) for name in df.columns]
-    )
+    """The last row of each key by ``order``.
+
+    The "first row" limit is applied before the shuffle as well, so a key
+    with many versions sends one row per task.
+    """
+    newest_first = Window.partitionBy(*keys).orderBy(*[F.desc(name) for name in order])
+    return df.withColumn("_place", F.row_number().over(newest_first)).filter("_place = 1").drop("_place")
 
 
 def scd2_merge(

@@ -1,23 +1,32 @@
 """Numbering, previous-row and running-balance jobs over long histories.
 
-A plain window puts every row of a key into one task. Here each key is cut
-into ordered slices (a day of events, or a fixed range of ids), the window
-runs inside a slice, and what a slice carries into the next one comes from a
-small aggregate with one row per slice.
+A window puts every row of a key into one task, which is right for the many
+keys with a short history and wrong for a key that holds a large share of
+the table. Keys are counted first. Ordinary keys take the plain window, at
+the cost of one shuffle. Hot keys are cut into ordered slices: the window
+runs inside a slice, and what a slice carries into the next one comes from
+an aggregate with one row per slice.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyhouse.session import materialise
+
 # Ids per slice and slices per group, as powers of two: with a unique id no
 # slice exceeds 2^14 rows and no group of slices exceeds 2^12.
 SLICE_BITS = 14
 GROUP_BITS = 12
 
+# A key is hot above this many rows and above 1/HOT_KEYS of the table, so
+# there are never more than HOT_KEYS hot keys.
+HOT_ROWS = 5_000_000
+HOT_KEYS = 10_000
+
 
 def _null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
     """Equi-join that also pairs NULL keys; the right key columns are dropped."""
@@ -28,7 +37,8 @@ def _null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str)
     for key in keys:
         equal = left[key].eqNullSafe(renamed[f"_r_{key}"])
         condition = equal if condition is None else condition & equal
-    return left.join(renamed, condition, how).drop(*[f"_r_{key}" for key in keys])
+    joined = left.join(renamed, condition, how)
+    return joined if how in ("left_semi", "left_anti") else joined.drop(*[f"_r_{key}" for key in keys])
 
 
 def dense_sequence(df: DataFrame, key: str, name: str, groups: Sequence[str] = ()) -> DataFrame:
@@ -72,61 +82,120 @@ def dense_sequence(df: DataFrame, key: str, name: str, groups: Sequence[str] = (
     )
 
 
-def _by_day(df: DataFrame, order: Sequence[str]) -> DataFrame:
-    return df.withColumn("_day", F.to_date(order[0]))
+def split_hot(
+    df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS
+) -> tuple[DataFrame, DataFrame | None]:
+    """Rows of ordinary keys, and rows of hot keys (None when no key is hot).
+
+    Counting combines on the map side. The hot keys are fewer than
+    ``HOT_KEYS`` by definition, which is what makes broadcasting them safe.
+    """
+    keys = list(keys)
+    rows = df.agg(F.count(F.lit(1))).scalar()
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    hot = counted.filter((F.col("_rows") > hot_rows) & (F.col("_rows") > rows / HOT_KEYS)).select(*keys)
+    found = hot.collect()
+    if not found:
+        return df, None
+    hot_keys = F.broadcast(df.sparkSession.createDataFrame(found, hot.schema))
+    return _null_safe(df, hot_keys, keys, "left_anti"), _null_safe(df, hot_keys, keys, "left_semi")
+
+
+def _sliced(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Number ordered slices of about equal size that cut through long keys.
+
+    The range takes the order columns in, so one key spreads over as many
+    slices as its rows need. Range bounds come from a sample, so the result
+    is written once and read by every later step.
+    """
+    slices = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(slices, *keys, *order)
+    return materialise(ranged.withColumn("_slice", F.spark_partition_id()))
 
 
 def previous_value(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, name: str
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    value: str,
+    name: str,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Value of the row before, per key; like ``lag`` over the whole history.
-
-    ``order`` starts with the event time and must be a total order per key.
-    """
+    """Value of the row before, per key (``lag``); ``order`` must be a total order per key."""
     keys = list(keys)
-    rows = _by_day(df, order)
-    inside = Window.partitionBy(*keys, "_day").orderBy(*order)
-    days = Window.partitionBy(*keys).orderBy("_day")
-
+    ordinary, hot = split_hot(df, keys, hot_rows)
+    whole = Window.partitionBy(*keys).orderBy(*order)
+    result = ordinary.withColumn(name, F.lag(value).over(whole))
+    if hot is None:
+        return result
+
+    rows = _sliced(hot, keys, order)
+    inside = Window.partitionBy(*keys, "_slice").orderBy(*order)
+    slices = Window.partitionBy(*keys).orderBy("_slice")
     carried = (
-        rows.groupBy(*keys, "_day")
+        rows.groupBy(*keys, "_slice")
         .agg(F.max_by(value, F.struct(*order)).alias("_last"))
-        .withColumn("_carried", F.lag("_last").over(days))
+        .withColumn("_carried", F.lag("_last").over(slices))
         .drop("_last")
     )
     local = rows.withColumn("_first", F.row_number().over(inside) == 1).withColumn(
         "_local", F.lag(value).over(inside)
     )
-    return (
-        _null_safe(local, carried, [*keys, "_day"], "inner")
-        .withColumn(name, F.when(F.col("_first"), F.col("_carried")).otherwise(F.col("_local")))
-        .drop("_day", "_first", "_local", "_carried")
+    joined = _null_safe(local, carried, [*keys, "_slice"], "inner").withColumn(
+        name, F.when(F.col("_first"), F.col("_carried")).otherwise(F.col("_local"))
     )
+    return result.unionByName(joined.select(*result.columns))
 
 
 def running_total(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, name: str
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    value: str,
+    name: str,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Inclusive running sum per key over the whole history."""
     keys = list(keys)
-    rows = _by_day(df, order)
-    inside = Window.partitionBy(*keys, "_day").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    days = Window.partitionBy(*keys).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
+    ordinary, hot = split_hot(df, keys, hot_rows)
+    whole = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    result = ordinary.withColumn(name, F.sum(value).over(whole))
+    if hot is None:
+        return result
+
+    rows = _sliced(hot, keys, order)
+    inside = Window.partitionBy(*keys, "_slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    slices = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     carried = (
-        rows.groupBy(*keys, "_day")
+        rows.groupBy(*keys, "_slice")
         .agg(F.sum(value).alias("_total"))
-        .withColumn("_carried", F.coalesce(F.sum("_total").over(days), F.lit(0)))
+        .withColumn("_carried", F.coalesce(F.sum("_total").over(slices), F.lit(0)))
         .drop("_total")
     )
+    local = rows.withColumn("_local", F.sum(value).over(inside))
+    joined = _null_safe(local, carried, [*keys, "_slice"], "inner").withColumn(
+        name, F.col("_carried") + F.col("_local")
+    )
+    return result.unionByName(joined.select(*result.columns))
+
+
+def _balance(df: DataFrame, change: str, unclamped: Column, low: Column, low_before: Column) -> DataFrame:
+    """Balances from the unclamped sum and its lowest value up to and before each row."""
+    floor, floor_before = F.least(F.lit(0), low), F.least(F.lit(0), low_before)
     return (
-        _null_safe(rows.withColumn("_local", F.sum(value).over(inside)), carried, [*keys, "_day"], "inner")
-        .withColumn(name, F.col("_carried") + F.col("_local"))
-        .drop("_day", "_local", "_carried")
+        df.withColumn("quantity_before", unclamped - F.col(change) - floor_before)
+        .withColumn("quantity_after", unclamped - floor)
+        .withColumn("applied_change", F.col("quantity_after") - F.col("quantity_before"))
     )
 
 
 def clamped_balance(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], change: str, opening: str
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    change: str,
+    opening: str,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Running balance that never goes below zero.
 
@@ -138,32 +207,46 @@ def clamped_balance(
     Adds quantity_before, quantity_after and applied_change.
     """
     keys = list(keys)
-    rows = _by_day(df, order)
-    ordered = Window.partitionBy(*keys, "_day").orderBy(*order)
-    upto = ordered.rowsBetween(Window.unboundedPreceding, 0)
-    before = ordered.rowsBetween(Window.unboundedPreceding, -1)
-    days = Window.partitionBy(*keys).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
-
-    local = (
-        rows.withColumn("_sum", F.sum(change).over(upto))
-        .withColumn("_low", F.min("_sum").over(upto))
-        .withColumn("_low_before", F.min("_sum").over(before))
-    )
+    ordinary, hot = split_hot(df, keys, hot_rows)
+    columns = [*df.columns, "quantity_before", "quantity_after", "applied_change"]
+
+    def sums(rows: DataFrame, window) -> DataFrame:
+        upto = window.rowsBetween(Window.unboundedPreceding, 0)
+        before = window.rowsBetween(Window.unboundedPreceding, -1)
+        return (
+            rows.withColumn("_sum", F.sum(change).over(upto))
+            .withColumn("_low", F.min("_sum").over(upto))
+            .withColumn("_low_before", F.min("_sum").over(before))
+        )
+
+    start = F.col(opening)
+    plain = _balance(
+        sums(ordinary, Window.partitionBy(*keys).orderBy(*order)),
+        change,
+        start + F.col("_sum"),
+        start + F.col("_low"),
+        start + F.col("_low_before"),
+    ).select(*columns)
+    if hot is None:
+        return plain
+
+    rows = _sliced(hot, keys, order)
+    local = sums(rows, Window.partitionBy(*keys, "_slice").orderBy(*order))
+    slices = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     carried = (
-        local.groupBy(*keys, "_day")
-        .agg(F.sum(change).alias("_total"), F.min("_sum").alias("_day_low"))
-        .withColumn("_start", F.coalesce(F.sum("_total").over(days), F.lit(0)))
-        .withColumn("_carried_low", F.min(F.col("_start") + F.col("_day_low")).over(days))
-        .drop("_total", "_day_low")
-    )
-    unclamped = F.col(opening) + F.col("_start") + F.col("_sum")
-    carried_low = F.col(opening) + F.col("_carried_low")
-    low = F.least(F.lit(0), carried_low, F.col(opening) + F.col("_start") + F.col("_low"))
-    low_before = F.least(F.lit(0), carried_low, F.col(opening) + F.col("_start") + F.col("_low_before"))
-    return (
-        _null_safe(local, carried, [*keys, "_day"], "inner")
-        .withColumn("quantity_before", unclamped - F.col(change) - low_before)
-        .withColumn("quantity_after", unclamped - low)
-        .withColumn("applied_change", F.col("quantity_after") - F.col("quantity_before"))
-        .drop("_day", "_sum", "_low", "_low_before", "_start", "_carried_low")
+        local.groupBy(*keys, "_slice")
+        .agg(F.sum(change).alias("_total"), F.min("_sum").alias("_slice_low"))
+        .withColumn("_start", F.coalesce(F.sum("_total").over(slices), F.lit(0)))
+        .withColumn("_carried_low", F.min(F.col("_start") + F.col("_slice_low")).over(slices))
+        .drop("_total", "_slice_low")
     )
+    base = start + F.col("_start")
+    carried_low = start + F.col("_carried_low")
+    sliced = _balance(
+        _null_safe(local, carried, [*keys, "_slice"], "inner"),
+        change,
+        base + F.col("_sum"),
+        F.least(carried_low, base + F.col("_low")),
+        F.least(carried_low, base + F.col("_low_before")),
+    ).select(*columns)
+    return plain.unionByName(sliced)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -59,21 +59,17 @@ def clean_orders(df: DataFrame) -> DataFrame:
 def clean_order_items(df: DataFrame, tie_break: Sequence[str] | None = None) -> DataFrame:
     """Drops items without order or product and keeps one row per pair.
 
-    The survivor is the smallest row by ``tie_break`` (default: id, or all
-    other columns), so a rerun keeps the same row. It is found with an
-    aggregate, which combines before the shuffle, rather than a window.
+    The survivor is the first row by ``tie_break`` (default: id, or all other
+    columns), so a rerun keeps the same row. Spark pushes the "first row"
+    limit below the shuffle, so a pair repeated many times sends one row per
+    task.
     """
     keys = ["order_id", "product_id"]
     typed = df.withColumns({"unit_price": money("unit_price"), "amount": money("amount")})
     rest = [name for name in typed.columns if name not in keys]
-    first = list(tie_break) if tie_break else [name for name in ("id",) if name in rest]
-    ordered = first + [name for name in rest if name not in first]
-    survivors = (
-        typed.dropna(subset=keys).groupBy(*keys).agg(F.min(F.struct(*ordered)).alias("_row"))
-    )
-    return survivors.select(
-        *[F.col(name) if name in keys else F.col(f"_row.{name}").alias(name) for name in typed.columns]
-    )
+    order = list(tie_break) if tie_break else (["id"] if "id" in rest else rest)
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    return typed.dropna(subset=keys).withColumn("_place", place).filter("_place = 1").drop("_place")
 
 
 def clean_status_history(df: DataFrame) -> DataFrame:

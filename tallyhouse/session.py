@@ -22,6 +22,10 @@ RUNTIME_SETTINGS = {
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
 }
 
+# Set when a session is created. Recording a Python call site for every
+# column expression costs more than the rest of building a plan.
+START_SETTINGS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
 
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a session and return it."""
@@ -36,7 +40,7 @@ def start(app_name: str = "tallyhouse", master: str | None = None, **conf: str)
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in conf.items():
+    for key, value in (START_SETTINGS | conf).items():
         builder = builder.config(key, value)
     return tune(builder.getOrCreate())
 

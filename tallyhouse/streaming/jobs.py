@@ -14,9 +14,20 @@ from tallyhouse.operators.carts import IDLE_DAYS
 LATENESS = "1 day"
 
 
-def read_stream(spark: SparkSession, path: str, schema: T.StructType | str, max_files: int = 1000) -> DataFrame:
+def read_stream(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | str,
+    max_files: int = 1000,
+    pattern: str = "*.parquet",
+) -> DataFrame:
     """New parquet files of a folder as a stream."""
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(path)
+    return (
+        spark.readStream.schema(schema)
+        .option("maxFilesPerTrigger", max_files)
+        .option("pathGlobFilter", pattern)
+        .parquet(path)
+    )
 
 
 def timed(events: DataFrame, lateness: str) -> DataFrame:
