@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyhouse.sinks import Mode, write
+from tallyhouse.sources.layers import drop_partition, partition_values
 
 # Days kept per layer.
 RETENTION_DAYS = {"raw": 30, "silver": 90, "gold": 365, "quarantine": 14}
@@ -82,21 +84,11 @@ def expire_partitions(spark: SparkSession, path: str, column: str, layer: str, a
     Works on the directory listing alone; no data is read. Returns the
     dropped values.
     """
-    cutoff = spark.range(1).select(
-        F.date_sub(F.lit(as_of).cast("date"), RETENTION_DAYS[layer]).cast("string").alias("day")
-    ).first().day
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    root = hadoop.Path(path)
-    files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    dropped = []
-    for status in files.listStatus(root):
-        name = status.getPath().getName()
-        if status.isDirectory() and name.startswith(f"{column}="):
-            value = name.split("=", 1)[1]
-            if value < cutoff:
-                files.delete(status.getPath(), True)
-                dropped.append(value)
-    return sorted(dropped)
+    cutoff = (date.fromisoformat(as_of) - timedelta(days=RETENTION_DAYS[layer])).isoformat()
+    expired = [value for value in partition_values(spark, path, column) if value < cutoff]
+    for value in expired:
+        drop_partition(spark, path, column, value)
+    return expired
 
 
 def compact(

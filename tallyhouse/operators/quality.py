@@ -45,10 +45,12 @@ def freshness(df: DataFrame, table: str, ds: str, column: str = "created_at") ->
 
 def row_count_drift(source: DataFrame, target: DataFrame, table: str, ds: str) -> DataFrame:
     """Source and target row counts, their relative drift and the verdict."""
-    sides = source.agg(F.count(F.lit(1)).alias("source_rows")).withColumn("_side", F.lit(1))
-    loaded = target.agg(F.count(F.lit(1)).alias("target_rows")).withColumn("_side", F.lit(1))
+    tagged = source.select(F.lit(True).alias("_source")).unionAll(target.select(F.lit(False).alias("_source")))
+    counted = tagged.agg(
+        F.count_if("_source").alias("source_rows"), F.count_if(~F.col("_source")).alias("target_rows")
+    )
     drift = F.abs(F.col("source_rows") - F.col("target_rows"))
-    return sides.join(loaded, "_side").select(
+    return counted.select(
         F.lit(table).alias("table_name"),
         F.lit(ds).alias("ds"),
         "source_rows",

@@ -25,6 +25,7 @@ from tallyhouse.sources import (
     incremental_by_change,
     is_empty,
     layer_path,
+    partition_values,
     read_layer,
     with_audit,
 )
@@ -71,15 +72,14 @@ def silver_view(spark: SparkSession, name: str, root: str) -> DataFrame:
     """Current rows of a silver table: the last ingested version of every key.
 
     Snapshot tables repeat in full each day, so for them only the newest
-    batch is read; the day is known from the partition list and prunes the
-    scan.
+    batch is read; its day comes from the directory listing.
     """
     spec = lookup(name)
     rows = read_layer(spark, root, "silver", name)
     if spec.mode == INCREMENTAL:
         return latest_by_key(rows, spec.key, ["ingestion_date", "processed_at"])
-    newest = rows.agg(F.max("ingestion_date")).scalar()
-    return rows.filter(F.col("ingestion_date") == newest)
+    newest = partition_values(spark, layer_path(root, "silver", name), "ingestion_date")[-1]
+    return batch(rows, newest)
 
 
 def stamp(df: DataFrame, ds: str) -> DataFrame:

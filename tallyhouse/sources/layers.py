@@ -21,3 +21,23 @@ def read_layer(spark: SparkSession, root: str, layer: str, name: str) -> DataFra
 
 def read_tables(spark: SparkSession, root: str, layer: str, names: Iterable[str]) -> dict[str, DataFrame]:
     return {name: read_layer(spark, root, layer, name) for name in names}
+
+
+def _folder(spark: SparkSession, path: str):
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return root, root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
+    """Values of the first partition column, from the directory listing alone."""
+    root, files = _folder(spark, path)
+    if not files.exists(root):
+        return []
+    names = [status.getPath().getName() for status in files.listStatus(root) if status.isDirectory()]
+    prefix = f"{column}="
+    return sorted(name[len(prefix) :] for name in names if name.startswith(prefix))
+
+
+def drop_partition(spark: SparkSession, path: str, column: str, value: str) -> None:
+    root, files = _folder(spark, f"{path}/{column}={value}")
+    files.delete(root, True)
