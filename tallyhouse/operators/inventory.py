@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse.functions import or_zero
 from tallyhouse.operators.sequence import clamped_balance, running_total
-from tallyhouse.operators.skew import present_in, salted_join
+from tallyhouse.operators.skew import key_sizes, present_in, salted_join
 
 # Fixed values of a seeded stock row.
 SEED_SAFETY_STOCK = 10
@@ -73,7 +73,8 @@ def demand_cover(items: DataFrame, inventory: DataFrame, order: tuple[str, ...]
     """Running demand per product in order of arrival against the opening stock."""
     demand = running_total(items, ["product_id"], order, "quantity", "running_demand")
     stock = stock_by_product(inventory).select("product_id", "total_stock")
-    return salted_join(demand, stock, "product_id").withColumn(
+    sizes = key_sizes(items, ["product_id"])
+    return salted_join(demand, stock, "product_id", sizes=sizes).withColumn(
         "covered", F.col("running_demand") <= or_zero("total_stock")
     )
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.functions import money
-from tallyhouse.operators.skew import salted_join
+from tallyhouse.operators.skew import key_sizes, salted_join
 from tallyhouse.operators.validation import Rule, validate
 
 # Fixed value: the highest percentage a discount may grant.
@@ -43,25 +43,25 @@ def discounts_in_force(orders: DataFrame, discount: DataFrame) -> DataFrame:
     only inside matching days. Orders without any discount are kept.
     """
     days = F.explode(F.sequence(F.to_date("start_date"), F.to_date("end_date")))
-    periods = discount.filter(
-        F.col("is_active") & (F.col("start_date") <= F.col("end_date"))
-    ).select(F.col("id").alias("discount_id"), "value", "start_date", "end_date", days.alias("_day"))
+    periods = discount.filter(F.col("is_active") & (F.col("start_date") <= F.col("end_date"))).select(
+        F.col("id").alias("discount_id"), "value", "start_date", "end_date", days.alias("_valid_day")
+    )
     dated = orders.select(F.col("id").alias("order_id"), "order_date", F.to_date("order_date").alias("_day"))
-    matches = (
-        dated.join(periods, "_day")
-        .filter((F.col("start_date") <= F.col("order_date")) & (F.col("order_date") <= F.col("end_date")))
-        .groupBy("order_id")
-        .agg(
-            F.count(F.lit(1)).alias("discounts"),
-            F.max(F.struct("value", (-F.col("discount_id")).alias("_id"))).alias("_best"),
-        )
+    inside = (
+        (F.col("_day") == F.col("_valid_day"))
+        & (F.col("start_date") <= F.col("order_date"))
+        & (F.col("order_date") <= F.col("end_date"))
+    )
+    best = F.max(
+        F.when(F.col("discount_id").isNotNull(), F.struct("value", (-F.col("discount_id")).alias("_id")))
     )
     return (
-        orders.select(F.col("id").alias("order_id"))
-        .join(matches, "order_id", "left")
+        dated.join(periods, inside, "left")
+        .groupBy("order_id")
+        .agg(F.count("discount_id").alias("discounts"), best.alias("_best"))
         .select(
             "order_id",
-            F.coalesce("discounts", F.lit(0)).alias("discounts"),
+            "discounts",
             (-F.col("_best._id")).alias("best_discount_id"),
             F.col("_best.value").alias("best_value"),
         )
@@ -76,7 +76,7 @@ def discount_split(items: DataFrame, orders: DataFrame, discount: DataFrame) ->
     a discount of 0.
     """
     terms = discount.select(F.col("id").alias("discount_id"), "discount_type", "value")
-    per_order = items.groupBy("order_id").agg(F.count(F.lit(1)).alias("_lines"))
+    per_order = key_sizes(items, ["order_id"])
     order_terms = (
         orders.select(F.col("id").alias("order_id"), "discount_id")
         .join(terms, "discount_id", "left")
@@ -85,12 +85,12 @@ def discount_split(items: DataFrame, orders: DataFrame, discount: DataFrame) ->
     line = F.col("unit_price") * F.col("quantity")
     share = (
         F.when(F.col("discount_type") == "%", F.round(line * F.col("value") / 100, 2))
-        .when(F.col("discount_type") == "fixed", F.round(F.col("value") / F.col("_lines"), 2))
+        .when(F.col("discount_type") == "fixed", F.round(F.col("value") / F.col("_rows"), 2))
         .otherwise(F.lit(0))
     )
     return (
-        salted_join(items, order_terms, "order_id", "inner")
+        salted_join(items, order_terms, "order_id", "inner", sizes=per_order)
         .withColumn("discount_amount", money(share))
         .withColumn("amount", money(F.greatest(line - F.col("discount_amount"), F.lit(0))))
-        .drop("_lines", "value")
+        .drop("_rows", "value")
     )

@@ -27,9 +27,10 @@ def unique_reviews(reviews: DataFrame, order: Sequence[str] = ("created_at", "id
 
 def validate_reviews(reviews: DataFrame) -> DataFrame:
     """Mark every active review but the first (lowest id) of its key as rejected."""
-    first = reviews.filter("is_active").groupBy(*KEY).agg(F.min("id").alias("_first_id"))
+    active_id = F.when(F.col("is_active"), F.col("id"))
+    per_key = reviews.groupBy(*KEY).agg(F.min(active_id).alias("_first_id"), F.count(F.lit(1)).alias("_rows"))
     judged = validate(
-        salted_join(reviews, first, KEY),
+        salted_join(reviews, per_key.drop("_rows"), KEY, sizes=per_key),
         [Rule("already_reviewed", ~F.col("is_active") | (F.col("id") == F.col("_first_id")))],
     )
     return judged.drop("_first_id")

@@ -15,6 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyhouse.operators.skew import hot_keys
 from tallyhouse.session import materialise
 
 # Ids per slice and slices per group, as powers of two: with a unique id no
@@ -22,10 +23,8 @@ from tallyhouse.session import materialise
 SLICE_BITS = 14
 GROUP_BITS = 12
 
-# A key is hot above this many rows and above 1/HOT_KEYS of the table, so
-# there are never more than HOT_KEYS hot keys.
+# Rows of one key that a single task should still sort.
 HOT_ROWS = 5_000_000
-HOT_KEYS = 10_000
 
 
 def _null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
@@ -87,18 +86,17 @@ def split_hot(
 ) -> tuple[DataFrame, DataFrame | None]:
     """Rows of ordinary keys, and rows of hot keys (None when no key is hot).
 
-    Counting combines on the map side. The hot keys are fewer than
-    ``HOT_KEYS`` by definition, which is what makes broadcasting them safe.
+    The list of hot keys is short by definition, see
+    :func:`tallyhouse.operators.skew.hot_keys`, so it may be looked at here
+    and broadcast.
     """
     keys = list(keys)
-    rows = df.agg(F.count(F.lit(1))).scalar()
-    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    hot = counted.filter((F.col("_rows") > hot_rows) & (F.col("_rows") > rows / HOT_KEYS)).select(*keys)
+    hot = hot_keys(df, keys, hot_rows)
     found = hot.collect()
     if not found:
         return df, None
-    hot_keys = F.broadcast(df.sparkSession.createDataFrame(found, hot.schema))
-    return _null_safe(df, hot_keys, keys, "left_anti"), _null_safe(df, hot_keys, keys, "left_semi")
+    listed = F.broadcast(df.sparkSession.createDataFrame(found, hot.schema))
+    return _null_safe(df, listed, keys, "left_anti"), _null_safe(df, listed, keys, "left_semi")
 
 
 def _sliced(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

@@ -13,7 +13,31 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SALTS = 8
+# A key is hot above this many rows and above 1/HOT_KEYS of its table, so a
+# table never has more than HOT_KEYS hot keys. That bound is what makes
+# broadcasting the list of hot keys safe at any size.
+HOT_ROWS = 1_000_000
+HOT_KEYS = 10_000
+# Tasks over which the rows of one hot key are spread.
+SALTS = 64
+
+
+def key_sizes(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows per key as ``_rows``; counts combine before the shuffle."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+
+
+def hot_keys(
+    df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS, sizes: DataFrame | None = None
+) -> DataFrame:
+    """The hot keys of a table, at most ``HOT_KEYS`` rows."""
+    if sizes is None:
+        counted, total = key_sizes(df, keys), df.agg(F.count(F.lit(1))).scalar()
+    else:
+        counted, total = sizes, sizes.agg(F.sum("_rows")).scalar()
+    return counted.filter(
+        (F.col("_rows") > hot_rows) & (F.col("_rows") > total / HOT_KEYS)
+    ).select(*keys)
 
 
 def salted_join(
@@ -21,20 +45,28 @@ def salted_join(
     keyed: DataFrame,
     on: str | Sequence[str],
     how: str = "left",
-    salts: int = SALTS,
+    sizes: DataFrame | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Join a fact to one-row-per-key data, spreading each key over ``salts`` tasks.
+    """Join a fact to one-row-per-key data, spreading the rows of hot keys.
 
-    The salt is a hash of the fact row, so a retried task sends every row to
-    the same place. ``keyed`` is repeated ``salts`` times, which is why it
-    must be the small side; only joins that keep the fact side are allowed.
+    Only hot keys are salted: their fact rows get one of ``SALTS`` numbers
+    and their ``keyed`` row is repeated once per number. All other keys join
+    as they are. The salt is a hash of the fact row, so a retried task sends
+    every row to the same place. ``sizes`` (keys and ``_rows``) saves the
+    count when the caller has it or can take it from a cheaper table.
     """
     if how not in ("left", "inner", "left_semi", "left_anti"):
         raise ValueError(f"salted_join keeps the fact side only, got {how!r}")
     keys = [on] if isinstance(on, str) else list(on)
-    salted_fact = fact.withColumn("_salt", F.pmod(F.xxhash64(*fact.columns), F.lit(salts)).cast("int"))
-    repeated = keyed.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted_fact.join(repeated, [*keys, "_salt"], how).drop("_salt")
+    hot = F.broadcast(hot_keys(fact, keys, hot_rows, sizes).withColumn("_hot", F.lit(True)))
+    salt = F.pmod(F.xxhash64(*fact.columns), F.lit(SALTS)).cast("int")
+    last = F.when(F.col("_hot"), SALTS - 1).otherwise(0)
+    salted = fact.join(hot, keys, "left").withColumn("_salt", F.when(F.col("_hot"), salt).otherwise(0)).drop("_hot")
+    repeated = (
+        keyed.join(hot, keys, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), last))).drop("_hot")
+    )
+    return salted.join(repeated, [*keys, "_salt"], how).drop("_salt")
 
 
 def _distinct_keys(right: DataFrame, pairs: dict[str, str]) -> DataFrame:

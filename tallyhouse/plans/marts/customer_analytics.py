@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.functions import count_where, half_up, money, or_zero, status_is
-from tallyhouse.plans.marts.shared import Tables, day, items_per_order
+from tallyhouse.plans.marts.shared import Tables, day, order_lines
 
 
 def customer_analytics(tables: Tables, as_of: str) -> DataFrame:
@@ -16,7 +16,7 @@ def customer_analytics(tables: Tables, as_of: str) -> DataFrame:
     customers, so a customer with a large share of the rows is combined on
     the map side.
     """
-    items = items_per_order(tables["order_items"]).select("order_id", "items_sold")
+    items = order_lines(tables).select("order_id", "items_sold")
     orders = (
         tables["orders"]
         .select(F.col("id").alias("order_id"), "customer_id", "total_price", F.to_date("order_date").alias("_day"))

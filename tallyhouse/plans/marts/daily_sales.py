@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.functions import count_where, half_up, money, or_zero, status_is
-from tallyhouse.plans.marts.shared import Tables, customer_places, items_per_order
+from tallyhouse.plans.marts.shared import Tables, customer_places, order_lines
 
 
 def daily_sales(tables: Tables, as_of: str | None = None) -> DataFrame:
@@ -30,7 +30,7 @@ def daily_sales(tables: Tables, as_of: str | None = None) -> DataFrame:
         "profit",
     )
     enriched = (
-        orders.join(items_per_order(tables["order_items"]), "order_id", "left")
+        orders.join(order_lines(tables), "order_id", "left")
         .join(returns, "order_id", "left")
         .join(customer_places(tables), "customer_id", "left")
     )

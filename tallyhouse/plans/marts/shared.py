@@ -54,3 +54,9 @@ def items_per_order(items: DataFrame) -> DataFrame:
         F.sum("quantity").alias("items_sold"),
         F.sum(F.coalesce("discount_amount", F.lit(0))).alias("items_discount"),
     )
+
+
+def order_lines(tables: Tables) -> DataFrame:
+    """Order-grain item sums; a run that builds several marts may share them."""
+    shared = tables.get("items_per_order")
+    return items_per_order(tables["order_items"]) if shared is None else shared

@@ -17,10 +17,12 @@ from tallyhouse.operators.lifecycle import latest_by_key
 from tallyhouse.operators.silver import clean, with_lineage
 from tallyhouse.operators.validation import Rule, accepted, quarantined, validate
 from tallyhouse.plans.marts import MARTS, mart
-from tallyhouse.session import tune
+from tallyhouse.plans.marts.shared import items_per_order
+from tallyhouse.session import materialise, tune
 from tallyhouse.sinks import Mode, write
 from tallyhouse.sources import (
     batch,
+    drop_partition,
     filter_day,
     incremental_by_change,
     is_empty,
@@ -30,6 +32,9 @@ from tallyhouse.sources import (
     with_audit,
 )
 
+# Marts that start from the order-grain item sums.
+SHARE_ITEMS = {"daily_sales_mart", "customer_analytics_mart"}
+
 
 def extract(name: str, source: DataFrame, ds: str) -> DataFrame:
     """One table's rows for the batch: the day for facts, everything otherwise."""
@@ -58,14 +63,25 @@ def key_rules(name: str) -> list[Rule]:
 
 def load_silver(spark: SparkSession, name: str, root: str, ds: str, rules: Iterable[Rule] | None = None) -> None:
     """Clean one raw batch; rejected rows go to quarantine with their reason."""
+    spec = lookup(name)
     raw = batch(read_layer(spark, root, "raw", name), ds)
     rules = list(rules) if rules is not None else key_rules(name)
     judged = validate(raw, rules)
     cleaned = with_lineage(clean(name, accepted(judged)), f"raw.{name}")
-    write(cleaned, layer_path(root, "silver", name), Mode.PARTITIONS, ["ingestion_date"], cluster=False)
-    rejected = quarantined(judged)
+    order = spec.partition_column or spec.event_time
+    write(
+        cleaned,
+        layer_path(root, "silver", name),
+        Mode.PARTITIONS,
+        ["ingestion_date"],
+        cluster=False,
+        sort_by=[order] if order in cleaned.columns else (),
+    )
+    rejected, bin_path = quarantined(judged), layer_path(root, "quarantine", name)
     if not is_empty(rejected):
-        write(rejected, layer_path(root, "quarantine", name), Mode.PARTITIONS, ["ingestion_date"], cluster=False)
+        write(rejected, bin_path, Mode.PARTITIONS, ["ingestion_date"], cluster=False)
+    elif ds in partition_values(spark, bin_path, "ingestion_date"):
+        drop_partition(spark, bin_path, "ingestion_date", ds)
 
 
 def silver_view(spark: SparkSession, name: str, root: str) -> DataFrame:
@@ -105,13 +121,17 @@ def run_day(
 ) -> None:
     """Load every given source table, then build the marts from silver.
 
-    All marts read the same silver tables in one session. Nothing is pinned
-    in memory: silver is columnar and each mart reads only its columns.
+    All marts read the same silver tables in one session. The order-grain
+    item sums that several marts use are written once to the checkpoint
+    folder; nothing is pinned in executor memory.
     """
     tune(spark)
     for name, source in sources.items():
         if load_raw(name, source, root, ds):
             load_silver(spark, name, root, ds)
     tables = {name: silver_view(spark, name, root) for name in sources if name in TABLES}
+    marts = list(marts)
+    if "order_items" in tables and len(SHARE_ITEMS.intersection(marts)) > 1:
+        tables["items_per_order"] = materialise(items_per_order(tables["order_items"]))
     for name in marts:
         load_mart(name, tables, root, ds)

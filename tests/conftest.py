@@ -21,6 +21,7 @@ def spark(tmp_path_factory):
         **{
             "spark.sql.shuffle.partitions": "4",
             "spark.ui.enabled": "false",
+            "spark.sql.maxMetadataStringLength": "1000",
             "spark.ui.showConsoleProgress": "false",
             "spark.checkpoint.dir": str(folder / "checkpoints"),
             "spark.sql.warehouse.dir": str(folder / "warehouse"),

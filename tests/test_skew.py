@@ -1,8 +1,9 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
-from tallyhouse.operators.skew import absent_from, present_in, salted_join
+from tallyhouse.operators.skew import absent_from, hot_keys, present_in, salted_join
 
 
 @pytest.fixture(scope="module")
@@ -12,21 +13,39 @@ def sides(spark):
     return fact, keyed
 
 
+@pytest.mark.parametrize("hot_rows", [10, 1000], ids=["hot", "none hot"])
 @pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
-def test_salted_join_equals_join(sides, rows, how):
+def test_salted_join_equals_join(sides, rows, how, hot_rows):
     fact, keyed = sides
-    assert rows(salted_join(fact, keyed, "k", how)) == rows(fact.join(keyed, "k", how))
+    joined = salted_join(fact, keyed, "k", how, hot_rows=hot_rows)
+    assert rows(joined) == rows(fact.join(keyed, "k", how))
 
 
-def test_salted_join_spreads_a_hot_key(sides):
+def test_only_hot_keys_are_listed(sides, rows):
+    fact, _ = sides
+    assert rows(hot_keys(fact, ["k"], 10)) == [(1,)]
+    assert hot_keys(fact, ["k"], 1000).count() == 0
+
+
+def test_null_and_composite_keys(spark, rows):
+    fact = spark.createDataFrame([(1, "a", n) for n in range(50)] + [(None, "a", 1), (2, None, 2)], "k long, s string, v int")
+    keyed = spark.createDataFrame([(1, "a", "x"), (None, "a", "y"), (2, None, "z")], "k long, s string, name string")
+    joined = salted_join(fact, keyed, ["k", "s"], hot_rows=10)
+    assert rows(joined) == rows(fact.join(keyed, ["k", "s"], "left"))
+
+
+def test_a_hot_key_reaches_many_tasks(sides):
     fact, keyed = sides
-    fact.sparkSession.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark = fact.sparkSession
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        joined = salted_join(fact.filter("k = 1"), keyed, "k")
-        plan = joined._jdf.queryExecution().executedPlan().toString()
-        assert "hashpartitioning(k" in plan and "_salt" in plan
+        joined = salted_join(fact.filter("k = 1"), keyed, "k", hot_rows=10)
+        spread = joined.groupBy(F.spark_partition_id().alias("task")).count()
+        assert spread.count() == int(spark.conf.get("spark.sql.shuffle.partitions"))
     finally:
-        fact.sparkSession.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
 def test_salted_join_refuses_to_keep_the_repeated_side(sides):
