@@ -2,7 +2,9 @@
 
 Environment: BENCH_SF_DIR (folder of parquet tables), BENCH_CPUS (local threads).
 Every result row is produced and thrown away, so whole plans are timed
-without the cost of collecting.
+without the cost of collecting. Each query runs twice: "queries" holds the
+second, warm time and "first_run" the first one, which includes class
+loading and code generation.
 """
 
 from __future__ import annotations
@@ -26,7 +28,7 @@ HEADLINE = (
     "cart_analytics",
     "customer_retention",
     "return_analysis",
-    "top_reasons",
+    "top_return_reasons",
     "kpi_orders",
     "kpi_inventory_turnover",
     "silver_orders",
@@ -65,8 +67,7 @@ def main() -> None:
         run[name](spark, folder).write.format("noop").mode("overwrite").save()
         return round(time.perf_counter() - began, 3)
 
-    # One untimed run warms up the JVM and the code generator.
-    seconds(HEADLINE[0])
+    first = {name: seconds(name) for name in HEADLINE}
     timings = {name: seconds(name) for name in HEADLINE}
     scale = re.search(r"sf([0-9.]+)", folder)
     print(
@@ -76,6 +77,7 @@ def main() -> None:
                 "value": round(sum(timings.values()), 3),
                 "unit": "sec",
                 "queries": timings,
+                "first_run": first,
                 "sf": float(scale.group(1)) if scale else None,
             }
         )

@@ -32,7 +32,7 @@ from tallyhouse.plans import kpis
 from tallyhouse.plans.marts import build
 from tallyhouse.plans.marts.customer_retention import customer_retention as retention_mart
 from tallyhouse.plans.marts.daily_sales import daily_sales as sales_mart
-from tallyhouse.plans.marts.return_analysis import top_return_reasons
+from tallyhouse.plans.marts.return_analysis import top_return_reasons as ranked_reasons
 from tallyhouse.session import checkpoint_dir, tune
 from tallyhouse.sources import filter_day, incremental, incremental_by_change, reassign_ids
 from tallyhouse.streaming import cart_sessions, read_stream, stream_daily_activity, write_stream
@@ -127,8 +127,8 @@ def return_analysis(r: Retail) -> DataFrame:
 
 
 @query
-def top_reasons(r: Retail) -> DataFrame:
-    return top_return_reasons(r["order_return"])
+def top_return_reasons(r: Retail) -> DataFrame:
+    return ranked_reasons(r["order_return"])
 
 
 # KPIs ----------------------------------------------------------------------
@@ -140,12 +140,12 @@ def kpi_orders(r: Retail) -> DataFrame:
 
 
 @query
-def kpi_conversion_rate(r: Retail) -> DataFrame:
+def conversion_rate(r: Retail) -> DataFrame:
     return kpis.conversion_rate(r["orders"])
 
 
 @query
-def kpi_return_rate(r: Retail) -> DataFrame:
+def return_rate(r: Retail) -> DataFrame:
     return kpis.return_rate(r["orders"], r["order_return"])
 
 
@@ -368,6 +368,11 @@ def payment_validation(r: Retail) -> DataFrame:
     return payments.validate_payments(r["payment_history"], STEP)
 
 
+@query
+def payment_effects(r: Retail) -> DataFrame:
+    return payments.payment_effects(r["order_status_history"], r["orders"])
+
+
 @query
 def return_validation(r: Retail) -> DataFrame:
     judged = returns.validate_returns(r["order_return"], r["orders"])
@@ -489,6 +494,12 @@ def activity_payload(r: Retail) -> DataFrame:
     return activity.typed_payload(r["customer_activity_log"], "k int").select("id", "activity_type", "k")
 
 
+@query
+def packed_payload(r: Retail) -> DataFrame:
+    named = r["customer_activity_log"].withColumn("source", F.col("channel")).withColumn("quantity", F.col("product_id"))
+    return activity.packed_payload(named).select("id", "activity_type", "metadata")
+
+
 @query
 def activity_daily_window(r: Retail) -> DataFrame:
     return activity.daily_activity(r["customer_activity_log"])

@@ -380,15 +380,15 @@ SQL = {
         from v_order_return r left join lines l on l.order_id = r.order_id
         left join ({TREE}) p on p.product_id = l.product_id left join ordered on ordered.product_id = l.product_id
         group by l.product_id""",
-    "top_reasons": """
+    "top_return_reasons": """
         select reason, count(*) reason_count from v_order_return group by reason order by 2 desc, 1""",
     "kpi_orders": f"""
         select count(*) orders, {money("sum(total_price)")} gmv, {avg_money("total_price")} aov,
           {half_up(cents("sum(profit)"), cents("sum(total_price)"), 4)} profit_margin from v_orders""",
-    "kpi_conversion_rate": f"""
+    "conversion_rate": f"""
         select {n("status = 'COMPLETED'")} completed_orders, count(*) orders,
           {half_up(n("status = 'COMPLETED'"), "count(*)", 4)} conversion_rate from v_orders""",
-    "kpi_return_rate": f"""
+    "return_rate": f"""
         select count(r.order_id) returned_orders, count(*) delivered_orders,
           {half_up("count(r.order_id)", "count(*)", 4)} return_rate
         from v_orders o left join (select distinct order_id from v_order_return) r on r.order_id = o.id
@@ -551,6 +551,10 @@ SQL = {
               ("amount_not_positive", "amount > 0"))} reject_reason
         from (select *, lag(payment_status) over (partition by payment_id order by changed_at, line, product_id)
           previous_status from v_payment_history)""",
+    "payment_effects": """
+        select o.payment_id, case when h.done > 0 then 'Completed' else 'Cancelled' end payment_status
+        from (select order_id, count(*) filter (where status = 'COMPLETED') done from v_status_history
+          where status in ('COMPLETED','CANCELLED') group by order_id) h join v_orders o on o.id = h.order_id""",
     "return_validation": JUDGED_RETURNS,
     "quarantine": f"""
         select id, order_id, refund_amount, reject_reason, '2001-08-02 00:00:00.000000' rejected_at
@@ -660,6 +664,10 @@ SQL = {
         group by cart_id, span""",
     "activity_payload": """
         select id, activity_type, cast(json_extract(metadata, '$.k') as int) k from v_activity""",
+    "packed_payload": """
+        select id, activity_type, case activity_type when 'view' then '{"source":"' || channel || '"}'
+          when 'add_to_cart' then '{"quantity":' || product_id || '}' else '{}' end metadata
+        from v_activity""",
     "activity_daily_window": f"""
         select {moment("date_trunc('day', created_at)")} window_start, activity_type, count(*) activities
         from v_activity group by date_trunc('day', created_at), activity_type""",

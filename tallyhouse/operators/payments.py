@@ -24,6 +24,19 @@ def validate_payments(history: DataFrame, order: tuple[str, ...] = ("changed_at"
     )
 
 
+def payment_effects(history: DataFrame, orders: DataFrame) -> DataFrame:
+    """Payment status that follows from the order: completed orders complete
+    their payment, cancelled ones cancel it."""
+    ended = history.filter(status_in("status", "Completed", "Cancelled"))
+    per_order = ended.groupBy("order_id").agg(
+        F.when(F.count_if(status_is("status", "Completed")) > 0, "Completed")
+        .otherwise("Cancelled")
+        .alias("payment_status")
+    )
+    paid = orders.select(F.col("id").alias("order_id"), "payment_id")
+    return per_order.join(paid, "order_id").select("payment_id", "payment_status")
+
+
 def delivered_without_payment(orders: DataFrame, payment: DataFrame) -> DataFrame:
     """Delivered or completed orders that have no payment record."""
     delivered = orders.filter(status_in("status", "Delivered", "Completed"))
