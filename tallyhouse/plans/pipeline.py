@@ -88,14 +88,17 @@ def silver_view(spark: SparkSession, name: str, root: str) -> DataFrame:
     """Current rows of a silver table: the last ingested version of every key.
 
     Snapshot tables repeat in full each day, so for them only the newest
-    batch is read; its day comes from the directory listing.
+    batch is read; its day comes from the directory listing. A table that
+    has never been loaded is empty.
     """
     spec = lookup(name)
+    days = partition_values(spark, layer_path(root, "silver", name), "ingestion_date")
+    if not days:
+        return spark.createDataFrame([], spec.schema)
     rows = read_layer(spark, root, "silver", name)
     if spec.mode == INCREMENTAL:
         return latest_by_key(rows, spec.key, ["ingestion_date", "processed_at"])
-    newest = partition_values(spark, layer_path(root, "silver", name), "ingestion_date")[-1]
-    return batch(rows, newest)
+    return batch(rows, days[-1])
 
 
 def stamp(df: DataFrame, ds: str) -> DataFrame:
@@ -129,9 +132,9 @@ def run_day(
     for name, source in sources.items():
         if load_raw(name, source, root, ds):
             load_silver(spark, name, root, ds)
-    tables = {name: silver_view(spark, name, root) for name in sources if name in TABLES}
+    tables = {name: silver_view(spark, name, root) for name in TABLES}
     marts = list(marts)
-    if "order_items" in tables and len(SHARE_ITEMS.intersection(marts)) > 1:
+    if len(SHARE_ITEMS.intersection(marts)) > 1:
         tables["items_per_order"] = materialise(items_per_order(tables["order_items"]))
     for name in marts:
         load_mart(name, tables, root, ds)

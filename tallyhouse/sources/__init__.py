@@ -9,4 +9,11 @@ from tallyhouse.sources.extract import (  # noqa: F401
 )
 from tallyhouse.sources.files import export_parquet, read_csv, reassign_ids  # noqa: F401
 from tallyhouse.sources.jdbc import read_jdbc  # noqa: F401
-from tallyhouse.sources.layers import drop_partition, layer_path, partition_values, read_layer, read_tables  # noqa: F401
+from tallyhouse.sources.layers import (  # noqa: F401
+    LAYERS,
+    drop_partition,
+    layer_path,
+    partition_values,
+    read_layer,
+    read_tables,
+)
