@@ -42,7 +42,9 @@ def customer_analytics(tables: Tables, as_of: str) -> DataFrame:
         F.count(F.lit(1)).alias("total_activities")
     )
     places = tables["geo_location"].select(F.col("ward_code").alias("geo_location_id"), "province_name")
-    joined = tables["customers"].withColumnRenamed("id", "customer_id").drop("total_spent")
+    joined = tables["customers"].select(
+        F.col("id").alias("customer_id"), "name", "email", "phone", "tier", "loyalty_points", "geo_location_id"
+    )
     for metrics in (orders, returns, carts, activities):
         joined = joined.join(metrics, "customer_id", "left")
     joined = joined.join(places, "geo_location_id", "left")
