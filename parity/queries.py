@@ -437,7 +437,7 @@ def discounts_in_force_now(r: Retail) -> DataFrame:
 @query
 def discount_split(r: Retail) -> DataFrame:
     priced = orders.item_amounts(r["order_items"], r["product"])
-    return promotions.discount_split(priced, r["orders"], r["discount"]).select(
+    return promotions.discount_split(priced, r["orders"], r["discount"], r["order_items"]).select(
         "order_id", "product_id", "line", "quantity", "unit_price", "discount_type", "discount_amount", "amount"
     )
 

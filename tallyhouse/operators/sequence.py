@@ -27,17 +27,14 @@ GROUP_BITS = 12
 HOT_ROWS = 5_000_000
 
 
-def _null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
-    """Equi-join that also pairs NULL keys; the right key columns are dropped."""
-    renamed = right
-    for key in keys:
-        renamed = renamed.withColumnRenamed(key, f"_r_{key}")
-    condition = None
-    for key in keys:
-        equal = left[key].eqNullSafe(renamed[f"_r_{key}"])
-        condition = equal if condition is None else condition & equal
-    joined = left.join(renamed, condition, how)
-    return joined if how in ("left_semi", "left_anti") else joined.drop(*[f"_r_{key}" for key in keys])
+def _keyed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Pack the keys into one column that is never NULL itself.
+
+    NULL is a key like any other here. A packed key lets windows,
+    aggregates and joins all use the same plain equality, so they share one
+    partitioning.
+    """
+    return df.withColumn("_key", F.struct(*keys) if keys else F.lit(0))
 
 
 def dense_sequence(df: DataFrame, key: str, name: str, groups: Sequence[str] = ()) -> DataFrame:
@@ -48,36 +45,34 @@ def dense_sequence(df: DataFrame, key: str, name: str, groups: Sequence[str] = (
     (or none at all) still uses every task.
     """
     groups = list(groups)
-    rows = df.withColumn("_slice", F.shiftright(F.col(key).cast("long"), SLICE_BITS))
+    rows = _keyed(df, groups).withColumn("_slice", F.shiftright(F.col(key).cast("long"), SLICE_BITS))
 
     sizes = (
-        rows.groupBy(*groups, "_slice")
+        rows.groupBy("_key", "_slice")
         .agg(F.count(F.lit(1)).alias("_size"))
         .withColumn("_group", F.shiftright("_slice", GROUP_BITS))
     )
-    earlier_slices = (
-        Window.partitionBy(*groups, "_group").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    earlier_groups = Window.partitionBy(*groups).orderBy("_group").rowsBetween(Window.unboundedPreceding, -1)
+    before = (Window.unboundedPreceding, -1)
+    earlier_slices = Window.partitionBy("_key", "_group").orderBy("_slice").rowsBetween(*before)
+    earlier_groups = Window.partitionBy("_key").orderBy("_group").rowsBetween(*before)
     group_starts = (
-        sizes.groupBy(*groups, "_group")
+        sizes.groupBy("_key", "_group")
         .agg(F.sum("_size").alias("_group_size"))
         .withColumn("_group_start", F.coalesce(F.sum("_group_size").over(earlier_groups), F.lit(0)))
         .drop("_group_size")
     )
-    starts = _null_safe(
-        sizes.withColumn("_slice_start", F.coalesce(F.sum("_size").over(earlier_slices), F.lit(0))),
-        group_starts,
-        [*groups, "_group"],
-        "inner",
-    ).select(*groups, "_slice", (F.col("_slice_start") + F.col("_group_start")).alias("_start"))
-
-    inside = Window.partitionBy(*groups, "_slice").orderBy(key)
+    starts = (
+        sizes.withColumn("_slice_start", F.coalesce(F.sum("_size").over(earlier_slices), F.lit(0)))
+        .join(group_starts, ["_key", "_group"])
+        .select("_key", "_slice", (F.col("_slice_start") + F.col("_group_start")).alias("_start"))
+    )
+
+    inside = Window.partitionBy("_key", "_slice").orderBy(key)
     numbered = rows.withColumn("_place", F.row_number().over(inside))
     return (
-        _null_safe(numbered, starts, [*groups, "_slice"], "inner")
+        numbered.join(starts, ["_key", "_slice"])
         .withColumn(name, F.col("_start") + F.col("_place"))
-        .drop("_slice", "_place", "_start")
+        .select(*df.columns, name)
     )
 
 
@@ -96,7 +91,10 @@ def split_hot(
     if not found:
         return df, None
     listed = F.broadcast(df.sparkSession.createDataFrame(found, hot.schema))
-    return _null_safe(df, listed, keys, "left_anti"), _null_safe(df, listed, keys, "left_semi")
+    same = F.lit(True)
+    for key in keys:
+        same = same & df[key].eqNullSafe(listed[key])
+    return df.join(listed, same, "left_anti"), df.join(listed, same, "left_semi")
 
 
 def _sliced(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -108,7 +106,7 @@ def _sliced(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFra
     """
     slices = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(slices, *keys, *order)
-    return materialise(ranged.withColumn("_slice", F.spark_partition_id()))
+    return materialise(_keyed(ranged, keys).withColumn("_slice", F.spark_partition_id()))
 
 
 def previous_value(
@@ -128,10 +126,10 @@ def previous_value(
         return result
 
     rows = _sliced(hot, keys, order)
-    inside = Window.partitionBy(*keys, "_slice").orderBy(*order)
-    slices = Window.partitionBy(*keys).orderBy("_slice")
+    inside = Window.partitionBy("_key", "_slice").orderBy(*order)
+    slices = Window.partitionBy("_key").orderBy("_slice")
     carried = (
-        rows.groupBy(*keys, "_slice")
+        rows.groupBy("_key", "_slice")
         .agg(F.max_by(value, F.struct(*order)).alias("_last"))
         .withColumn("_carried", F.lag("_last").over(slices))
         .drop("_last")
@@ -139,7 +137,7 @@ def previous_value(
     local = rows.withColumn("_first", F.row_number().over(inside) == 1).withColumn(
         "_local", F.lag(value).over(inside)
     )
-    joined = _null_safe(local, carried, [*keys, "_slice"], "inner").withColumn(
+    joined = local.join(carried, ["_key", "_slice"]).withColumn(
         name, F.when(F.col("_first"), F.col("_carried")).otherwise(F.col("_local"))
     )
     return result.unionByName(joined.select(*result.columns))
@@ -162,16 +160,16 @@ def running_total(
         return result
 
     rows = _sliced(hot, keys, order)
-    inside = Window.partitionBy(*keys, "_slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    slices = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("_key", "_slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    slices = Window.partitionBy("_key").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     carried = (
-        rows.groupBy(*keys, "_slice")
+        rows.groupBy("_key", "_slice")
         .agg(F.sum(value).alias("_total"))
         .withColumn("_carried", F.coalesce(F.sum("_total").over(slices), F.lit(0)))
         .drop("_total")
     )
     local = rows.withColumn("_local", F.sum(value).over(inside))
-    joined = _null_safe(local, carried, [*keys, "_slice"], "inner").withColumn(
+    joined = local.join(carried, ["_key", "_slice"]).withColumn(
         name, F.col("_carried") + F.col("_local")
     )
     return result.unionByName(joined.select(*result.columns))
@@ -229,10 +227,10 @@ def clamped_balance(
         return plain
 
     rows = _sliced(hot, keys, order)
-    local = sums(rows, Window.partitionBy(*keys, "_slice").orderBy(*order))
-    slices = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    local = sums(rows, Window.partitionBy("_key", "_slice").orderBy(*order))
+    slices = Window.partitionBy("_key").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     carried = (
-        local.groupBy(*keys, "_slice")
+        local.groupBy("_key", "_slice")
         .agg(F.sum(change).alias("_total"), F.min("_sum").alias("_slice_low"))
         .withColumn("_start", F.coalesce(F.sum("_total").over(slices), F.lit(0)))
         .withColumn("_carried_low", F.min(F.col("_start") + F.col("_slice_low")).over(slices))
@@ -241,7 +239,7 @@ def clamped_balance(
     base = start + F.col("_start")
     carried_low = start + F.col("_carried_low")
     sliced = _balance(
-        _null_safe(local, carried, [*keys, "_slice"], "inner"),
+        local.join(carried, ["_key", "_slice"]),
         change,
         base + F.col("_sum"),
         F.least(carried_low, base + F.col("_low")),
