@@ -1,6 +1,5 @@
 from tallyhouse.functions.measures import (  # noqa: F401
     count_where,
-    days_between,
     half_up,
     money,
     or_zero,

@@ -36,7 +36,3 @@ def half_up(numerator: Column, denominator: Column, digits: int) -> Column:
     """
     quotient = F.try_divide(numerator.cast(_EXACT), denominator.cast(_EXACT))
     return F.round(quotient, digits)
-
-
-def days_between(later: Column, earlier: Column) -> Column:
-    return F.datediff(later, earlier)
