@@ -20,6 +20,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
+    # Sessions of one key merge inside each task before the shuffle.
+    "spark.sql.sessionWindow.merge.sessions.in.local.partition": "true",
 }
 
 # Set when a session is created. Recording a Python call site for every
