@@ -26,13 +26,12 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import public_tokenizers
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tallyhouse.llm.common import Memo, text_bytes
+from tallyhouse.llm.common import Columns, Memo, map_columns, text_bytes
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: Entries of each cache, and characters of the longest run that is kept in one.
@@ -259,22 +258,20 @@ def encode_documents(
     repeated results; an empty table an empty one. Other columns of the input
     are ignored, whatever their names. A text of any length is encoded whole.
     """
-    added = ([IDS] if with_ids else []) + RESULT.fields
-    schema = T.StructType([documents.schema[c] for c in keep] + added)
-    columns = list(dict.fromkeys([*keep, "text"]))
+    schema = T.StructType([documents.schema[c] for c in keep] + ([IDS] if with_ids else []) + RESULT.fields)
 
-    def encoded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def encoded(batches: Iterator[Columns]) -> Iterator[Columns]:
         own = codec(vocabulary, pattern)
         for batch in batches:
-            rows = []
+            out = {name: batch[name] for name in keep} | {name: [] for name in RESULT.names + [IDS.name]}
             for text in batch["text"]:
                 packed = own.encode_packed(text)
                 ids = np.frombuffer(packed, dtype="<u4").tolist()
-                row = (len(ids), hashlib.sha256(packed).hexdigest(), hashlib.sha256(own.decode(ids)).hexdigest())
-                rows.append((packed, *row) if with_ids else row)
-            out = batch[list(keep)].copy()
-            for name, values in zip([f.name for f in added], zip(*rows) if rows else [()] * len(added)):
-                out[name] = list(values)
+                out["n_tokens"].append(len(ids))
+                out["ids_sha256"].append(hashlib.sha256(packed).hexdigest())
+                out["decoded_sha256"].append(hashlib.sha256(own.decode(ids)).hexdigest())
+                if with_ids:
+                    out[IDS.name].append(packed)
             yield out
 
-    return documents.select(*columns).mapInPandas(encoded, schema)
+    return map_columns(documents.select(*dict.fromkeys([*keep, "text"])), schema, encoded)

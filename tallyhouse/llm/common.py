@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from tallyhouse.session import checkpoint_dir
 
@@ -95,3 +97,20 @@ def wide(spark: SparkSession) -> int:
     """Partition count for a shuffle asked for by hand: the session's own."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
+
+Columns = dict[str, list]
+
+
+def map_columns(df: DataFrame, schema: T.StructType, work: Callable[[Iterator[Columns]], Iterator[Columns]]) -> DataFrame:
+    """Run ``work`` over each partition's record batches, as lists of Python values by column.
+
+    Integers beside nulls stay integers. ``work`` may return any number of
+    batches, each a list for every column of ``schema``.
+    """
+    arrow = to_arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for columns in work(batch.to_pydict() for batch in batches):
+            yield pa.RecordBatch.from_pydict({f.name: columns[f.name] for f in arrow}, schema=arrow)
+
+    return df.mapInArrow(run, schema)
