@@ -6,16 +6,49 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyhouse.llm import bpe
+from tallyhouse.llm import bpe, decontam, linededup, neardup, quality, urlfilter
 from tallyhouse.llm.common import table
 
+Query = Callable[[SparkSession, str], DataFrame]
+
 
 def op1_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.encode_documents(table(spark, folder, "documents"), with_ids=False)
 
 
-def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_byte_bpe,)}
+def op2_minhash_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, folder, "documents"), size=4, percent=80)
+
+
+def op3_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontam.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.judged(table(spark, folder, "documents"))
+
+
+def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    cut = linededup.deduplicate_lines(table(spark, folder, "documents"))
+    return cut.select("doc_id", "n_lines", "n_removed", "text")
+
+
+def op10_url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    return urlfilter.judge(table(spark, folder, "pages")).select("page_id", "host", "path", "rule", "verdict")
+
+
+QUERIES: tuple[Query, ...] = (
+    op1_byte_bpe,
+    op2_minhash_near_duplicates,
+    op3_benchmark_decontamination,
+    op5_quality_rules,
+    op7_line_dedup,
+    op10_url_filters,
+)
+
+
+def llm_queries() -> dict[str, Query]:
+    return {query.__name__: query for query in QUERIES}
 
 
 def llm_oracle() -> dict[str, str]:
