@@ -40,14 +40,16 @@ class Memo(dict):
         value = self.older.get(key)
         if value is None:
             value = self.compute(key)
-        if len(key) > self.longest:
-            return value
-        if len(self) >= self.entries:
-            self.older = dict(self)
-            self.clear()
-        self[key] = value
+        self.keep(key, value)
         return value
 
+    def keep(self, key, value) -> None:
+        if len(key) <= self.longest:
+            if len(self) >= self.entries:
+                self.older = dict(self)
+                self.clear()
+            self[key] = value
+
 
 def word_hashes() -> Memo:
     """Cache of 64-bit word hashes."""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyhouse.llm import bpe, decontam, linededup, neardup, quality, urlfilter
+from tallyhouse.llm import bpe, decontam, linededup, neardup, quality, tokenfile, urlfilter
 from tallyhouse.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,10 @@ def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judged(table(spark, folder, "documents"))
 
 
+def op6_packed_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    return tokenfile.token_files(table(spark, folder, "documents"))
+
+
 def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     cut = linededup.deduplicate_lines(table(spark, folder, "documents"))
     return cut.select("doc_id", "n_lines", "n_removed", "text")
@@ -42,6 +46,7 @@ QUERIES: tuple[Query, ...] = (
     op2_minhash_near_duplicates,
     op3_benchmark_decontamination,
     op5_quality_rules,
+    op6_packed_token_files,
     op7_line_dedup,
     op10_url_filters,
 )
