@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyhouse.llm import bpe, decontam, linededup, neardup, quality, tokenfile, urlfilter
+from tallyhouse.llm import bpe, decontam, linededup, neardup, quality, tokenfile, urlfilter, warc
 from tallyhouse.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,10 @@ def op3_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
     return decontam.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op4_warc_archives(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.archived(table(spark, folder, "pages"))
+
+
 def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judged(table(spark, folder, "documents"))
 
@@ -45,6 +49,7 @@ QUERIES: tuple[Query, ...] = (
     op1_byte_bpe,
     op2_minhash_near_duplicates,
     op3_benchmark_decontamination,
+    op4_warc_archives,
     op5_quality_rules,
     op6_packed_token_files,
     op7_line_dedup,
