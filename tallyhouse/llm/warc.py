@@ -184,37 +184,48 @@ def write_index(captures: DataFrame, folder: str, block_lines: int = BLOCK_LINES
     dealt = captures.repartitionByRange("key").sortWithinPartitions("key")
 
     def written(batches: Iterator[Columns]) -> Iterator[Columns]:
-        out, name, at, lines, total = None, "", 0, [], 0
-        directory: list[tuple[str, int, int]] = []
-
-        def block() -> None:
-            nonlocal at, lines
-            data = packed("\n".join(lines).encode())
-            out.write(data)
-            directory.append((lines[0].split("\t", 1)[0], at, len(data)))
-            at, lines = at + len(data), []
-
+        out = None
         for batch in batches:
             for row in zip(*(batch[c] for c in CAPTURES.names)):
-                if out is None:
-                    name = f"index-{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}.cdx.gz"
-                    out = files.writer(folder, name)
-                lines.append("\t".join(map(str, row)))
-                total += 1
-                if len(lines) == block_lines:
-                    block()
-        if out is not None:
-            if lines:
-                block()
-            table = packed(json.dumps(directory).encode())
-            out.write(table)
-            out.write(TAIL.pack(at, len(table)))
+                out = out or IndexWriter(folder, f"index-{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}.cdx.gz", block_lines)
+                out.add(row)
+        if out:
             out.close()
-            yield {"file": [name], "first": [directory[0][0]], "lines": [total]}
+            yield {"file": [out.name], "first": [out.directory[0][0]], "lines": [out.total]}
 
     return stored(map_columns(dealt, INDEX_FILES, written), "index-files")
 
 
+class IndexWriter:
+    """Writes one file of the index: compressed blocks of sorted lines, then their directory."""
+
+    def __init__(self, folder: str, name: str, block_lines: int):
+        self.out, self.name, self.block_lines = files.writer(folder, name), name, block_lines
+        self.lines: list[str] = []
+        self.directory: list[tuple[str, int, int]] = []
+        self.at = self.total = 0
+
+    def add(self, row: tuple) -> None:
+        self.lines.append("\t".join(map(str, row)))
+        self.total += 1
+        if len(self.lines) == self.block_lines:
+            self._block()
+
+    def _block(self) -> None:
+        data = packed("\n".join(self.lines).encode())
+        self.out.write(data)
+        self.directory.append((self.lines[0].split("\t", 1)[0], self.at, len(data)))
+        self.at, self.lines = self.at + len(data), []
+
+    def close(self) -> None:
+        if self.lines:
+            self._block()
+        table = packed(json.dumps(self.directory).encode())
+        self.out.write(table)
+        self.out.write(TAIL.pack(self.at, len(table)))
+        self.out.close()
+
+
 class IndexFile:
     """One file of the index: its directory, and the block that was read last."""
 
