@@ -17,7 +17,7 @@ def opened(folder: str) -> tuple[fs.FileSystem, str]:
 
 def writer(folder: str, name: str):
     system, path = opened(folder)
-    return system.open_output_stream(f"{path}/{name}")
+    return system.open_output_stream(f"{path}/{name}", compression=None)
 
 
 def reader(folder: str, name: str):
