@@ -4,11 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallyhouse.llm import bpe, decontam, linededup, neardup, quality, tokenfile, urlfilter, warc
+from tallyhouse.llm import bpe, decontam, linededup, neardup, pylm, quality, tokenfile, urlfilter, warc
 from tallyhouse.llm.common import table
 
+
+
+def remainder(column: str, divisor: int) -> Column:
+    """crc32 of a number's decimal text, modulo ``divisor``; a null counts as 0."""
+    return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")), F.lit(0)) % divisor
+
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -41,6 +49,16 @@ def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return cut.select("doc_id", "n_lines", "n_removed", "text")
 
 
+def op8_pitman_yor_scores(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    held_out = remainder("doc_id", 5) == 1
+    scores = pylm.language_model_scores(documents, ~held_out)
+    return scores.select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score",
+        pylm.perplexity(F.col("score"), F.col("n_tokens")).alias("perplexity"),
+    )
+
+
 def op10_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     return urlfilter.judge(table(spark, folder, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
@@ -53,6 +71,7 @@ QUERIES: tuple[Query, ...] = (
     op5_quality_rules,
     op6_packed_token_files,
     op7_line_dedup,
+    op8_pitman_yor_scores,
     op10_url_filters,
 )
 
