@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import bpe, decontam, linededup, neardup, pylm, quality, tokenfile, urlfilter, warc
+from tallyhouse.llm import bpe, decontam, langid, linededup, neardup, pylm, quality, tokenfile, urlfilter, warc
 from tallyhouse.llm.common import table
 
 
@@ -59,6 +59,13 @@ def op8_pitman_yor_scores(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    held_out = remainder("doc_id", 4) == 2
+    classifier = langid.trained(documents, ~held_out)
+    return langid.predicted(documents, classifier).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op10_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     return urlfilter.judge(table(spark, folder, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
@@ -72,6 +79,7 @@ QUERIES: tuple[Query, ...] = (
     op6_packed_token_files,
     op7_line_dedup,
     op8_pitman_yor_scores,
+    op9_language_id,
     op10_url_filters,
 )
 
