@@ -1,25 +1,68 @@
-"""Corpus cleaning: stages over the documents table, each reading what the one before it wrote."""
+"""Corpus cleaning: stages over the documents table, each reading what the one before it wrote.
+
+Rows may repeat and any column may be null; each stage says what it makes of
+them. Extra columns of the input travel along to the last stage. An empty table stays empty.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallyhouse.llm import bpe
+from tallyhouse.llm import bpe, decontam, linededup, neardup, quality
 from tallyhouse.llm.common import stored, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+#: Near duplicates: words of a shingle, and similarity of 100.
+SHINGLE, SIMILAR = 5, 80
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop what the quality rules reject."""
+    return quality.judged(docs, keep=tuple(docs.columns)).where("kept").select(*docs.columns)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Cut repeated lines; a document of which no word is left goes. ``n_chars`` follows the text."""
+    cut = linededup.deduplicate_lines(docs)
+    nothing_left = (F.col("n_removed") > 0) & F.col("text").rlike(r"\A[\x20\x09-\x0D]*\z")
+    length = F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")).alias("n_chars")
+    return cut.where(~nothing_left).select(*[length if c == "n_chars" else c for c in docs.columns])
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the document of the smallest doc_id in each group of near duplicates.
+
+    Of rows that repeat a doc_id one stays; rows without a doc_id all stay.
+    """
+    found = neardup.near_duplicates(docs, size=SHINGLE, percent=SIMILAR)
+    first = docs.join(found.where("kept and doc_id is not null").select("doc_id").distinct(), "doc_id", "left_semi")
+    return first.dropDuplicates(["doc_id"]).select(*docs.columns).unionByName(docs.where("doc_id is null"))
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents in which a benchmark window occurs."""
+    found = decontam.find_items(docs, table(spark, sf_dir, "benchmark"), keep=tuple(docs.columns))
+    return found.where("n_hit = 0").select(*docs.columns)
+
 
-def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids and digests of every document."""
+def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Ids of every document that is left, with digests of ids and decoded text."""
     return bpe.encode_documents(docs)
 
 
-STAGES: list[tuple[str, Stage]] = [("byte_bpe", encode)]
+STAGES: list[tuple[str, Stage]] = [
+    ("quality_rules", quality_rules),
+    ("line_dedup", line_dedup),
+    ("near_dedup", near_dedup),
+    ("decontamination", decontamination),
+    ("byte_bpe", byte_bpe),
+]
 
-#: Byte-pair encoding cannot be told in SQL.
+#: Neither signatures nor byte-pair encoding can be told in SQL.
 ORACLE_SQL: str | None = None
 
 
