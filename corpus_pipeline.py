@@ -7,6 +7,7 @@ them. Extra columns of the input travel along to the last stage. An empty table
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,11 +21,28 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 SHINGLE, SIMILAR = 5, 80
 
 
+DOCUMENT = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def with_own_names(stage: Stage) -> Stage:
+    """Let columns beyond those of a document pass a stage under names that no operator uses."""
+
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        hidden = {name: f"_extra_{k}" for k, name in enumerate(docs.columns) if name not in DOCUMENT}
+        out = stage(spark, docs.withColumnsRenamed(hidden), sf_dir)
+        return out.withColumnsRenamed({own: name for name, own in hidden.items()})
+
+    return run
+
+
+@with_own_names
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop what the quality rules reject."""
     return quality.judged(docs, keep=tuple(docs.columns)).where("kept").select(*docs.columns)
 
 
+@with_own_names
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cut repeated lines; a document of which no word is left goes. ``n_chars`` follows the text."""
     cut = linededup.deduplicate_lines(docs)
@@ -33,6 +51,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return cut.where(~nothing_left).select(*[length if c == "n_chars" else c for c in docs.columns])
 
 
+@with_own_names
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the document of the smallest doc_id in each group of near duplicates.
 
@@ -43,6 +62,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return first.dropDuplicates(["doc_id"]).select(*docs.columns).unionByName(docs.where("doc_id is null"))
 
 
+@with_own_names
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents in which a benchmark window occurs."""
     found = decontam.find_items(docs, table(spark, sf_dir, "benchmark"), keep=tuple(docs.columns))

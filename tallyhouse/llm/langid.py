@@ -27,6 +27,8 @@ BUCKETS = 1 << 16
 LENGTHS = (1, 2, 3)
 #: Texts of each language in the training sample: the bound of what one task holds.
 SAMPLE = 1000
+#: Parts of a language that are cut down to the sample's size by themselves.
+PARTS = 64
 #: Most languages that can be told apart; more are an error, not a cut.
 LANGUAGES = 1000
 #: One of so many sampled texts is kept for the temperature.
@@ -170,9 +172,12 @@ def training_sample(texts: DataFrame, bound: int) -> DataFrame:
     """At most ``bound`` different texts of each language, those of the smallest hashes."""
     mark = F.xxhash64("lang", "text")
     marks = texts.select("lang", mark.alias("mark")).distinct()
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("mark"))
-    # Ranks are cut off in each task before anything moves.
-    chosen = stored(marks.withColumn("rank", rank).where(F.col("rank") <= bound).select("lang", "mark"), "language-sample")
+    # First within parts of a language, so that few rows of each meet in one task.
+    part = F.pmod(F.col("mark"), F.lit(PARTS))
+    for keys in (["lang", part], ["lang"]):
+        rank = F.row_number().over(Window.partitionBy(*keys).orderBy("mark"))
+        marks = marks.withColumn("rank", rank).where(F.col("rank") <= bound).drop("rank")
+    chosen = stored(marks, "language-sample")
     if chosen.select("lang").distinct().count() > LANGUAGES:
         raise ValueError(f"more than {LANGUAGES} languages")
     picked = texts.select("lang", "text", mark.alias("mark")).join(F.broadcast(chosen), ["lang", "mark"])
