@@ -44,7 +44,7 @@ TAIL = struct.Struct("<QQQII")
 #: Ids that a task reads at a time.
 READ_IDS = 1 << 20
 #: Entries of each of the encoder's two caches.
-CACHED = 400_000
+CACHED = 800_000
 
 
 def bits_for(vocabulary_size: int) -> int:
@@ -152,17 +152,26 @@ class TokenReader:
             k = last
 
 
+#: Byte-level vocabularies write the bytes that have no visible character as letters from U+0100 on, in order.
+VISIBLE = {
+    byte: 256 + k
+    for k, byte in enumerate(b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255))
+}
+
+
 class WordCodec:
     """Ids by the tokenizers library, with caches of what recurs.
 
     White space only parts tokens here, and no token or normal form reaches
     across it, so the stretches between spaces are encoded by themselves. A stretch of
-    letters with one mark behind is two tokens' worth, the letters and the mark. Letters
-    of ASCII are one word to the library's model in lower case; everything else
-    takes the library's whole way.
+    Latin letters with one mark behind is encoded as the letters and the mark. A word of
+    Latin letters goes to the library's model as it would arrive there, in lower
+    case and by visible characters for bytes; everything else takes the library's whole way.
     """
 
     MARKS = frozenset(",.;:!?")
+    #: Below are letters whose lower case is one letter and whose normal form is themselves.
+    LATIN = "\u0130"
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -174,17 +183,20 @@ class WordCodec:
         self.stretches = Memo(self._stretch, CACHED)
 
     def _word(self, word: str) -> bytes:
-        if word.isascii() and word.isalpha():
-            ids = [token.id for token in self.model.tokenize(word)]
+        if self._is_plain(word):
+            ids = [token.id for token in self.model.tokenize(word.encode().decode("latin-1").translate(VISIBLE))]
         else:
             ids = self.tokenizer.encode(word, add_special_tokens=False).ids
         return struct.pack(f"<{len(ids)}I", *ids)
 
+    def _is_plain(self, word: str) -> bool:
+        return word.isalpha() and max(word) < self.LATIN
+
     def _stretch(self, stretch: str) -> bytes:
         word, mark = stretch, b""
-        if stretch[-1:] in self.MARKS and stretch[:-1].isalpha():
+        if stretch[-1:] in self.MARKS and self._is_plain(stretch[:-1]):
             word, mark = stretch[:-1], self.words[stretch[-1]]
-        return self.words[word.lower() if word.isascii() and word.isalpha() else word] + mark
+        return self.words[word.lower() if self._is_plain(word) else word] + mark
 
     def encode(self, text: str | None) -> np.ndarray:
         stretches = (text or "").replace("\n", " ").split(" ")
