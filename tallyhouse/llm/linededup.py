@@ -20,21 +20,20 @@ def lines_of(text: Column) -> Column:
     return F.split(text, "\n", -1)
 
 
-def window_hashes(lines: Column, size: int) -> Column:
-    """Position and two hashes of every window; windows without a word are left out."""
-    starts = F.when(F.size(lines) >= size, F.sequence(F.lit(0), F.size(lines) - size)).otherwise(F.array().cast("array<int>"))
+def windows_of(rows: DataFrame, size: int) -> DataFrame:
+    """Every window of each row's ``_line_parts``: position and two hashes. Windows without a word are left out.
 
-    def window(at: Column) -> Column:
-        parts = [F.get(lines, at + k) for k in range(size)]
-        wordless = F.concat(*parts).rlike(r"\A[\x20\x09-\x0D]*\z")
-        return F.struct(
-            at.alias("at"),
-            F.xxhash64(*parts).alias("one"),
-            F.xxhash64(F.lit(1), *parts[::-1]).alias("two"),
-            wordless.alias("wordless"),
-        )
-
-    return F.filter(F.transform(starts, window), lambda w: ~w["wordless"])
+    The lines are laid beside themselves, moved by one and by two, so a window is one element and nothing
+    looks back into the array.
+    """
+    count = F.greatest(F.size("_line_parts") - (size - 1), F.lit(0))
+    moved = [F.slice("_line_parts", k + 1, count).alias(f"l{k}") for k in range(size)]
+    each = rows.select("_line_doc", "_line_text", F.posexplode(F.arrays_zip(*moved)).alias("at", "w"))
+    parts = [F.col(f"w.l{k}") for k in range(size)]
+    wordless = F.concat(*parts).rlike(r"\A[\x20\x09-\x0D]*\z")
+    return each.where(~wordless).select(
+        "_line_doc", "_line_text", "at", F.xxhash64(*parts).alias("one"), F.xxhash64(F.lit(1), *parts[::-1]).alias("two")
+    )
 
 
 def deduplicate_lines(documents: DataFrame, size: int = LINES) -> DataFrame:
@@ -50,13 +49,11 @@ def deduplicate_lines(documents: DataFrame, size: int = LINES) -> DataFrame:
     have names of their own, which other columns should not carry: they begin
     with ``_line_``.
     """
-    rows = documents.withColumn("_line_text", F.xxhash64("text"))
-    key = [F.col("doc_id").alias("_line_doc"), F.col("_line_text")]
+    others = [c for c in documents.columns if c != "text"]
+    # The lines travel instead of the text, so they are made once.
+    rows = documents.select(*others, F.xxhash64("text").alias("_line_text"), lines_of(F.col("text")).alias("_line_parts"))
     windows = stored(
-        rows.where("text is not null")
-        .select(*key, F.explode(window_hashes(lines_of(F.col("text")), size)).alias("w"))
-        .select("_line_doc", "_line_text", "w.at", "w.one", "w.two"),
-        "line-windows",
+        windows_of(rows.where("_line_parts is not null").withColumnRenamed("doc_id", "_line_doc"), size), "line-windows"
     )
     place = F.struct("_line_doc", "_line_text", "at")
     repeated = stored(
@@ -71,16 +68,14 @@ def deduplicate_lines(documents: DataFrame, size: int = LINES) -> DataFrame:
         F.col("doc_id").eqNullSafe(F.col("_line_doc")) & F.col("_line_text").eqNullSafe(F.col("_line_same")),
         "left",
     )
-    lines = lines_of(F.col("text"))
+    lines = F.col("_line_parts")
     gone = F.flatten(F.transform("_line_starts", lambda at: F.sequence(at, at + (size - 1))))
     left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone)
     cut = F.array_join(F.transform(left, lambda at: F.get(lines, at)), "\n")
     touched = F.col("_line_starts").isNotNull()
+    text = F.when(touched, cut).otherwise(F.array_join(lines, "\n")).alias("text")
     return found.select(
-        *[
-            F.when(touched, cut).otherwise(F.col("text")).alias("text") if c == "text" else F.col(c)
-            for c in documents.columns
-        ],
-        F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).cast("long").alias("n_lines"),
+        *[text if c == "text" else F.col(c) for c in documents.columns],
+        F.when(lines.isNull(), 0).otherwise(F.size(lines)).cast("long").alias("n_lines"),
         F.when(touched, F.size(F.array_distinct(gone))).otherwise(0).cast("long").alias("n_removed"),
     )
