@@ -508,7 +508,7 @@ def activity_daily_window(r: Retail) -> DataFrame:
 def _streamed(r: Retail, name: str, job: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Run ``job`` as a stream over the event files and read what it appended."""
     spark = r.spark
-    events = read_stream(spark, r.folder, SOURCES["events"], pattern="events.parquet")
+    events = read_stream(spark, f"{r.folder}/events.parquet", SOURCES["events"])
     folder = f"{checkpoint_dir(spark)}/stream-{name}-{uuid.uuid4().hex}"
     result = job(events)
     write_stream(result, f"{folder}/out", f"{folder}/state").awaitTermination()

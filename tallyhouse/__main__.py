@@ -22,7 +22,10 @@ from tallyhouse.operators.lifecycle import compact, expire_partitions
 from tallyhouse.plans.marts import MARTS
 from tallyhouse.plans.pipeline import load_mart, load_raw, load_silver, run_day, silver_view
 from tallyhouse.session import start
-from tallyhouse.sources import LAYERS, layer_path, read_jdbc
+from tallyhouse.sources import LAYERS, Split, layer_path, read_jdbc
+
+# Range queries that read a table over JDBC at a time.
+JDBC_TASKS = 16
 
 
 def parser() -> argparse.ArgumentParser:
@@ -36,6 +39,8 @@ def parser() -> argparse.ArgumentParser:
             one.add_argument("--ds", required=True)
         if "table" in options:
             one.add_argument("--table", required=True, choices=sorted(TABLES))
+        if "stored" in options:
+            one.add_argument("--table", required=True, choices=sorted({*TABLES, *MARTS}))
         if "layer" in options:
             one.add_argument("--layer", required=True, choices=LAYERS)
         if "mart" in options:
@@ -44,20 +49,21 @@ def parser() -> argparse.ArgumentParser:
             source = one.add_mutually_exclusive_group(required=True)
             source.add_argument("--from", dest="folder")
             source.add_argument("--jdbc")
+            one.add_argument("--tasks", type=int, default=JDBC_TASKS, help="parallel range queries over a table's id")
 
     step("ingest", "ds", "table", "source")
     step("clean", "ds", "table")
     step("mart", "ds", "mart")
     step("day", "ds", "source")
     step("compact", "table", "layer")
-    step("expire", "ds", "table", "layer")
+    step("expire", "ds", "stored", "layer")
     return root
 
 
 def open_source(spark: SparkSession, args: argparse.Namespace, name: str, folder: str | None) -> DataFrame:
     """A table's parquet export, or the table itself over JDBC.
 
-    JDBC user and password come from the environment. The day filter that
+    Over JDBC a table with an id is read by several range queries. JDBC user and password come from the environment. The day filter that
     the pipeline applies to incremental tables reaches the database as a
     range on the event time.
     """
@@ -67,7 +73,13 @@ def open_source(spark: SparkSession, args: argparse.Namespace, name: str, folder
     columns = ", ".join(spec.schema.names)
     query = f"select {columns} from {name}"
     login = {"user": os.environ.get("JDBC_USER", ""), "password": os.environ.get("JDBC_PASSWORD", "")}
-    return read_jdbc(spark, args.jdbc, query, login)
+    split = None
+    if spec.key == ("id",) and args.tasks > 1:
+        # The ends of the id range, by one small query that the key's index answers.
+        ends = read_jdbc(spark, args.jdbc, f"select min(id) as lowest, max(id) as highest from {name}", login).first()
+        if ends and ends[0] is not None:
+            split = Split("id", int(ends[0]), int(ends[1]) + 1, args.tasks)
+    return read_jdbc(spark, args.jdbc, query, login, split)
 
 
 def main(argv: Sequence[str] | None = None) -> None:
@@ -78,7 +90,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     elif args.step == "clean":
         load_silver(spark, args.table, args.lake, args.ds)
     elif args.step == "mart":
-        load_mart(args.mart, available(spark, args.lake), args.lake, args.ds)
+        load_mart(args.mart, available(spark, args.lake, args.ds), args.lake, args.ds)
     elif args.step == "day":
         names = sorted(TABLES)
         sources = {
@@ -86,16 +98,28 @@ def main(argv: Sequence[str] | None = None) -> None:
         }
         run_day(spark, sources, args.lake, args.ds)
     elif args.step == "compact":
-        compact(spark, layer_path(args.lake, args.layer, args.table), ["ingestion_date"])
+        spec = lookup(args.table)
+        order = spec.partition_column or spec.event_time
+        sort_by = [order] if args.layer == "silver" and order in spec.schema.names else []
+        compact(spark, layer_path(args.lake, args.layer, args.table), "ingestion_date", sort_by=sort_by)
     elif args.step == "expire":
-        expire_partitions(
-            spark, layer_path(args.lake, args.layer, args.table), "ingestion_date", args.layer, args.ds
-        )
+        column = day_column(args.layer, args.table)
+        expire_partitions(spark, layer_path(args.lake, args.layer, args.table), column, args.layer, args.ds)
+
+
+def day_column(layer: str, name: str) -> str:
+    """The partition column that holds a table's days: that of loading, and in gold the mart's own."""
+    if layer != "gold":
+        return "ingestion_date"
+    column = MARTS[name].partition_by if name in MARTS else None
+    if column is None or not column.endswith("_date"):
+        raise SystemExit(f"{name} has no days in gold: it is replaced as a whole")
+    return column
 
 
-def available(spark: SparkSession, lake: str) -> dict[str, DataFrame]:
-    """Current rows of every silver table."""
-    return {name: silver_view(spark, name, lake) for name in TABLES}
+def available(spark: SparkSession, lake: str, ds: str | None = None) -> dict[str, DataFrame]:
+    """Rows of every silver table as of a day, or now."""
+    return {name: silver_view(spark, name, lake, ds) for name in TABLES}
 
 
 if __name__ == "__main__":

@@ -29,6 +29,8 @@ class Table:
     # Silver is laid out by day of the event time unless a plain column is named.
     partition_column: str | None = None
     unique: tuple[tuple[str, ...], ...] = ()
+    # Rows of a log are written once and never again under the same key.
+    append_only: bool = False
     references: dict[str, tuple[str, str]] = field(default_factory=dict)
     domains: dict[str, tuple[str, ...]] = field(default_factory=dict)
 
@@ -189,6 +191,7 @@ _TABLES = (
         " quantity_before int, quantity_after int, reference_id bigint, reference_type string,"
         " note string, changed_by string, created_at timestamp",
         mode=INCREMENTAL,
+        append_only=True,
         references={"inventory_id": ("inventory", "id")},
         domains={"change_type": CHANGE_TYPES, "reference_type": REFERENCE_TYPES},
     ),
@@ -197,6 +200,7 @@ _TABLES = (
         "id bigint, customer_id bigint, activity_type string, product_id bigint, channel string,"
         " metadata string, created_at timestamp",
         mode=INCREMENTAL,
+        append_only=True,
         references={"customer_id": ("customers", "id"), "product_id": ("product", "id")},
         domains={"activity_type": ACTIVITY_TYPES},
     ),

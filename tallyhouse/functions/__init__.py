@@ -4,5 +4,6 @@ from tallyhouse.functions.measures import (  # noqa: F401
     money,
     or_zero,
     sum_where,
+    total,
 )
 from tallyhouse.functions.status import canonical, status_in, status_is  # noqa: F401

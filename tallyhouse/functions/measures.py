@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MONEY = "decimal(18,2)"
+TOTAL = "decimal(38,2)"
 _EXACT = "decimal(26,2)"
 
 
@@ -15,6 +16,11 @@ def money(value: Column | str) -> Column:
     return value.cast(MONEY)
 
 
+def total(value: Column) -> Column:
+    """A sum of money; far beyond what a single amount may reach."""
+    return value.cast(TOTAL)
+
+
 def or_zero(value: Column | str) -> Column:
     return F.coalesce(F.col(value) if isinstance(value, str) else value, F.lit(0))
 

@@ -112,37 +112,6 @@ def seed_gaps(product: DataFrame, warehouse: DataFrame, inventory: DataFrame) ->
     )
 
 
-def seed_rows(product: DataFrame, warehouse: DataFrame, inventory: DataFrame, slice_size: int = 1000) -> DataFrame:
-    """Empty stock rows for every product and warehouse pair that has none.
-
-    Products are expanded by the warehouse ids, which are few; they are
-    taken in slices so that the array in the plan stays short. Pairs already
-    in ``inventory`` are left out.
-    """
-    ids = [row.id for row in warehouse.select("id").distinct().orderBy("id").toLocalIterator()]
-    price = or_zero("price")
-    base = product.select(
-        F.col("id").alias("product_id"),
-        (price * F.lit(SEED_COST_FACTOR)).cast("decimal(12,2)").alias("unit_cost"),
-    )
-    grid = None
-    for start in range(0, len(ids), slice_size):
-        slice_ids = F.array(*[F.lit(value).cast("bigint") for value in ids[start : start + slice_size]])
-        part = base.withColumn("warehouse_id", F.explode(slice_ids))
-        grid = part if grid is None else grid.unionByName(part)
-    if grid is None:
-        grid = base.withColumn("warehouse_id", F.lit(None).cast("bigint")).filter(F.lit(False))
-    existing = inventory.select("product_id", "warehouse_id")
-    return grid.join(existing, ["product_id", "warehouse_id"], "left_anti").select(
-        "product_id",
-        "warehouse_id",
-        F.lit(0).alias("quantity"),
-        F.lit(SEED_SAFETY_STOCK).alias("safety_stock"),
-        F.lit(SEED_REORDER_LEVEL).alias("reorder_level"),
-        "unit_cost",
-    )
-
-
 def movement_balance(
     log: DataFrame, order: tuple[str, ...] = ("created_at", "id"), opening: str = "opening_quantity"
 ) -> DataFrame:

@@ -8,8 +8,9 @@ from datetime import date, timedelta
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tallyhouse.session import tune
 from tallyhouse.sinks import Mode, write
-from tallyhouse.sources.layers import drop_partition, partition_values
+from tallyhouse.sources.layers import drop_partition, file_sizes, partition_values
 
 # Days kept per layer.
 RETENTION_DAYS = {"raw": 30, "silver": 90, "gold": 365, "quarantine": 14}
@@ -91,26 +92,35 @@ def expire_partitions(spark: SparkSession, path: str, column: str, layer: str, a
     return expired
 
 
+def fragmented(spark: SparkSession, path: str, column: str, target_bytes: int) -> list[str]:
+    """Partitions of several files that would fill at most half as many of ``target_bytes``."""
+    found = []
+    for value in partition_values(spark, path, column):
+        sizes = file_sizes(spark, path, column, value)
+        if len(sizes) > 1 and len(sizes) >= 2 * max(1, -(-sum(sizes) // target_bytes)):
+            found.append(value)
+    return found
+
+
 def compact(
     spark: SparkSession,
     path: str,
-    partition_by: Sequence[str],
-    where: str | None = None,
+    column: str,
     target_bytes: int = TARGET_FILE_BYTES,
-) -> None:
-    """Rewrite partitions into files of about ``target_bytes``.
-
-    The rows are rebalanced by partition and AQE cuts the tasks at the
-    target size, so a large partition becomes several files. Replacement is
-    per partition and takes effect when the job commits.
+    sort_by: Sequence[str] = (),
+) -> list[str]:
+    """Rewrite the partitions with too many small files into files of about ``target_bytes``.
+
+    Only those are read; they are found in the listing and returned. Rows are rebalanced by partition
+    and AQE cuts the tasks at the target size, in a session of its own, so that
+    other jobs keep their settings. ``sort_by`` keeps the order that the table is
+    written in. Replacement is per partition and takes effect when the job commits.
     """
-    if not partition_by:
-        raise ValueError("compaction replaces partitions; the table must have partition columns")
-    setting = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, str(target_bytes))
-    try:
-        rows = spark.read.parquet(path)
-        write(rows.filter(where) if where else rows, path, Mode.PARTITIONS, partition_by)
-    finally:
-        spark.conf.set(setting, before)
+    values = fragmented(spark, path, column, target_bytes)
+    if values:
+        own = tune(spark.newSession())
+        own.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_bytes))
+        rows = own.read.parquet(path)
+        listed = [F.lit(value).cast(rows.schema[column].dataType) for value in values]
+        write(rows.filter(F.col(column).isin(*listed)), path, Mode.PARTITIONS, [column], sort_by=sort_by)
+    return values

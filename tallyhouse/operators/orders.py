@@ -7,7 +7,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.functions import canonical, money, or_zero, status_is
+from tallyhouse.functions import canonical, money, or_zero, status_is, total
 from tallyhouse.operators.sequence import dense_sequence, previous_value
 from tallyhouse.operators.skew import absent_from, salted_join
 
@@ -134,7 +134,7 @@ def lifetime_spend(orders: DataFrame) -> DataFrame:
     return (
         orders.filter(status_is("status", "Completed"))
         .groupBy("customer_id")
-        .agg(money(F.sum("total_price")).alias("total_spent"), F.count(F.lit(1)).alias("completed_orders"))
+        .agg(total(F.sum("total_price")).alias("total_spent"), F.count(F.lit(1)).alias("completed_orders"))
     )
 
 

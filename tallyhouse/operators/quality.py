@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyhouse.functions import money, or_zero
+from tallyhouse.functions import money, or_zero, total
 from tallyhouse.operators.constraints import check_reference
 from tallyhouse.operators.validation import Rule, pass_rates, validate
 
@@ -93,7 +93,7 @@ def order_total_rules() -> list[Rule]:
 
 def judge_order_totals(orders: DataFrame, items: DataFrame) -> DataFrame:
     """Orders against the sum of their lines, with ``reject_reason``."""
-    summed = items.groupBy(F.col("order_id").alias("id")).agg(money(F.sum("amount")).alias("items_total"))
+    summed = items.groupBy(F.col("order_id").alias("id")).agg(total(F.sum("amount")).alias("items_total"))
     joined = orders.join(summed, "id", "left").withColumn("items_total", money(or_zero("items_total")))
     return validate(joined, order_total_rules())
 

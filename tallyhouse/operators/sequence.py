@@ -165,13 +165,13 @@ def running_total(
     carried = (
         rows.groupBy("_key", "_slice")
         .agg(F.sum(value).alias("_total"))
-        .withColumn("_carried", F.coalesce(F.sum("_total").over(slices), F.lit(0)))
+        .withColumn("_carried", F.sum("_total").over(slices))
         .drop("_total")
     )
     local = rows.withColumn("_local", F.sum(value).over(inside))
-    joined = local.join(carried, ["_key", "_slice"]).withColumn(
-        name, F.col("_carried") + F.col("_local")
-    )
+    # NULL only before the first value of the key, as in one window.
+    so_far = F.coalesce(F.col("_carried") + F.col("_local"), "_carried", "_local")
+    joined = local.join(carried, ["_key", "_slice"]).withColumn(name, so_far)
     return result.unionByName(joined.select(*result.columns))
 
 
@@ -232,16 +232,19 @@ def clamped_balance(
     carried = (
         local.groupBy("_key", "_slice")
         .agg(F.sum(change).alias("_total"), F.min("_sum").alias("_slice_low"))
-        .withColumn("_start", F.coalesce(F.sum("_total").over(slices), F.lit(0)))
+        .withColumn("_before", F.sum("_total").over(slices))
+        .withColumn("_start", F.coalesce("_before", F.lit(0)))
         .withColumn("_carried_low", F.min(F.col("_start") + F.col("_slice_low")).over(slices))
         .drop("_total", "_slice_low")
     )
     base = start + F.col("_start")
+    # A slice that begins with NULLs goes on with what came before it.
+    so_far = F.coalesce(base + F.col("_sum"), start + F.col("_before"))
     carried_low = start + F.col("_carried_low")
     sliced = _balance(
         local.join(carried, ["_key", "_slice"]),
         change,
-        base + F.col("_sum"),
+        so_far,
         F.least(carried_low, base + F.col("_low")),
         F.least(carried_low, base + F.col("_low_before")),
     ).select(*columns)

@@ -13,11 +13,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A key is hot above this many rows and above 1/HOT_KEYS of its table, so a
-# table never has more than HOT_KEYS hot keys. That bound is what makes
-# broadcasting the list of hot keys safe at any size.
+# A key is hot above this many rows, whatever the size of its table: the limit is
+# what one task should hold. A table of 10^12 rows has a million such keys at most.
 HOT_ROWS = 1_000_000
-HOT_KEYS = 10_000
 # Tasks over which the rows of one hot key are spread.
 SALTS = 64
 
@@ -30,14 +28,9 @@ def key_sizes(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 def hot_keys(
     df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS, sizes: DataFrame | None = None
 ) -> DataFrame:
-    """The hot keys of a table, at most ``HOT_KEYS`` rows."""
-    if sizes is None:
-        counted, total = key_sizes(df, keys), df.agg(F.count(F.lit(1))).scalar()
-    else:
-        counted, total = sizes, sizes.agg(F.sum("_rows")).scalar()
-    return counted.filter(
-        (F.col("_rows") > hot_rows) & (F.col("_rows") > total / HOT_KEYS)
-    ).select(*keys)
+    """The hot keys of a table: one row for every ``hot_rows`` rows of it at most."""
+    counted = key_sizes(df, keys) if sizes is None else sizes
+    return counted.filter(F.col("_rows") > hot_rows).select(*keys)
 
 
 def salted_join(
@@ -52,17 +45,22 @@ def salted_join(
 
     Only hot keys are salted: their fact rows get one of ``SALTS`` numbers
     and their ``keyed`` row is repeated once per number. All other keys join
-    as they are. The salt is a hash of the fact row, so a retried task sends
+    as they are. Rows without a key match nothing and are spread like hot ones.
+    The salt is a hash of the fact row, so a retried task sends
     every row to the same place. ``sizes`` (keys and ``_rows``) saves the
     count when the caller has it or can take it from a cheaper table.
     """
     if how not in ("left", "inner", "left_semi", "left_anti"):
         raise ValueError(f"salted_join keeps the fact side only, got {how!r}")
     keys = [on] if isinstance(on, str) else list(on)
-    hot = F.broadcast(hot_keys(fact, keys, hot_rows, sizes).withColumn("_hot", F.lit(True)))
+    # Spark broadcasts the list while it is small.
+    hot = hot_keys(fact, keys, hot_rows, sizes).withColumn("_hot", F.lit(True))
+    keyless = F.lit(False)
+    for key in keys:
+        keyless = keyless | F.col(key).isNull()
     salt = F.pmod(F.xxhash64(*fact.columns), F.lit(SALTS)).cast("int")
     last = F.when(F.col("_hot"), SALTS - 1).otherwise(0)
-    salted = fact.join(hot, keys, "left").withColumn("_salt", F.when(F.col("_hot"), salt).otherwise(0)).drop("_hot")
+    salted = fact.join(hot, keys, "left").withColumn("_salt", F.when(F.col("_hot") | keyless, salt).otherwise(0)).drop("_hot")
     repeated = (
         keyed.join(hot, keys, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), last))).drop("_hot")
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.functions import count_where, half_up, money, status_in, status_is
+from tallyhouse.functions import count_where, half_up, money, status_in, status_is, total
 from tallyhouse.plans.marts.logistics import shipment_times
 
 
@@ -15,8 +15,8 @@ def sales_by_channel(daily: DataFrame) -> DataFrame:
         daily.groupBy("order_date", "order_channel_id")
         .agg(
             F.sum("total_orders").alias("total_orders"),
-            money(F.sum("total_revenue")).alias("gmv"),
-            money(F.sum("total_profit")).alias("profit"),
+            total(F.sum("total_revenue")).alias("gmv"),
+            total(F.sum("total_profit")).alias("profit"),
         )
         .withColumns(
             {

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.functions import count_where, half_up, money, or_zero, status_is
+from tallyhouse.functions import count_where, half_up, money, or_zero, status_is, total
 from tallyhouse.plans.marts.shared import Tables, day, order_lines
 
 
@@ -24,7 +24,7 @@ def customer_analytics(tables: Tables, as_of: str) -> DataFrame:
         .groupBy("customer_id")
         .agg(
             F.count(F.lit(1)).alias("total_orders"),
-            money(F.sum("total_price")).alias("total_spent"),
+            total(F.sum("total_price")).alias("total_spent"),
             money(half_up(F.sum("total_price"), F.count("total_price"), 2)).alias("avg_order_value"),
             F.min("_day").alias("first_order_date"),
             F.max("_day").alias("last_order_date"),
@@ -32,7 +32,7 @@ def customer_analytics(tables: Tables, as_of: str) -> DataFrame:
         )
     )
     returns = tables["order_return"].groupBy("customer_id").agg(
-        F.count(F.lit(1)).alias("total_returns"), money(F.sum("refund_amount")).alias("total_refund_amount")
+        F.count(F.lit(1)).alias("total_returns"), total(F.sum("refund_amount")).alias("total_refund_amount")
     )
     carts = tables["cart"].groupBy("customer_id").agg(
         F.count(F.lit(1)).alias("total_carts_created"),

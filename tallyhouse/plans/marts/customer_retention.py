@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.catalog import CART_STATUSES
-from tallyhouse.functions import count_where, half_up, money, or_zero, status_is, sum_where
+from tallyhouse.functions import count_where, half_up, money, or_zero, status_is, sum_where, total
 from tallyhouse.plans.marts.shared import Tables, day
 
 # Longest silence in days per segment, shortest first.
@@ -36,7 +36,7 @@ def order_metrics(orders: DataFrame) -> DataFrame:
     ordered = F.to_date("order_date")
     return orders.groupBy("customer_id").agg(
         F.count(F.lit(1)).alias("total_orders"),
-        money(F.sum("total_price")).alias("total_spent"),
+        total(F.sum("total_price")).alias("total_spent"),
         money(half_up(F.sum("total_price"), F.count("total_price"), 2)).alias("avg_order_value"),
         F.min(ordered).alias("first_order_date"),
         F.max(ordered).alias("last_order_date"),
@@ -72,8 +72,8 @@ def cart_metrics(cart: DataFrame) -> DataFrame:
     return cart.groupBy("customer_id").agg(
         F.count(F.lit(1)).alias("total_carts"),
         *[count_where(status_is("status", name)).alias(f"{name}_carts") for name in CART_STATUSES],
-        money(F.sum(or_zero("total_amount"))).alias("total_cart_value"),
-        money(sum_where(abandoned, F.col("total_amount"))).alias("abandoned_cart_value"),
+        total(F.sum(or_zero("total_amount"))).alias("total_cart_value"),
+        total(sum_where(abandoned, F.col("total_amount"))).alias("abandoned_cart_value"),
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.functions import count_where, half_up, money, or_zero, status_is
+from tallyhouse.functions import count_where, half_up, money, or_zero, status_is, total
 from tallyhouse.plans.marts.shared import Tables, customer_places, order_lines
 
 
@@ -38,16 +38,16 @@ def daily_sales(tables: Tables, as_of: str | None = None) -> DataFrame:
         enriched.groupBy("order_date", "province_name", "order_channel_id")
         .agg(
             F.count(F.lit(1)).alias("total_orders"),
-            money(F.sum("total_price")).alias("total_revenue"),
-            money(F.sum("profit")).alias("total_profit"),
+            total(F.sum("total_price")).alias("total_revenue"),
+            total(F.sum("profit")).alias("total_profit"),
             F.sum("items_sold").alias("total_items_sold"),
             money(half_up(F.sum("total_price"), F.count("total_price"), 2)).alias("avg_order_value"),
-            money(F.sum(or_zero("items_discount"))).alias("total_discount_amount"),
+            total(F.sum(or_zero("items_discount"))).alias("total_discount_amount"),
             count_where(status_is("status", "Completed")).alias("completed_orders"),
             count_where(status_is("status", "Cancelled")).alias("cancelled_orders"),
             count_where(status_is("status", "Returned")).alias("returned_orders"),
             F.sum(or_zero("returns")).alias("total_returns_count"),
-            money(F.sum(or_zero("refunds"))).alias("total_refund_amount"),
+            total(F.sum(or_zero("refunds"))).alias("total_refund_amount"),
         )
         .withColumn(
             "cancellation_rate",

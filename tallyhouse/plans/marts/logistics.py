@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.functions import count_where, half_up, money, status_is
+from tallyhouse.functions import count_where, half_up, money, status_is, total
 from tallyhouse.plans.marts.shared import Tables, customer_places
 
 
@@ -56,7 +56,7 @@ def logistics(tables: Tables, as_of: str | None = None) -> DataFrame:
     timed = F.count("delivery_seconds")
     return sent.groupBy("logistics_partner_name", "shipping_method_name", "province_name").agg(
         F.count("_sent").alias("total_shipments"),
-        money(F.sum("shipping_cost")).alias("total_shipping_cost"),
+        total(F.sum("shipping_cost")).alias("total_shipping_cost"),
         money(half_up(F.sum("shipping_cost"), F.count("shipping_cost"), 2)).alias("avg_shipping_cost"),
         half_up(F.sum("_rating"), F.count("_rating"), 2).cast("decimal(3,2)").alias("partner_rating"),
         half_up(count_where(F.col("is_expedited")) * 100, F.count(F.lit(1)), 2)

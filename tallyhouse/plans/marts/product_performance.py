@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.functions import half_up, money, or_zero
+from tallyhouse.functions import half_up, money, or_zero, total
 from tallyhouse.plans.marts.shared import Tables, product_tree
 
 
@@ -14,7 +14,7 @@ def product_performance(tables: Tables, as_of: str | None = None) -> DataFrame:
     items = tables["order_items"]
     sales = items.groupBy("product_id").agg(
         F.sum("quantity").alias("total_sold"),
-        money(F.sum("amount")).alias("total_revenue"),
+        total(F.sum("amount")).alias("total_revenue"),
         money(half_up(F.sum("unit_price"), F.count("unit_price"), 2)).alias("avg_unit_price"),
     )
     # Both sides come straight from their tables, so AQE can split an order

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.catalog import RETURN_STATUSES, RETURN_TYPES
-from tallyhouse.functions import count_where, half_up, money, or_zero
+from tallyhouse.functions import count_where, half_up, money, or_zero, total
 from tallyhouse.plans.marts.shared import Tables, product_tree
 
 
@@ -39,11 +39,11 @@ def return_analysis(tables: Tables, as_of: str | None = None) -> DataFrame:
             F.count_distinct("order_id").alias("distinct_orders_returned"),
             *[count_where(F.col("return_type") == kind).alias(f"{kind}_count") for kind in RETURN_TYPES],
             *[count_where(F.col("status") == state).alias(f"status_{state}") for state in RETURN_STATUSES],
-            money(F.sum("_refund")).alias("total_refund_amount"),
+            total(F.sum("_refund")).alias("total_refund_amount"),
             money(half_up(F.sum("_refund"), F.count(F.lit(1)), 2)).alias("avg_refund_amount"),
             half_up(F.sum("_days"), F.count("_days"), 1).cast("double").alias("avg_resolution_days"),
             F.sum(or_zero("_quantity")).alias("total_quantity_in_returned_orders"),
-            money(F.sum(or_zero("_amount"))).alias("total_revenue_in_returned_orders"),
+            total(F.sum(or_zero("_amount"))).alias("total_revenue_in_returned_orders"),
             F.count("reason").alias("total_reason_entries"),
         )
     )

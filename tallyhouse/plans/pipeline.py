@@ -47,9 +47,13 @@ def extract(name: str, source: DataFrame, ds: str) -> DataFrame:
 
 
 def load_raw(name: str, source: DataFrame, root: str, ds: str) -> bool:
-    """Extract into the raw layer by ingestion date; False when there was nothing."""
+    """Extract into the raw layer by ingestion date; False when there was nothing.
+
+    A day that was loaded before and is empty now loses its rows.
+    """
     rows = extract(name, source, ds)
     if is_empty(rows):
+        clear_day(rows.sparkSession, layer_path(root, "raw", name), ds)
         return False
     write(
         with_audit(rows, ds), layer_path(root, "raw", name), Mode.PARTITIONS, ["ingestion_date"], cluster=False
@@ -57,6 +61,12 @@ def load_raw(name: str, source: DataFrame, root: str, ds: str) -> bool:
     return True
 
 
+def clear_day(spark: SparkSession, path: str, ds: str) -> None:
+    """Remove a day's partition; replacing partitions by no rows would leave it."""
+    if ds in partition_values(spark, path, "ingestion_date"):
+        drop_partition(spark, path, "ingestion_date", ds)
+
+
 def key_rules(name: str) -> list[Rule]:
     return [Rule(f"null_{key}", F.col(key).isNotNull()) for key in lookup(name).key]
 
@@ -69,34 +79,33 @@ def load_silver(spark: SparkSession, name: str, root: str, ds: str, rules: Itera
     judged = validate(raw, rules)
     cleaned = with_lineage(clean(name, accepted(judged)), f"raw.{name}")
     order = spec.partition_column or spec.event_time
-    write(
-        cleaned,
-        layer_path(root, "silver", name),
-        Mode.PARTITIONS,
-        ["ingestion_date"],
-        cluster=False,
-        sort_by=[order] if order in cleaned.columns else (),
-    )
-    rejected, bin_path = quarantined(judged), layer_path(root, "quarantine", name)
-    if not is_empty(rejected):
-        write(rejected, bin_path, Mode.PARTITIONS, ["ingestion_date"], cluster=False)
-    elif ds in partition_values(spark, bin_path, "ingestion_date"):
-        drop_partition(spark, bin_path, "ingestion_date", ds)
+    by_order = [order] if order in cleaned.columns else ()
+    for rows, layer, sort_by in ((cleaned, "silver", by_order), (quarantined(judged), "quarantine", ())):
+        path = layer_path(root, layer, name)
+        if is_empty(rows):
+            clear_day(spark, path, ds)
+        else:
+            write(rows, path, Mode.PARTITIONS, ["ingestion_date"], cluster=False, sort_by=sort_by)
 
 
-def silver_view(spark: SparkSession, name: str, root: str) -> DataFrame:
-    """Current rows of a silver table: the last ingested version of every key.
+def silver_view(spark: SparkSession, name: str, root: str, ds: str | None = None) -> DataFrame:
+    """Rows of a silver table as of a day, or now: the last version of every key ingested by then.
 
     Snapshot tables repeat in full each day, so for them only the newest
-    batch is read; its day comes from the directory listing. A table that
-    has never been loaded is empty.
+    batch is read; its day comes from the directory listing. A log never gets
+    a second version of a row and is read as it is. A table that
+    has not been loaded by then is empty.
     """
     spec = lookup(name)
     days = partition_values(spark, layer_path(root, "silver", name), "ingestion_date")
+    days = [day for day in days if ds is None or day <= ds]
     if not days:
         return spark.createDataFrame([], spec.schema)
     rows = read_layer(spark, root, "silver", name)
     if spec.mode == INCREMENTAL:
+        rows = rows.where(F.col("ingestion_date") <= F.lit(days[-1]).cast(rows.schema["ingestion_date"].dataType))
+        if spec.append_only:
+            return rows
         return latest_by_key(rows, spec.key, ["ingestion_date", "processed_at"])
     return batch(rows, days[-1])
 
@@ -132,7 +141,10 @@ def run_day(
     for name, source in sources.items():
         if load_raw(name, source, root, ds):
             load_silver(spark, name, root, ds)
-    tables = {name: silver_view(spark, name, root) for name in TABLES}
+        else:
+            for layer in ("silver", "quarantine"):
+                clear_day(spark, layer_path(root, layer, name), ds)
+    tables = {name: silver_view(spark, name, root, ds) for name in TABLES}
     marts = list(marts)
     if len(SHARE_ITEMS.intersection(marts)) > 1:
         tables["items_per_order"] = materialise(items_per_order(tables["order_items"]))

@@ -50,8 +50,8 @@ def start(app_name: str = "tallyhouse", master: str | None = None, **conf: str)
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    A private folder is made only when the setting is absent, which is the
-    case in local tests.
+    A private folder is made only where the setting is absent and the master is local, as in tests;
+    on a cluster every machine would write to a folder of its own.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir"
@@ -59,6 +59,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         return configured
     if spark.sparkContext.getCheckpointDir() is None:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tallyhouse-checkpoint-"))
     return spark.sparkContext.getCheckpointDir()
 

@@ -8,10 +8,11 @@ from tallyhouse.sources.extract import (  # noqa: F401
     with_audit,
 )
 from tallyhouse.sources.files import export_parquet, read_csv, reassign_ids  # noqa: F401
-from tallyhouse.sources.jdbc import read_jdbc  # noqa: F401
+from tallyhouse.sources.jdbc import Split, read_jdbc  # noqa: F401
 from tallyhouse.sources.layers import (  # noqa: F401
     LAYERS,
     drop_partition,
+    file_sizes,
     layer_path,
     partition_values,
     read_layer,

@@ -41,3 +41,15 @@ def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
 def drop_partition(spark: SparkSession, path: str, column: str, value: str) -> None:
     root, files = _folder(spark, f"{path}/{column}={value}")
     files.delete(root, True)
+
+
+def file_sizes(spark: SparkSession, path: str, column: str, value: str) -> list[int]:
+    """Bytes of each data file of a partition, from the directory listing alone."""
+    root, files = _folder(spark, f"{path}/{column}={value}")
+    named = [(status.getPath().getName(), status.getLen()) for status in files.listStatus(root) if status.isFile()]
+    return [size for name, size in named if not name.startswith(("_", "."))]
+
+
+def is_file(spark: SparkSession, path: str) -> bool:
+    root, files = _folder(spark, path)
+    return files.exists(root) and files.getFileStatus(root).isFile()

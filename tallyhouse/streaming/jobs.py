@@ -9,25 +9,29 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tallyhouse.operators.activity import daily_activity
 from tallyhouse.operators.carts import IDLE_DAYS
+from tallyhouse.sources.layers import is_file
 
 # Events later than this behind the newest one are dropped.
 LATENESS = "1 day"
 
 
 def read_stream(
-    spark: SparkSession,
-    path: str,
-    schema: T.StructType | str,
-    max_files: int = 1000,
-    pattern: str = "*.parquet",
+    spark: SparkSession, path: str, schema: T.StructType | str, max_files: int | None = None
 ) -> DataFrame:
-    """New parquet files of a folder as a stream."""
-    return (
-        spark.readStream.schema(schema)
-        .option("maxFilesPerTrigger", max_files)
-        .option("pathGlobFilter", pattern)
-        .parquet(path)
-    )
+    """New parquet files of a table, a folder or a single file, as a stream.
+
+    The watermark advances after every trigger. A cap on the files of a trigger is
+    therefore right only where files arrive in order of time; without one,
+    a trigger takes all that is there and nothing of it is late.
+    """
+    reader = spark.readStream.schema(schema)
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    if is_file(spark, path):
+        # A stream reads folders; one file is its folder with all other files left out.
+        path, _, name = path.rpartition("/")
+        reader = reader.option("pathGlobFilter", name)
+    return reader.parquet(path)
 
 
 def timed(events: DataFrame, lateness: str) -> DataFrame:

@@ -39,7 +39,6 @@ JOBS = {
     "demand_cover": lambda t: inventory.demand_cover(t["order_items"], t["inventory"]),
     "change_log": lambda t: inventory.change_log(t["inventory"], t["inventory"]),
     "seed_gaps": lambda t: inventory.seed_gaps(t["product"], t["warehouse"], t["inventory"]),
-    "seed_rows": lambda t: inventory.seed_rows(t["product"], t["warehouse"], t["inventory"]),
     "movement_balance": lambda t: inventory.movement_balance(t["inventory_log"].withColumn("opening_quantity", F.lit(0))),
     "stocked_warehouses": lambda t: inventory.stocked_warehouses(t["warehouse"], t["inventory"]),
     "customer_tiers": lambda t: customers.customer_tiers(t["customers"], t["orders"]),

@@ -79,14 +79,21 @@ def test_compaction_keeps_rows_and_cuts_files(spark, tmp_path):
     write(df, str(path), Mode.APPEND, ["ds"], cluster=False)
     files = {ds: len(list((path / f"ds={ds}").glob("*.parquet"))) for ds in "ab"}
     assert files == {"a": 12, "b": 4}
-    compact(spark, str(path), ["ds"], where="ds = 'a'", target_bytes=2000)
-    assert 1 < len(list((path / "ds=a").glob("*.parquet"))) < 12
-    compact(spark, str(path), ["ds"], where="ds = 'a'")
-    assert len(list((path / "ds=a").glob("*.parquet"))) == 1
-    assert len(list((path / "ds=b").glob("*.parquet"))) == 4
+    setting = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert compact(spark, str(path), "ds", sort_by=["id"]) == ["a", "b"]
+    assert {ds: len(list((path / f"ds={ds}").glob("*.parquet"))) for ds in "ab"} == {"a": 1, "b": 1}
+    assert [r.id for r in spark.read.parquet(str(path / "ds=b")).collect()] == list(range(3000, 4000))
     assert spark.read.parquet(str(path)).selectExpr("count(*) n", "sum(id) s").first() == (4000, 4000 * 3999 // 2)
-    with pytest.raises(ValueError):
-        compact(spark, str(path), [])
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == setting
+
+
+def test_compaction_leaves_well_filled_partitions_alone(spark, tmp_path):
+    path = tmp_path / "t"
+    df = spark.range(0, 4000, 1, 4).withColumn("ds", F.lit("a"))
+    write(df, str(path), Mode.APPEND, ["ds"], cluster=False)
+    before = sorted(path.glob("ds=a/*.parquet"))
+    assert compact(spark, str(path), "ds", target_bytes=3000) == []
+    assert sorted(path.glob("ds=a/*.parquet")) == before
 
 
 def test_materialised_rows_use_the_configured_folder(spark):

@@ -97,3 +97,39 @@ def test_nothing_new_writes_nothing(spark, lake, tmp_path):
 
 def test_a_table_never_loaded_is_empty(spark, tmp_path):
     assert silver_view(spark, "orders", str(tmp_path)).isEmpty()
+
+
+@pytest.fixture
+def carts(spark):
+    def day(ds, *rows):
+        return spark.createDataFrame(list(rows), "id long, status string, total_amount int").selectExpr(
+            "id", "1L customer_id", "'Web' channel", "status", "cast(total_amount as decimal(12,2)) total_amount", "1 item_count",
+            f"timestamp'{ds} 10:00:00' created_at", "cast(null as timestamp) updated_at")
+
+    return day
+
+
+def test_a_reload_with_only_rejected_rows_clears_the_day(spark, carts, tmp_path):
+    root = str(tmp_path)
+    run_day(spark, {"cart": carts(DAY, (1, "active", 5))}, root, DAY, marts=())
+    run_day(spark, {"cart": carts(DAY, (None, "active", 5))}, root, DAY, marts=())
+    assert silver_view(spark, "cart", root).isEmpty()
+    assert read_layer(spark, root, "quarantine", "cart").count() == 1
+
+
+def test_an_emptied_source_clears_the_day_and_no_other(spark, carts, tmp_path):
+    root, later = str(tmp_path), "1998-01-06"
+    run_day(spark, {"cart": carts(DAY, (1, "active", 5))}, root, DAY, marts=())
+    run_day(spark, {"cart": carts(later, (2, "active", 6))}, root, later, marts=())
+    run_day(spark, {"cart": carts(later, (2, "active", 6)).limit(0)}, root, later, marts=())
+    assert [row.id for row in silver_view(spark, "cart", root).collect()] == [1]
+    assert [str(row.ingestion_date) for row in read_layer(spark, root, "raw", "cart").collect()] == [DAY]
+
+
+def test_a_mart_of_an_earlier_day_sees_that_day(spark, carts, tmp_path):
+    root, later = str(tmp_path), "1998-01-06"
+    run_day(spark, {"cart": carts(DAY, (1, "active", 5))}, root, DAY, marts=())
+    run_day(spark, {"cart": carts(later, (1, "abandoned", 9), (2, "active", 1))}, root, later, marts=())
+    assert {(r.id, r.status) for r in silver_view(spark, "cart", root, DAY).collect()} == {(1, "active")}
+    assert {r.id for r in silver_view(spark, "cart", root, later).collect()} == {1, 2}
+    assert silver_view(spark, "cart", root, "1998-01-04").isEmpty()

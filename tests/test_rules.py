@@ -96,19 +96,11 @@ def test_change_log_has_one_row_per_change(make):
     assert result == {2: (5, 9, "restock"), 3: (5, 0, "sale"), 4: (0, 2, "restock")}
 
 
-@pytest.mark.parametrize("slice_size", [1, 1000])
-def test_seed_fills_missing_pairs_only(product, stock, make, rows, slice_size):
+def test_seed_gaps_count_missing_warehouses(product, stock, make):
     warehouse = make("id long; name string", (1, "a"), (2, "b"))
-    seeded = inventory.seed_rows(product, warehouse, stock, slice_size)
-    assert rows(seeded, "product_id", "warehouse_id") == [(2, 2), (3, 2), (4, 1), (4, 2)]
-    cost = {row.product_id: row.unit_cost for row in seeded.collect()}
-    assert cost == {2: D("14.00"), 3: D("21.00"), 4: D("0.00")}
-    gaps = {row.product_id: row.missing_warehouses for row in inventory.seed_gaps(product, warehouse, stock).collect()}
-    assert gaps == {1: 0, 2: 1, 3: 1, 4: 2}
-
-
-def test_seed_without_warehouses(product, stock, make):
-    assert inventory.seed_rows(product, make("id long; name string"), stock).count() == 0
+    found = {row.product_id: (row.missing_warehouses, row.unit_cost) for row in inventory.seed_gaps(product, warehouse, stock).collect()}
+    assert {k: v[0] for k, v in found.items()} == {1: 0, 2: 1, 3: 1, 4: 2}
+    assert {k: found[k][1] for k in (2, 3, 4)} == {2: D("14.00"), 3: D("21.00"), 4: D("0.00")}
 
 
 def test_movement_balance_drops_no_ops(make):

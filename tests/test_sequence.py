@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import random
 
+import random
+
 import pytest
 
 from tallyhouse.operators.sequence import (
@@ -97,3 +99,20 @@ def test_dense_sequence_without_groups(spark):
     numbered = dense_sequence(df, "id", "n")
     assert numbered.filter("n <> id / 7 + 1").count() == 0
     assert numbered.count() == df.count()
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_slices_equal_one_window_with_nulls_and_ties(spark, rows, seed):
+    """Mostly NULL values, so that slices begin with them; times tie and ids decide."""
+    draw = random.Random(seed)
+    data = [
+        (k, draw.randrange(9), n, draw.choice([None, None, None, -6, -1, 2, 5]), 3)
+        for n, k in enumerate(draw.choice([1, 1, 1, 2, None]) for _ in range(160))
+    ]
+    df = spark.createDataFrame(data, "k int, t int, id int, v int, opening int").repartition(5)
+    for job in (
+        lambda hot: running_total(df, ["k"], ["t", "id"], "v", "out", hot),
+        lambda hot: previous_value(df, ["k"], ["t", "id"], "v", "out", hot),
+        lambda hot: clamped_balance(df, ["k"], ["t", "id"], "v", "opening", hot),
+    ):
+        assert rows(job(5)) == rows(job(10_000))

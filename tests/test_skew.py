@@ -58,3 +58,19 @@ def test_absent_and_present_split_the_left_side(spark, rows):
     right = spark.createDataFrame([(1,), (1,), (None,)], "ref long")
     assert rows(absent_from(left, right, {"id": "ref"})) == [(2,), (None,)]
     assert rows(present_in(left, right, {"id": "ref"})) == [(1,)]
+
+
+@pytest.mark.parametrize("how, kept", [("left", 300), ("left_anti", 300), ("inner", 0), ("left_semi", 0)])
+def test_rows_without_a_key_reach_many_tasks(spark, sides, how, kept):
+    _, keyed = sides
+    fact = spark.range(300).selectExpr("cast(null as long) k", "id v")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = salted_join(fact, keyed, "k", how)
+        tasks = joined.groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sum(row["count"] for row in tasks) == kept
+    assert not kept or len(tasks) > 1
