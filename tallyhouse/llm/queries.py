@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import bpe, decontam, langid, linededup, neardup, pylm, quality, tokenfile, urlfilter, warc
+from tallyhouse.llm import bpe, decontam, langid, linededup, neardup, pylm, quality, sql, tokenfile, urlfilter, warc
 from tallyhouse.llm.common import table
 
 
@@ -89,4 +89,12 @@ def llm_queries() -> dict[str, Query]:
 
 
 def llm_oracle() -> dict[str, str]:
-    return {}
+    """SQL for the queries that it can express; the others are tested against plain versions."""
+    return {
+        "op2_minhash_near_duplicates": sql.NEAR_DUPLICATES,
+        "op3_benchmark_decontamination": sql.DECONTAMINATION,
+        "op4_warc_archives": sql.ARCHIVES,
+        "op5_quality_rules": sql.quality_rules(),
+        "op7_line_dedup": sql.LINE_DEDUP,
+        "op10_url_filters": sql.url_filters(),
+    }
