@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyhouse.adapters import SOURCES, Retail
+from tallyhouse.catalog import TABLES
 from tallyhouse.functions import status_is
 from tallyhouse.operators import (
     activity,
@@ -542,8 +543,7 @@ def cart_session_stream(r: Retail) -> DataFrame:
 
 @query
 def constraint_check(r: Retail) -> DataFrame:
-    names = ("orders", "order_items", "order_return", "inventory", "wishlist", "cart_items", "customers")
-    return constraints.check_all(r, names)
+    return constraints.check_all(r, [name for name in r if name in TABLES])
 
 
 @query

@@ -161,6 +161,11 @@ def _least(table: str, view: str, column: str, least: int) -> str:
     )
 
 
+BRANDS = "(select distinct brand_id id from v_product)"
+SUB_CATEGORIES = """(select distinct sub_category_id id, case category_name when 'SIZED' then 1 else 2 end category_id
+    from v_product)"""
+CATEGORIES = "(select distinct case category_name when 'SIZED' then 1 else 2 end id from v_product)"
+
 CONSTRAINTS = "\nunion all ".join(
     [
         _unique("orders", "v_orders", "id"),
@@ -194,6 +199,39 @@ CONSTRAINTS = "\nunion all ".join(
         _unique("customers", "v_customers", "id"),
         _reference("customers", "v_customers", "geo_location_id", "v_geo", "ward_code"),
         _domain("customers", "v_customers", "tier", "Bronze", "Silver", "Gold", "Platinum"),
+        _unique("geo_location", "v_geo", "ward_code"),
+        _unique("product", "v_product", "id"),
+        _reference("product", "v_product", "brand_id", BRANDS, "id"),
+        _reference("product", "v_product", "sub_category_id", SUB_CATEGORIES, "id"),
+        _unique("brand", BRANDS, "id"),
+        _unique("sub_category", SUB_CATEGORIES, "id"),
+        _reference("sub_category", SUB_CATEGORIES, "category_id", CATEGORIES, "id"),
+        _unique("category", CATEGORIES, "id"),
+        _unique("warehouse", "v_warehouse", "id"),
+        _reference("warehouse", "v_warehouse", "geo_location_id", "v_geo", "ward_code"),
+        _unique("logistics_partner", "v_partner", "id"),
+        _unique("order_channel", "v_method", "id"),
+        _unique("shipping_method", "v_method", "id"),
+        _reference("inventory_log", "v_inventory_log", "inventory_id", "v_inventory", "id"),
+        _domain("inventory_log", "v_inventory_log", "change_type", "sale", "restock", "return", "adjustment", "damage"),
+        _unique("shipment", "v_shipment", "id"),
+        _reference("shipment", "v_shipment", "logistics_partner_id", "v_partner", "id"),
+        _unique("customer_activity_log", "v_activity", "id"),
+        _reference("customer_activity_log", "v_activity", "customer_id", "v_customers", "id"),
+        _reference("customer_activity_log", "v_activity", "product_id", "v_product", "id"),
+        _domain(
+            "customer_activity_log", "v_activity", "activity_type",
+            "view", "search", "add_to_cart", "remove_from_cart", "purchase", "review", "wishlist",
+        ),
+        _unique("cart", "v_cart", "id"),
+        _reference("cart", "v_cart", "customer_id", "v_customers", "id"),
+        _domain("cart", "v_cart", "status", "active", "checked_out", "abandoned", "expired"),
+        _reference("product_review", "v_review", "product_id", "v_product", "id"),
+        _reference("product_review", "v_review", "customer_id", "v_customers", "id"),
+        _domain("product_review", "v_review", "rating", "1", "2", "3", "4", "5"),
+        _unique("discount", "v_discount", "id"),
+        _unique("payment", "v_payment", "id"),
+        _reference("order_status_history", "v_status_history", "order_id", "v_orders", "id"),
     ]
 )
 

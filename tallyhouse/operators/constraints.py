@@ -1,19 +1,24 @@
 """Key, reference and domain checks as one result row per check.
 
-Hot keys cost nothing extra: rows are counted per key first, with map-side
+Rules that a row meets by itself share one pass over the table; every key and
+reference takes one grouping. Hot keys cost nothing extra: rows are counted per key first, with map-side
 combine, and only the counts travel.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.catalog import table as lookup
 
+# The smallest number that a column may hold.
+LEAST = {"inventory": {"quantity": 0}, "cart_items": {"quantity": 1}}
+
 
 def _row(counts: DataFrame, table: str, rule: str) -> DataFrame:
     return counts.select(
@@ -24,9 +29,44 @@ def _row(counts: DataFrame, table: str, rule: str) -> DataFrame:
     )
 
 
-def check_not_null(df: DataFrame, table: str, column: str) -> DataFrame:
-    counts = df.agg(F.count(F.lit(1)).alias("checked"), F.count_if(F.col(column).isNull()).alias("failed"))
-    return _row(counts, table, f"not_null({column})")
+@dataclass(frozen=True)
+class RowRule:
+    """A rule that each row meets or fails by itself: which rows it judges, and which of them fail."""
+
+    name: str
+    judged: Column
+    failed: Column
+
+
+def not_null(column: str) -> RowRule:
+    return RowRule(f"not_null({column})", F.lit(True), F.col(column).isNull())
+
+
+def domain(column: str, allowed: Iterable[str]) -> RowRule:
+    return RowRule(f"domain({column})", F.col(column).isNotNull(), ~F.col(column).cast("string").isin(list(allowed)))
+
+
+def at_least(column: str, least: int) -> RowRule:
+    return RowRule(f"at_least({column},{least})", F.col(column).isNotNull(), F.col(column) < least)
+
+
+def check_rows(df: DataFrame, table: str, rules: Iterable[RowRule]) -> DataFrame:
+    """All row rules of a table in one pass, a result row for each."""
+    rules = list(rules)
+    counts = df.agg(
+        *[F.count_if(rule.judged).alias(f"_checked_{k}") for k, rule in enumerate(rules)],
+        *[F.count_if(rule.failed).alias(f"_failed_{k}") for k, rule in enumerate(rules)],
+    )
+    each = [
+        F.struct(
+            F.lit(table).alias("table_name"),
+            F.lit(rule.name).alias("rule"),
+            F.col(f"_checked_{k}").alias("checked"),
+            F.col(f"_failed_{k}").alias("failed"),
+        )
+        for k, rule in enumerate(rules)
+    ]
+    return counts.select(F.inline(F.array(*each)))
 
 
 def check_unique(df: DataFrame, table: str, columns: Iterable[str]) -> DataFrame:
@@ -52,17 +92,6 @@ def check_reference(df: DataFrame, table: str, column: str, parent: DataFrame, p
     return _row(counts, table, f"reference({column})")
 
 
-def check_domain(df: DataFrame, table: str, column: str, allowed: Iterable[str]) -> DataFrame:
-    outside = ~F.col(column).cast("string").isin(list(allowed))
-    counts = df.agg(F.count(column).alias("checked"), F.count_if(outside).alias("failed"))
-    return _row(counts, table, f"domain({column})")
-
-
-def check_range(df: DataFrame, table: str, column: str, least: int) -> DataFrame:
-    counts = df.agg(F.count(column).alias("checked"), F.count_if(F.col(column) < least).alias("failed"))
-    return _row(counts, table, f"at_least({column},{least})")
-
-
 def check_table(tables: Mapping[str, DataFrame], name: str) -> DataFrame:
     """Every declared key, reference and domain of one table that its columns allow."""
     spec = lookup(name)
@@ -74,13 +103,10 @@ def check_table(tables: Mapping[str, DataFrame], name: str) -> DataFrame:
     for column, (parent, parent_key) in spec.references.items():
         if column in df.columns and parent in tables:
             checks.append(check_reference(df, name, column, tables[parent], parent_key))
-    for column, allowed in spec.domains.items():
-        if column in df.columns:
-            checks.append(check_domain(df, name, column, allowed))
-    if name == "inventory":
-        checks.append(check_range(df, name, "quantity", 0))
-    if name == "cart_items":
-        checks.append(check_range(df, name, "quantity", 1))
+    rules = [domain(column, allowed) for column, allowed in spec.domains.items() if column in df.columns]
+    rules += [at_least(column, least) for column, least in LEAST.get(name, {}).items()]
+    if rules:
+        checks.append(check_rows(df, name, rules))
     return reduce(DataFrame.unionByName, checks)
 
 

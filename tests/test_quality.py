@@ -73,9 +73,9 @@ def test_constraint_checks(spark, rows):
     child = spark.createDataFrame([(1, "a"), (1, "a"), (9, "z"), (None, None)], "ref long, kind string")
     assert constraints.check_reference(child, "t", "ref", parent, "id").first()[2:] == (3, 1)
     assert constraints.check_unique(child, "t", ["ref"]).first()[2:] == (3, 1)
-    assert constraints.check_domain(child, "t", "kind", ["a"]).first()[2:] == (3, 1)
-    assert constraints.check_not_null(child, "t", "ref").first()[2:] == (4, 1)
-    assert constraints.check_range(child, "t", "ref", 2).first()[2:] == (3, 2)
+    rules = [constraints.domain("kind", ["a"]), constraints.not_null("ref"), constraints.at_least("ref", 2)]
+    assert rows(constraints.check_rows(child, "t", rules)) == [
+        ("t", "at_least(ref,2)", 3, 2), ("t", "domain(kind)", 3, 1), ("t", "not_null(ref)", 4, 1)]
     empty = child.filter("ref = 77")
     assert constraints.check_reference(empty, "t", "ref", parent, "id").first()[2:] == (0, 0)
 
