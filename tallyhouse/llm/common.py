@@ -16,6 +16,8 @@ from tallyhouse.session import checkpoint_dir
 
 #: Memory of a worker's word cache is bounded by this many entries.
 CACHE_ENTRIES = 400_000
+#: Bytes of a record batch that are turned into Python values at a time.
+PIECE_BYTES = 8 << 20
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -103,16 +105,23 @@ def wide(spark: SparkSession) -> int:
 Columns = dict[str, list]
 
 
+def pieces(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    rows = max(1, batch.num_rows * PIECE_BYTES // max(1, batch.nbytes))
+    for start in range(0, batch.num_rows, rows):
+        yield batch.slice(start, rows)
+
+
 def map_columns(df: DataFrame, schema: T.StructType, work: Callable[[Iterator[Columns]], Iterator[Columns]]) -> DataFrame:
     """Run ``work`` over each partition's record batches, as lists of Python values by column.
 
-    Integers beside nulls stay integers. ``work`` may return any number of
-    batches, each a list for every column of ``schema``.
+    Integers beside nulls stay integers. A batch of long values comes in pieces of about ``PIECE_BYTES``.
+    ``work`` may return any number of batches, each a list for every column of ``schema``.
     """
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for columns in work(batch.to_pydict() for batch in batches):
+        for columns in work(piece.to_pydict() for batch in batches for piece in pieces(batch)):
             yield pa.RecordBatch.from_pydict({f.name: columns[f.name] for f in arrow}, schema=arrow)
 
+
     return df.mapInArrow(run, schema)

@@ -30,6 +30,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
+from copy import copy
 from dataclasses import dataclass
 
 import numpy as np
@@ -43,9 +44,9 @@ from tallyhouse.llm.common import Columns, map_columns, stored, text_bytes, wide
 
 END = b"\n"
 #: Tokens and documents of one stretch.
-STRETCH_TOKENS, STRETCH_DOCUMENTS = 2_000_000, 60_000
+STRETCH_TOKENS, STRETCH_DOCUMENTS = 600_000, 60_000
 #: Dishes that a block gathers before it merges equal ones.
-MERGE = 2_000_000
+MERGE = 800_000
 #: Masks of a context at each level, from the leaves to the root.
 LEVELS = (0xFFFF, 0xFF, 0)
 STRENGTH = (1.0, 1.0, 1.0)
@@ -195,7 +196,7 @@ def log_gamma(x: np.ndarray) -> np.ndarray:
     """Logarithm of the gamma function for positive numbers, by Stirling's series from x + 6 on."""
     shift = np.log(x * (x + 1) * (x + 2)) + np.log((x + 3) * (x + 4) * (x + 5))
     y = x + 6
-    return (y - 0.5) * np.log(y) - y + 0.9189385332046727 + 1 / (12 * y) - 1 / (360 * y**3) - shift
+    return (y - 0.5) * np.log(y) - y + 0.9189385332046727 + 1 / (12 * y) - 1 / (360 * y**3) + 1 / (1260 * y**5) - shift
 
 
 def seated(
@@ -260,13 +261,23 @@ class Block:
         for mask in LEVELS[1:]:
             keys, up = np.unique((self.keys[-1] & ~0xFFFF) | (self.keys[-1] & mask), return_inverse=True)
             self.keys.append(keys)
-            self.up.append(up)
-        self.contexts = [k & 0xFFFF for k in self.keys]
+            self.up.append(up.astype(np.int32))
+        self.contexts = [(k & 0xFFFF).astype(np.int32) for k in self.keys]
         self.tables = [np.ones(len(k), dtype=np.int64) for k in self.keys]
         if tables is not None:
-            self.tables = [np.frombuffer(t, dtype="<u4").astype(np.int64) for t in tables]
+            self._take(tables)
         self._seat_above()
 
+    def _take(self, tables: list[bytes]) -> None:
+        self.tables = [np.frombuffer(t, dtype="<u4").astype(np.int64) for t in tables]
+
+    def with_tables(self, tables: list[bytes]) -> Block:
+        """The same dishes with other tables."""
+        other = copy(self)
+        other._take(tables)
+        other._seat_above()
+        return other
+
     def _seat_above(self) -> None:
         self.customers = [self.dishes.count.astype(np.int64)]
         for up, tables, keys in zip(self.up, self.tables, self.keys[1:]):
@@ -418,11 +429,20 @@ def sampled(blocks: DataFrame, totals: Totals, steps: int, samples: int, seed: i
     return stored(map_columns(blocks, BLOCKS, run), "language-model-blocks")
 
 
+def places(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each wanted value lies in the ascending ``keys``, and whether it is there."""
+    at = np.searchsorted(keys, wanted)
+    there = at < len(keys)
+    there[there] = keys[at[there]] == wanted[there]
+    return at, there
+
+
 class Model:
     """A block with several samples, ready to score dishes."""
 
     def __init__(self, data: bytes, tables: list[bytes], totals: list[Totals], tokens: int):
-        self.samples = [Block(data, tables[k : k + 3]) for k in range(0, len(tables), 3)]
+        first = Block(data, tables[:3])
+        self.samples = [first] + [first.with_tables(tables[k : k + 3]) for k in range(3, len(tables), 3)]
         self.totals, self.tokens = totals, tokens
         dishes = self.samples[0].dishes
         self.words = dishes.words
@@ -430,10 +450,9 @@ class Model:
 
     def score(self, asked: Dishes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """For each asked dish: log10 of its mean probability, of its base probability, and whether the word is known."""
-        place = np.searchsorted(self.words, asked.words)
-        place[place == len(self.words)] = 0
-        known = self.words[place] == asked.words if len(self.words) else np.zeros(len(asked.words), dtype=bool)
-        counts = np.where(known, self.counts[place], 0.0)
+        place, known = places(self.words, asked.words)
+        counts = np.zeros(len(place))
+        counts[known] = self.counts[place[known]]
         base = np.log10((counts + 0.5) / (self.tokens + 0.5 * round(1 / self.totals[0].base)))
         # An unknown word has a key that no dish has.
         key = np.where(known, place, -1)[asked.word] * 65536 + asked.context
@@ -442,10 +461,9 @@ class Model:
             probability: np.ndarray | float = totals.base
             for level in (2, 1, 0):
                 want = (key & ~0xFFFF) | (key & LEVELS[level])
-                at = np.searchsorted(block.keys[level], want)
-                at[at == len(block.keys[level])] = 0
-                there = block.keys[level][at] == want
-                customers, tables = np.where(there, block.customers[level][at], 0), np.where(there, block.tables[level][at], 0)
+                at, there = places(block.keys[level], want)
+                customers, tables = np.zeros(len(at)), np.zeros(len(at))
+                customers[there], tables[there] = block.customers[level][at[there]], block.tables[level][at[there]]
                 probability = totals.predictive(level, want & LEVELS[level], customers, tables, probability)
             mean = mean + probability / len(self.samples)
         return np.log10(mean), base[asked.word], known[asked.word]
