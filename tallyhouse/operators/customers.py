@@ -112,5 +112,5 @@ def open_choices(owners: DataFrame, owned: DataFrame, owner: str, product: DataF
 
 
 def wishlist_candidates(customers: DataFrame, wishlist: DataFrame, product: DataFrame) -> DataFrame:
-    """Active products each active customer has not wished for."""
+    """Per active customer: how many active products are not wished for yet, and the first of them."""
     return open_choices(customers.filter("is_active"), wishlist, "customer_id", product)

@@ -40,11 +40,23 @@ def discounts_in_force(orders: DataFrame, discount: DataFrame) -> DataFrame:
 
     A range join. Each discount is repeated once per day of its period, so
     the join is an equality on the day and the exact moments are compared
-    only inside matching days. Orders without any discount are kept.
+    only inside matching days. Periods are cut to the days that have orders at all, so a
+    discount without an end costs no more than that. Orders without any discount are kept.
     """
-    days = F.explode(F.sequence(F.to_date("start_date"), F.to_date("end_date")))
-    periods = discount.filter(F.col("is_active") & (F.col("start_date") <= F.col("end_date"))).select(
-        F.col("id").alias("discount_id"), "value", "start_date", "end_date", days.alias("_valid_day")
+    day = F.to_date("order_date")
+    first = F.greatest(F.to_date("start_date"), orders.agg(F.min(day)).scalar())
+    last = F.least(F.to_date("end_date"), orders.agg(F.max(day)).scalar())
+    periods = (
+        discount.filter(F.col("is_active") & (F.col("start_date") <= F.col("end_date")))
+        .withColumns({"_first": first, "_last": last})
+        .filter("_first <= _last")
+        .select(
+            F.col("id").alias("discount_id"),
+            "value",
+            "start_date",
+            "end_date",
+            F.explode(F.sequence("_first", "_last")).alias("_valid_day"),
+        )
     )
     dated = orders.select(F.col("id").alias("order_id"), "order_date", F.to_date("order_date").alias("_day"))
     inside = (

@@ -240,6 +240,15 @@ def test_range_join_compares_moments(make, discount, rows):
     assert rows(promotions.in_force(discount, "2024-01-06"), "id") == [(1,), (2,)]
 
 
+def test_a_discount_without_an_end_spans_only_days_with_orders(make, rows):
+    open_ended = make("id long; value int; start_date timestamp; end_date timestamp; is_active boolean",
+                      (1, 5, "1900-01-01", "9999-12-31", True), (2, 9, "2030-01-01", "9999-12-31", True))
+    placed = make("id long; order_date timestamp", (1, "2024-01-05"), (2, "2024-01-10"))
+    result = promotions.discounts_in_force(placed, open_ended)
+    assert rows(result, "order_id", "discounts", "best_discount_id") == [(1, 1, 1), (2, 1, 1)]
+    assert promotions.discounts_in_force(placed.limit(0), open_ended).count() == 0
+
+
 def test_discount_split(make, discount):
     placed = make("id long; discount_id long", (1, 1), (2, 2), (3, None))
     lines = make(ITEMS, (1, 1, 1, 3, "9.99", None, None), (2, 1, 2, 1, "10", None, None), (2, 2, 3, 1, "100", None, None),
