@@ -35,9 +35,9 @@ from tallyhouse.llm.common import Columns, Memo, map_columns, text_bytes
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: Entries of each cache, and characters of the longest run that is kept in one.
-CACHED, CACHED_CHARS = 300_000, 64
+CACHED, CACHED_CHARS = 200_000, 64
 #: Compatibility verdicts kept at most.
-VERDICTS = 500_000
+VERDICTS = 300_000
 NONE = -1
 #: White space at a text's edges or beside a space.
 CROWDED_SPACE = re.compile(r"\s |^\s| \s|\s\Z").search

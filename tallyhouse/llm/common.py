@@ -15,9 +15,9 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from tallyhouse.session import checkpoint_dir
 
 #: Memory of a worker's word cache is bounded by this many entries.
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 200_000
 #: Bytes of a record batch that are turned into Python values at a time.
-PIECE_BYTES = 8 << 20
+PIECE_BYTES = 2 << 20
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -122,6 +122,7 @@ def map_columns(df: DataFrame, schema: T.StructType, work: Callable[[Iterator[Co
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for columns in work(piece.to_pydict() for batch in batches for piece in pieces(batch)):
             yield pa.RecordBatch.from_pydict({f.name: columns[f.name] for f in arrow}, schema=arrow)
-
+        # A worker lives on for other tasks; what this one no longer needs goes back to the system.
+        pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)

@@ -44,7 +44,7 @@ TAIL = struct.Struct("<QQQII")
 #: Ids that a task reads at a time.
 READ_IDS = 1 << 20
 #: Entries of each of the encoder's two caches.
-CACHED = 800_000
+CACHED = 600_000
 
 
 def bits_for(vocabulary_size: int) -> int:
