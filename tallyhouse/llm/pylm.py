@@ -1,14 +1,16 @@
 """A hierarchical Pitman-Yor language model, sampled block by block.
 
-Restaurants. A token's context is the end of the token before it: its last two bytes, then
-its last byte, then nothing. Every two-byte context is a restaurant whose parent is that of
-its last byte; all of those share the root, whose base is uniform over the
-known tokens and one unknown. The count of restaurants has a fixed bound whatever the corpus,
-and so have their totals, the only numbers that all tasks share. A word has
-at most one dish in each of them, so no word is hot.
+Restaurants. A token's context is the token before it, then that token's last two bytes, then
+its last byte, then nothing. Every previous token is a restaurant whose parent is that of its last two
+bytes, whose parent is that of the last byte; all of those share the root, whose base is uniform over the
+known tokens and one unknown. The leaves grow with the corpus; the restaurants above them have a fixed
+bound, and their totals are shared with all tasks.
 
 Blocks. Words are dealt to blocks by hash. A block holds all dishes of its words in all
-restaurants, so a word's whole hierarchy is local to it.
+restaurants, so a word's whole hierarchy is local to it. Totals of leaves are never shared as a whole:
+each block sums up its own dishes by leaf, the sums go to parts of the leaves by hash and come back
+added up for the leaves that the block knows. A leaf sends one number for each block at most, so none is hot.
+Blocks also know the leaves of texts that are only scored, by dishes of no customers.
 
 Sampling. One step draws the seating of each dish anew, given the tables of all other dishes and the
 parents' predictive probabilities, from the leaves to the root; a dish's customers at a
@@ -47,12 +49,19 @@ END = b"\n"
 STRETCH_TOKENS, STRETCH_DOCUMENTS = 600_000, 60_000
 #: Dishes that a block gathers before it merges equal ones.
 MERGE = 800_000
-#: Masks of a context at each level, from the leaves to the root.
-LEVELS = (0xFFFF, 0xFF, 0)
-STRENGTH = (1.0, 1.0, 1.0)
+#: Token before the first one of a text.
+START = np.uint64(xxhash.xxh3_64_intdigest(b""))
+#: Masks of a context's end at each level above the leaves, from there to the root.
+ABOVE = (0xFFFF, 0xFF, 0)
+#: Restaurants of each level whose totals are shared, from the leaves on; of the leaves only the sum over all.
+SHARED = (1, *(mask + 1 for mask in ABOVE))
+DEPTH = len(SHARED)
+STRENGTH = (1.0, 1.0, 1.0, 1.0)
 #: Steps before the first sample, and samples; blocks exchange totals in between.
 BURN_IN, SAMPLES = 2, 2
 PROPOSALS = 3
+#: Blocks for each shuffle partition; a task holds one at a time.
+BLOCKS_OF_PARTITION = 2
 #: Training tokens of a block above which its requests are dealt to several tasks.
 TASK_TOKENS = 1 << 27
 
@@ -67,6 +76,15 @@ BLOCKS = T.StructType(
         T.StructField("totals", T.ArrayType(T.BinaryType()), False),
     ]
 )
+ANSWERS = T.StructType(
+    [
+        T.StructField("part", T.IntegerType(), False),
+        T.StructField("block", T.IntegerType(), False),
+        T.StructField("sums", T.ArrayType(T.BinaryType()), False),
+    ]
+)
+QUESTIONS = T.StructType([*ANSWERS.fields, T.StructField("leaves", T.BinaryType(), False)])
+LEAVES = T.ArrayType(T.StructType([f for f in ANSWERS.fields if f.name != "block"]))
 REQUESTS = T.StructType(
     [
         T.StructField("stretch", T.LongType(), False),
@@ -77,6 +95,7 @@ REQUESTS = T.StructType(
         T.StructField("n_documents", T.IntegerType(), False),
         T.StructField("model", T.BinaryType()),
         T.StructField("tables", T.ArrayType(T.BinaryType())),
+        T.StructField("leaves", LEAVES),
         T.StructField("doc_ids", T.ArrayType(T.LongType())),
         T.StructField("n_tokens", T.ArrayType(T.LongType())),
     ]
@@ -98,40 +117,57 @@ SCORES = T.StructType(
 
 @dataclass
 class Dishes:
-    """Counts of (word, context) pairs, sorted by both."""
+    """Counts of (word, previous token) pairs, sorted by both."""
 
     words: np.ndarray  # uint64: different words, ascending
     word: np.ndarray  # int64: each pair's place in ``words``
-    context: np.ndarray  # uint16
+    context: np.ndarray  # uint16: last two bytes of the previous token
     count: np.ndarray  # uint32
+    previous: np.ndarray | None = None  # uint64: hash of the previous token; without it, one that occurs nowhere
+
+    def __post_init__(self):
+        if self.previous is None:
+            self.previous = np.zeros(len(self.word), dtype=np.uint64)
+
+    @classmethod
+    def none(cls) -> Dishes:
+        return cls(*(np.empty(0, dtype=t) for t in (np.uint64, np.int64, np.uint16, np.uint32)))
 
     @classmethod
-    def merged(cls, words: np.ndarray, context: np.ndarray, count: np.ndarray) -> Dishes:
+    def merged(cls, words: np.ndarray, context: np.ndarray, count: np.ndarray, previous: np.ndarray | None = None) -> Dishes:
         """From one word hash, context and count for each pair, with repetitions."""
+        if previous is None:
+            previous = context.astype(np.uint64)
         distinct, word = np.unique(words, return_inverse=True)
-        keys, where = np.unique(word * 65536 + context, return_inverse=True)
+        leaves, first, leaf = np.unique(previous, return_index=True, return_inverse=True)
+        keys, where = np.unique((word << 32) | leaf, return_inverse=True)
         total = np.bincount(where, weights=count, minlength=len(keys))
-        return cls(distinct, keys >> 16, (keys & 0xFFFF).astype(np.uint16), total.astype(np.uint32))
+        leaf = keys & 0xFFFFFFFF
+        return cls(distinct, keys >> 32, context[first][leaf].astype(np.uint16), total.astype(np.uint32), leaves[leaf])
 
     def packed(self) -> bytes:
-        sizes = np.array([len(self.words), len(self.word)], dtype="<u8")
+        leaves, first, leaf = np.unique(self.previous, return_index=True, return_inverse=True)
+        sizes = np.array([len(self.words), len(self.word), len(leaves)], dtype="<u8")
         each = np.bincount(self.word, minlength=len(self.words)).astype("<u4")
-        return b"".join(a.tobytes() for a in (sizes, self.words, each, self.context, self.count))
+        parts = (sizes, self.words, each, leaf.astype("<u4"), self.count, leaves, self.context[first].astype("<u2"))
+        return b"".join(a.tobytes() for a in parts)
 
     @classmethod
     def unpacked(cls, data: bytes) -> Dishes:
-        n, pairs = np.frombuffer(data, dtype="<u8", count=2).astype(np.int64).tolist()
-        at, found = 16, []
-        for kind, size in (("<u8", n), ("<u4", n), ("<u2", pairs), ("<u4", pairs)):
+        n, pairs, m = np.frombuffer(data, dtype="<u8", count=3).astype(np.int64).tolist()
+        at, found = 24, []
+        for kind, size in (("<u8", n), ("<u4", n), ("<u4", pairs), ("<u4", pairs), ("<u8", m), ("<u2", m)):
             found.append(np.frombuffer(data, dtype=kind, count=size, offset=at))
             at += found[-1].nbytes
-        return cls(found[0], np.repeat(np.arange(n), found[1]), found[2], found[3])
+        words, each, leaf, count, leaves, ends = found
+        return cls(words, np.repeat(np.arange(n), each), ends[leaf], count, leaves[leaf])
 
-    def part(self, chosen: np.ndarray) -> Dishes:
-        """The pairs of some of the words."""
-        pairs = chosen[self.word]
+    def part(self, pairs: np.ndarray) -> Dishes:
+        """Some of the pairs, and their words."""
+        chosen = np.zeros(len(self.words), dtype=bool)
+        chosen[self.word[pairs]] = True
         place = np.cumsum(chosen) - 1
-        return Dishes(self.words[chosen], place[self.word[pairs]], self.context[pairs], self.count[pairs])
+        return Dishes(self.words[chosen], place[self.word[pairs]], self.context[pairs], self.count[pairs], self.previous[pairs])
 
 
 class Stretch:
@@ -143,44 +179,54 @@ class Stretch:
         self.ids: list[np.ndarray] = []
         self.documents: list[int | None] = []
         self.lengths: list[int] = []
+        self.weights: list[bool] = []
         self.tokens = 0
 
-    def add(self, document: int | None, text: str | None) -> None:
+    def add(self, document: int | None, text: str | None, counts: bool = True) -> None:
         words = text_bytes(text).lower().split()
         words.append(END)
         self.ids.append(np.fromiter(map(self.index.__getitem__, words), dtype=np.int64, count=len(words)))
         self.documents.append(document)
         self.lengths.append(len(words))
+        self.weights.append(counts)
         self.tokens += len(words)
 
     def full(self) -> bool:
         return self.tokens >= STRETCH_TOKENS or len(self.documents) >= STRETCH_DOCUMENTS
 
-    def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Word hashes; and word number and context of each token."""
-        hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, self.index), dtype=np.uint64, count=len(self.index))
-        ends = np.fromiter((int.from_bytes(w[-2:], "big") for w in self.index), dtype=np.int64, count=len(self.index))
+    def pairs(self) -> tuple[np.ndarray, ...]:
+        """Word hashes and ends, the last for what is before a text; word number, number of the word before and weight of each token."""
+        n = len(self.index)
+        hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, self.index), dtype=np.uint64, count=n)
+        ends = np.fromiter((int.from_bytes(w[-2:], "big") for w in self.index), dtype=np.uint16, count=n)
         ids = np.concatenate(self.ids)
-        context = np.zeros(len(ids), dtype=np.int64)
-        context[1:] = ends[ids[:-1]]
-        context[np.cumsum([0] + self.lengths[:-1])] = 0
-        return hashes, ids, context
+        before = np.empty(len(ids), dtype=np.int64)
+        before[1:] = ids[:-1]
+        before[np.cumsum([0] + self.lengths[:-1])] = n
+        weights = np.repeat(np.array(self.weights, dtype=bool), self.lengths)
+        return np.append(hashes, START), np.append(ends, np.uint16(0)), ids, before, weights
 
 
 def block_of(hashes: np.ndarray, blocks: int) -> np.ndarray:
     return ((hashes >> np.uint64(33)) % np.uint64(blocks)).astype(np.int64)
 
 
-def by_block(hashes: np.ndarray, ids: np.ndarray, context: np.ndarray, blocks: int) -> Iterator[tuple[int, Dishes, np.ndarray]]:
+def by_block(
+    hashes: np.ndarray, ends: np.ndarray, ids: np.ndarray, before: np.ndarray, weights: np.ndarray, blocks: int
+) -> Iterator[tuple[int, Dishes, np.ndarray]]:
     """For each block its dishes, and for each of them the tokens, in order of the dishes."""
-    order_of_words = np.lexsort((hashes, block_of(hashes, blocks)))
-    place = np.empty(len(hashes), dtype=np.int64)
-    place[order_of_words] = np.arange(len(hashes))
-    key = place[ids] * 65536 + context
+    order_of_words = np.lexsort((hashes[:-1], block_of(hashes[:-1], blocks)))
+    place = np.empty(len(order_of_words), dtype=np.int64)
+    place[order_of_words] = np.arange(len(order_of_words))
+    order_of_leaves = np.argsort(hashes)
+    leaf = np.empty(len(hashes), dtype=np.int64)
+    leaf[order_of_leaves] = np.arange(len(hashes))
+    key = (place[ids] << 32) | leaf[before]
     order = np.argsort(key, kind="stable")
-    keys, start, count = np.unique(key[order], return_index=True, return_counts=True)
-    words = hashes[order_of_words]
-    every = Dishes(words, keys >> 16, (keys & 0xFFFF).astype(np.uint16), count.astype(np.uint32))
+    keys, start = np.unique(key[order], return_index=True)
+    count = np.add.reduceat(weights[order], start, dtype=np.uint32)
+    words, which = hashes[order_of_words], order_of_leaves[keys & 0xFFFFFFFF]
+    every = Dishes(words, keys >> 32, ends[which], count, hashes[which])
     block = block_of(words, blocks)
     edges = np.searchsorted(block, np.arange(blocks + 1))
     pair_edges = np.searchsorted(every.word, edges)
@@ -188,7 +234,9 @@ def by_block(hashes: np.ndarray, ids: np.ndarray, context: np.ndarray, blocks: i
     for b in range(blocks):
         if edges[b] < edges[b + 1]:
             pairs = slice(pair_edges[b], pair_edges[b + 1])
-            own = Dishes(words[edges[b] : edges[b + 1]], every.word[pairs] - edges[b], every.context[pairs], every.count[pairs])
+            own = Dishes(
+                words[edges[b] : edges[b + 1]], every.word[pairs] - edges[b], every.context[pairs], every.count[pairs], every.previous[pairs]
+            )
             yield b, own, order[token_edges[b] : token_edges[b + 1]]
 
 
@@ -237,13 +285,21 @@ def seated(
 
 @dataclass
 class Totals:
-    """Customers and tables of every restaurant at each level, and what the model holds fixed."""
+    """Customers and tables of every restaurant at each level, and what the model holds fixed.
+
+    Shared totals have one sum over all leaves; ``at_leaves`` puts those of a block's leaves in its place.
+    """
 
     customers: list[np.ndarray]
     tables: list[np.ndarray]
     discounts: tuple[float, ...]
     base: float
 
+    def at_leaves(self, customers: np.ndarray, tables: np.ndarray) -> Totals:
+        """A copy with these totals of leaves."""
+        others = [[a.copy() for a in kind[1:]] for kind in (self.customers, self.tables)]
+        return Totals([customers, *others[0]], [tables, *others[1]], self.discounts, self.base)
+
     def predictive(self, level: int, context: np.ndarray, customers, tables, parent) -> np.ndarray:
         """Probability of dishes with these customers and tables, given that at the parent."""
         d, s = self.discounts[level], STRENGTH[level]
@@ -255,14 +311,19 @@ class Block:
     """A block's dishes at every level, with their customers and tables."""
 
     def __init__(self, data: bytes, tables: list[bytes] | None = None):
-        self.dishes = Dishes.unpacked(data)
-        word, context = self.dishes.word, self.dishes.context.astype(np.int64)
-        self.keys, self.up = [word * 65536 + context], []
-        for mask in LEVELS[1:]:
-            keys, up = np.unique((self.keys[-1] & ~0xFFFF) | (self.keys[-1] & mask), return_inverse=True)
+        every = Dishes.unpacked(data)
+        # Leaves of texts that are only scored stay known; their dishes have no customers.
+        self.leaves, leaf = np.unique(every.previous, return_inverse=True)
+        served = every.count > 0
+        self.dishes = every.part(served)
+        word, leaf = self.dishes.word, leaf[served]
+        self.keys, self.up = [(word << 32) | leaf], []
+        for mask in ABOVE:
+            below = word * 65536 + self.dishes.context if mask == ABOVE[0] else self.keys[-1]
+            keys, up = np.unique((below & ~0xFFFF) | (below & mask), return_inverse=True)
             self.keys.append(keys)
             self.up.append(up.astype(np.int32))
-        self.contexts = [(k & 0xFFFF).astype(np.int32) for k in self.keys]
+        self.contexts = [leaf.astype(np.int32)] + [(k & 0xFFFF).astype(np.int32) for k in self.keys[1:]]
         self.tables = [np.ones(len(k), dtype=np.int64) for k in self.keys]
         if tables is not None:
             self._take(tables)
@@ -285,23 +346,24 @@ class Block:
 
     def predictive(self, totals: Totals) -> list[np.ndarray]:
         """Probability of every dish at every level, leaves first."""
-        found = [totals.predictive(2, self.contexts[2], self.customers[2], self.tables[2], totals.base)]
-        for level in (1, 0):
-            found.insert(0, totals.predictive(level, self.contexts[level], self.customers[level], self.tables[level], found[0][self.up[level]]))
+        found: list[np.ndarray] = []
+        for level in reversed(range(DEPTH)):
+            parent = found[0][self.up[level]] if found else totals.base
+            found.insert(0, totals.predictive(level, self.contexts[level], self.customers[level], self.tables[level], parent))
         return found
 
     def step(self, totals: Totals, rng: np.random.Generator) -> None:
         """Draw all seatings anew, leaves first; the totals follow this block's changes."""
-        for level in range(3):
+        for level in range(DEPTH):
             probability = self.predictive(totals)
-            parent = probability[level + 1][self.up[level]] if level < 2 else np.full(len(self.keys[2]), totals.base)
+            parent = probability[level + 1][self.up[level]] if level < DEPTH - 1 else np.full(len(self.keys[-1]), totals.base)
             context, before = self.contexts[level], self.tables[level]
             size = len(totals.tables[level])
             others = np.maximum(totals.tables[level][context] - before, 0)
             self.tables[level] = seated(self.customers[level], totals.discounts[level], STRENGTH[level], others, parent, rng)
             change = np.bincount(context, weights=self.tables[level] - before, minlength=size)
             totals.tables[level] = totals.tables[level] + change
-            if level < 2:
+            if level < DEPTH - 1:
                 above = self.customers[level + 1]
                 self.customers[level + 1] = np.bincount(self.up[level], weights=self.tables[level], minlength=len(above)).astype(np.int64)
                 moved = np.bincount(self.contexts[level + 1], weights=self.customers[level + 1] - above, minlength=len(totals.customers[level + 1]))
@@ -310,18 +372,23 @@ class Block:
     def own_totals(self) -> list[bytes]:
         """Customers and tables by context and level, and dishes of one and of two customers, for summing up."""
         found = []
-        for level, mask in enumerate(LEVELS):
+        for level, size in enumerate(SHARED):
             for counts in (self.customers[level], self.tables[level]):
-                found.append(np.bincount(self.contexts[level], weights=counts, minlength=mask + 1).astype("<f8").tobytes())
+                total = np.bincount(self.contexts[level], weights=counts, minlength=size) if level else counts.sum(keepdims=True)
+                found.append(total.astype("<f8").tobytes())
             found.append(np.array([(self.customers[level] == k).sum() for k in (1, 2)], dtype="<f8").tobytes())
         return found
 
+    def at_leaves(self, counts: np.ndarray) -> np.ndarray:
+        """Sums of a number of each dish by leaf."""
+        return np.bincount(self.contexts[0], weights=counts, minlength=len(self.leaves))
+
     def packed_tables(self) -> list[bytes]:
         return [t.astype("<u4").tobytes() for t in self.tables]
 
 
-def counted(documents: DataFrame, blocks: int) -> DataFrame:
-    """Dishes of all texts, one row for each block, with one table for each dish."""
+def counted(documents: DataFrame, blocks: int, learn: Column | None = None) -> DataFrame:
+    """Dishes of all texts, one row for each block, with one table for each dish; those of texts not to learn from have no customers."""
 
     def stretches(batches: Iterator[Columns]) -> Iterator[Columns]:
         def rows(stretch: Stretch) -> Columns:
@@ -330,8 +397,8 @@ def counted(documents: DataFrame, blocks: int) -> DataFrame:
 
         stretch = Stretch()
         for batch in batches:
-            for text in batch["text"]:
-                stretch.add(None, text)
+            for text, counts in zip(batch["text"], batch["learn"]):
+                stretch.add(None, text, counts)
                 if stretch.full():
                     yield rows(stretch)
                     stretch = Stretch()
@@ -344,7 +411,7 @@ def counted(documents: DataFrame, blocks: int) -> DataFrame:
         def merge() -> None:
             nonlocal parts, held
             many = [Dishes.unpacked(p) for p in parts]
-            one = Dishes.merged(*(np.concatenate(a) for a in zip(*((d.words[d.word], d.context.astype(np.int64), d.count) for d in many))))
+            one = Dishes.merged(*(np.concatenate(a) for a in zip(*((d.words[d.word], d.context, d.count, d.previous) for d in many))))
             parts, held = [one.packed()], len(one.word)
 
         def row() -> Columns:
@@ -366,19 +433,20 @@ def counted(documents: DataFrame, blocks: int) -> DataFrame:
                         yield row()
                     number, parts, held = b, [], 0
                 parts.append(dishes)
-                held += len(dishes) // 8
+                held += len(dishes) // 16
                 if held > MERGE and len(parts) > 1:
                     merge()
         if parts:
             yield row()
 
-    pairs = map_columns(documents.select("text"), COUNTS, stretches)
+    learn = F.lit(True) if learn is None else F.coalesce(learn, F.lit(False))
+    pairs = map_columns(documents.select("text", learn.alias("learn")), COUNTS, stretches)
     dealt = pairs.repartition(blocks, "block").sortWithinPartitions("block")
     return stored(map_columns(dealt, BLOCKS, blocks_of), "language-model-counts")
 
 
 def summed(blocks: DataFrame, samples: int = 1, discounts: tuple[float, ...] | None = None) -> tuple[list[Totals], int]:
-    """Totals over all blocks for each sample, and the count of tokens; restaurants are few, whatever the corpus."""
+    """Shared totals over all blocks for each sample, and the count of tokens; above the leaves restaurants are few, whatever the corpus."""
 
     def spread(batches: Iterator[Columns]) -> Iterator[Columns]:
         for batch in batches:
@@ -396,17 +464,81 @@ def summed(blocks: DataFrame, samples: int = 1, discounts: tuple[float, ...] | N
         [T.StructField("kind", T.IntegerType()), T.StructField("at", T.IntegerType()), T.StructField("value", T.DoubleType())]
     )
     rows = map_columns(blocks.select("totals", "words", "tokens"), schema, spread).groupBy("kind", "at").agg(F.sum("value").alias("value"))
-    found = [np.zeros(n) for n in [n for mask in LEVELS for n in (mask + 1, mask + 1, 2)] * samples + [2]]
+    found = [np.zeros(n) for n in [n for size in SHARED for n in (size, size, 2)] * samples + [2]]
     for kind, at, value in rows.collect():
         found[kind][at] = value
     words, tokens = found[-1].astype(np.int64).tolist()
     if discounts is None:
         # The usual estimate from dishes of one and of two customers.
-        discounts = tuple(float(np.clip((n[0] + 1) / (n[0] + 2 * n[1] + 2), 0.05, 0.95)) for n in found[2:9:3])
-    each = [found[k : k + 9] for k in range(0, 9 * samples, 9)]
+        discounts = tuple(float(np.clip((n[0] + 1) / (n[0] + 2 * n[1] + 2), 0.05, 0.95)) for n in found[2 : 3 * DEPTH : 3])
+    each = [found[k : k + 3 * DEPTH] for k in range(0, 3 * DEPTH * samples, 3 * DEPTH)]
     return [Totals(one[0::3], one[1::3], discounts, 1 / (words + 1)) for one in each], tokens
 
 
+def part_of(leaves: np.ndarray, parts: int) -> np.ndarray:
+    """Parts ascend with the hashes."""
+    return (((leaves >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)).astype(np.int64)
+
+
+def with_leaves(blocks: DataFrame) -> DataFrame:
+    """``blocks`` with ``leaves``: for each part of a block's leaves the customers and, for each sample, the tables over all blocks."""
+    parts = wide(blocks.sparkSession)
+
+    def questions(batches: Iterator[Columns]) -> Iterator[Columns]:
+        for batch in batches:
+            for number, data, tables in zip(batch["block"], batch["dishes"], batch["tables"]):
+                block = Block(data)
+                sums = [block.at_leaves(block.dishes.count)]
+                sums += [block.at_leaves(np.frombuffer(t, dtype="<u4")) for t in tables[::DEPTH]]
+                sums = [a.astype("<u8") for a in sums]
+                edges = np.searchsorted(part_of(block.leaves, parts), np.arange(parts + 1))
+                there = [(p, slice(edges[p], edges[p + 1])) for p in range(parts) if edges[p] < edges[p + 1]]
+                yield {
+                    "part": [p for p, _ in there],
+                    "block": [number] * len(there),
+                    "sums": [[a[own].tobytes() for a in sums] for _, own in there],
+                    "leaves": [block.leaves[own].tobytes() for _, own in there],
+                }
+
+    def answers(batches: Iterator[Columns]) -> Iterator[Columns]:
+        number, asked = None, []
+
+        def rows() -> Columns:
+            leaves = [np.frombuffer(data, dtype="<u8") for _, data, _ in asked]
+            place = np.unique(np.concatenate(leaves), return_inverse=True)[1]
+            totals = []
+            for k in range(len(asked[0][2])):
+                own = np.concatenate([np.frombuffer(sums[k], dtype="<u8") for _, _, sums in asked])
+                totals.append(np.bincount(place, weights=own).astype("<u8"))
+            edges = np.cumsum([0, *map(len, leaves)])
+            back = [place[start:end] for start, end in zip(edges[:-1], edges[1:])]
+            return {
+                "part": [number] * len(asked),
+                "block": [b for b, _, _ in asked],
+                "sums": [[t[at].tobytes() for t in totals] for at in back],
+            }
+
+        for batch in batches:
+            for p, *question in zip(*(batch[c] for c in ("part", "block", "leaves", "sums"))):
+                if p != number:
+                    if asked:
+                        yield rows()
+                    number, asked = p, []
+                asked.append(question)
+        if asked:
+            yield rows()
+
+    asked = map_columns(blocks.select("block", "dishes", "tables"), QUESTIONS, questions)
+    found = map_columns(asked.repartition(parts, "part").sortWithinPartitions("part"), ANSWERS, answers)
+    return blocks.join(found.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("part", "sums"))).alias("leaves")), "block")
+
+
+def leaf_totals(leaves: list[dict], sample: int) -> tuple[np.ndarray, np.ndarray]:
+    """Customers and tables of a block's leaves in one of its samples."""
+    customers, tables = (np.frombuffer(b"".join(part["sums"][k] for part in leaves), dtype="<u8").astype(np.float64) for k in (0, 1 + sample))
+    return customers, tables
+
+
 def sampled(blocks: DataFrame, totals: Totals, steps: int, samples: int, seed: int) -> DataFrame:
     """Run steps on every block; keeps the tables of the last ``samples`` steps."""
     shared = blocks.sparkSession.sparkContext.broadcast(totals)
@@ -414,8 +546,8 @@ def sampled(blocks: DataFrame, totals: Totals, steps: int, samples: int, seed: i
     def run(batches: Iterator[Columns]) -> Iterator[Columns]:
         for batch in batches:
             for k, number in enumerate(batch["block"]):
-                block = Block(batch["dishes"][k], batch["tables"][k][-3:])
-                own = Totals([a.copy() for a in shared.value.customers], [a.copy() for a in shared.value.tables], shared.value.discounts, shared.value.base)
+                block = Block(batch["dishes"][k], batch["tables"][k][-DEPTH:])
+                own = shared.value.at_leaves(*leaf_totals(batch["leaves"][k], len(batch["tables"][k]) // DEPTH - 1))
                 rng = np.random.default_rng([seed, number])
                 tables: list[bytes] = []
                 sums: list[bytes] = []
@@ -426,7 +558,7 @@ def sampled(blocks: DataFrame, totals: Totals, steps: int, samples: int, seed: i
                         sums += block.own_totals()
                 yield {c: [batch[c][k]] for c in ("block", "words", "tokens", "dishes")} | {"tables": [tables], "totals": [sums]}
 
-    return stored(map_columns(blocks, BLOCKS, run), "language-model-blocks")
+    return stored(map_columns(with_leaves(blocks).drop("totals"), BLOCKS, run), "language-model-blocks")
 
 
 def places(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -440,10 +572,14 @@ def places(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray
 class Model:
     """A block with several samples, ready to score dishes."""
 
-    def __init__(self, data: bytes, tables: list[bytes], totals: list[Totals], tokens: int):
-        first = Block(data, tables[:3])
-        self.samples = [first] + [first.with_tables(tables[k : k + 3]) for k in range(3, len(tables), 3)]
-        self.totals, self.tokens = totals, tokens
+    def __init__(self, data: bytes, tables: list[bytes], totals: list[Totals], tokens: int, leaves: list[dict] | None = None):
+        """Without ``leaves`` the block is the only one."""
+        first = Block(data, tables[:DEPTH])
+        self.samples = [first] + [first.with_tables(tables[k : k + DEPTH]) for k in range(DEPTH, len(tables), DEPTH)]
+        self.totals, self.tokens = [], tokens
+        for k, (block, shared) in enumerate(zip(self.samples, totals)):
+            own = (block.at_leaves(block.customers[0]), block.at_leaves(block.tables[0])) if leaves is None else leaf_totals(leaves, k)
+            self.totals.append(shared.at_leaves(*own))
         dishes = self.samples[0].dishes
         self.words = dishes.words
         self.counts = np.bincount(dishes.word, weights=dishes.count, minlength=len(self.words))
@@ -454,17 +590,23 @@ class Model:
         counts = np.zeros(len(place))
         counts[known] = self.counts[place[known]]
         base = np.log10((counts + 0.5) / (self.tokens + 0.5 * round(1 / self.totals[0].base)))
-        # An unknown word has a key that no dish has.
-        key = np.where(known, place, -1)[asked.word] * 65536 + asked.context
+        # An unknown word has a key that no dish has, and so has an unknown leaf; nobody sits there.
+        word = np.where(known, place, -1)[asked.word]
+        leaf, there = places(self.samples[0].leaves, asked.previous)
+        end = word * 65536 + asked.context
+        keys = [np.where(there, (word << 32) | leaf, -1), *((end & ~0xFFFF) | (end & mask) for mask in ABOVE)]
+        contexts = [np.where(there, leaf, 0), *(key & mask for key, mask in zip(keys[1:], ABOVE))]
         mean = 0.0
         for block, totals in zip(self.samples, self.totals):
             probability: np.ndarray | float = totals.base
-            for level in (2, 1, 0):
-                want = (key & ~0xFFFF) | (key & LEVELS[level])
-                at, there = places(block.keys[level], want)
+            for level in reversed(range(DEPTH)):
+                at, found = places(block.keys[level], keys[level])
                 customers, tables = np.zeros(len(at)), np.zeros(len(at))
-                customers[there], tables[there] = block.customers[level][at[there]], block.tables[level][at[there]]
-                probability = totals.predictive(level, want & LEVELS[level], customers, tables, probability)
+                customers[found], tables[found] = block.customers[level][at[found]], block.tables[level][at[found]]
+                if level or there.all():
+                    probability = totals.predictive(level, contexts[level], customers, tables, probability)
+                elif there.any():
+                    probability[there] = totals.predictive(0, leaf[there], customers[there], tables[there], probability[there])
             mean = mean + probability / len(self.samples)
         return np.log10(mean), base[asked.word], known[asked.word]
 
@@ -476,7 +618,7 @@ def requests(documents: DataFrame, blocks: int, salts: dict[int, int]) -> DataFr
         serial = TaskContext.get().partitionId() << 32
 
         def rows(stretch: Stretch, number: int) -> Columns:
-            empty = {c: None for c in ("dishes", "documents", "model", "tables", "doc_ids", "n_tokens")}
+            empty = {c: None for c in ("dishes", "documents", "model", "tables", "leaves", "doc_ids", "n_tokens")}
             n = len(stretch.documents)
             common = {"stretch": number, "n_documents": n, "salt": 0}
             found = [empty | common | {"block": -1, "doc_ids": stretch.documents, "n_tokens": stretch.lengths}]
@@ -507,10 +649,10 @@ def scored(documents: DataFrame, blocks: DataFrame, totals: list[Totals], tokens
     copies = F.create_map(*[F.lit(x) for pair in salts.items() for x in pair]) if salts else None
     asked = requests(documents, count, salts)
     if copies is not None:
-        own = blocks.select("block", F.col("dishes").alias("model"), "tables").withColumn(
+        own = with_leaves(blocks).select("block", F.col("dishes").alias("model"), "tables", F.col("leaves").cast(LEAVES)).withColumn(
             "salt", F.explode(F.sequence(F.lit(0), (copies[F.col("block")] - 1).cast("int")))
         )
-        rest = [f for f in REQUESTS.fields if f.name not in ("block", "model", "tables", "salt")]
+        rest = [f for f in REQUESTS.fields if f.name not in ("block", "model", "tables", "leaves", "salt")]
         fill = {"stretch": F.lit(-1).cast("long"), "n_documents": F.lit(0)}
         own = own.select("*", *[fill.get(f.name, F.lit(None).cast(f.dataType)).alias(f.name) for f in rest])
         asked = asked.unionByName(own)
@@ -522,13 +664,12 @@ def scored(documents: DataFrame, blocks: DataFrame, totals: list[Totals], tokens
             for k in range(len(batch["block"])):
                 here = batch["block"][k], batch["salt"][k]
                 if batch["model"][k] is not None:
-                    model, at = Model(batch["model"][k], batch["tables"][k], shared.value, tokens), here
+                    model, at = Model(batch["model"][k], batch["tables"][k], shared.value, tokens, batch["leaves"][k]), here
                     continue
                 sums = None
                 if batch["dishes"][k] is not None:
                     if at != here:
-                        nothing = Dishes(*(np.empty(0, dtype=t) for t in (np.uint64, np.int64, np.uint16, np.uint32))).packed()
-                        model, at = Model(nothing, [b""] * 3 * len(shared.value), shared.value, tokens), here
+                        model, at = Model(Dishes.none().packed(), [b""] * DEPTH * len(shared.value), shared.value, tokens), here
                     dishes = Dishes.unpacked(batch["dishes"][k])
                     document = np.frombuffer(batch["documents"][k], dtype="<u2")
                     parts = [np.bincount(document, weights=np.repeat(v, dishes.count), minlength=batch["n_documents"][k]) for v in model.score(dishes)]
@@ -573,8 +714,8 @@ def language_model_scores(documents: DataFrame, learn: Column, blocks: int | Non
     base. Repeated rows get results of their own; an empty table gives none. Texts
     are read whole; other columns are ignored.
     """
-    count = blocks or wide(documents.sparkSession)
-    counts = counted(documents.where(learn), count)
+    count = blocks or BLOCKS_OF_PARTITION * wide(documents.sparkSession)
+    counts = counted(documents, count, learn)
     (start,), tokens = summed(counts)
     burnt = sampled(counts, start, BURN_IN, 1, seed)
     (exchanged,), _ = summed(burnt, discounts=start.discounts)

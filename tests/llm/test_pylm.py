@@ -122,3 +122,11 @@ def test_odd_rows(spark):
     assert pylm.language_model_scores(df.limit(0), F.lit(True)).collect() == []
     untrained = pylm.language_model_scores(df, F.lit(False)).collect()
     assert len(untrained) == len(rows) and all(r.n_known == 0 and r.score == 0 for r in untrained)
+
+
+def test_the_whole_previous_token_is_the_context(spark):
+    """Two previous tokens that share their last two bytes; also in blocks that never saw the followers of a context."""
+    df = documents(spark, [(k, "bathe apple") for k in range(200)] + [(k, "lathe berry") for k in range(200, 400)] + [(500, "bathe apple"), (501, "bathe berry")])
+    for blocks in (1, 5):
+        found = by(pylm.language_model_scores(df, F.col("doc_id") < 500, blocks=blocks).collect())
+        assert found[500]["score"] - found[501]["score"] > 1.2
