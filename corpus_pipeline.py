@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import wraps
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyhouse.llm import bpe, decontam, linededup, neardup, quality
@@ -55,11 +55,20 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the document of the smallest doc_id in each group of near duplicates.
 
-    Of rows that repeat a doc_id one stays; rows without a doc_id all stay.
+    Rows that repeat a doc_id with another text are documents of their own, known by a 64-bit hash of both. Of rows
+    that repeat both, the smallest by the other columns stays; rows without a doc_id all stay.
     """
-    found = neardup.near_duplicates(docs, size=SHINGLE, percent=SIMILAR)
-    first = docs.join(found.where("kept and doc_id is not null").select("doc_id").distinct(), "doc_id", "left_semi")
-    return first.dropDuplicates(["doc_id"]).select(*docs.columns).unionByName(docs.where("doc_id is null"))
+    node = F.xxhash64("doc_id", "text")
+    known = docs.where("doc_id is not null").withColumn("_node", node)
+    found = neardup.near_duplicates(known.select(F.col("_node").alias("doc_id"), "text"), size=SHINGLE, percent=SIMILAR)
+    component = found.select(F.col("doc_id").alias("_node"), "component_id").distinct()
+    places = known.select("_node", "doc_id").distinct().join(component, "_node")
+    first = places.groupBy("component_id").agg(F.min(F.struct("doc_id", "_node")).alias("first")).select("first._node")
+    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
+    own = [F.to_json(F.struct(c)) if c not in DOCUMENT else F.col(c) for c in rest]
+    rank = F.row_number().over(Window.partitionBy("_node").orderBy(*own, F.lit(0)))
+    kept = known.join(first, "_node", "left_semi").withColumn("_rank", rank).where("_rank = 1")
+    return kept.select(*docs.columns).unionByName(docs.where("doc_id is null"))
 
 
 @with_own_names

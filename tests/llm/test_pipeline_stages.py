@@ -56,6 +56,18 @@ def test_odd_rows(spark):
         assert corpus_pipeline.STAGES[-1][1](spark, docs, SMALL).count() == docs.count()
 
 
+def test_texts_that_share_a_doc_id_are_documents_of_their_own(spark):
+    a, b = (" ".join(f"{name}{k}" for k in range(30)) for name in "ab")
+    for rows, kept in (
+        ([(1, a), (5, a), (5, b), (7, b)], [(1, a), (5, b)]),
+        ([(5, b), (5, a)], [(5, a), (5, b)]),
+        ([(5, a, "x"), (5, a, "w"), (5, b + " end"), (4, b)], [(4, b), (5, a)]),
+    ):
+        out = corpus_pipeline.near_dedup(spark, with_clashes(documents(spark, rows)).repartition(3), SMALL).collect()
+        assert sorted((r.doc_id, r.text) for r in out) == kept
+        assert {r.lang for r in out} <= {None, "w"}
+
+
 def test_registration():
     names = [n for n in __spark_entry__.queries() if n.startswith("op") and n[2].isdigit()]
     assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
