@@ -184,6 +184,25 @@ def training_sample(texts: DataFrame, bound: int) -> DataFrame:
     return picked.dropDuplicates(["lang", "mark"])
 
 
+COUNTED = T.StructType(
+    [T.StructField("mark", T.LongType()), T.StructField("lang", T.StringType())]
+    + [T.StructField(n, T.BinaryType()) for n in ("found", "counts")]
+)
+
+
+def sample_counts(sample: DataFrame) -> DataFrame:
+    """N-gram counts of each sampled text with a letter, at most ``BUCKETS`` of them however long it is."""
+
+    def counted(batches: Iterator[Columns]) -> Iterator[Columns]:
+        for batch in batches:
+            for mark, lang, text in zip(batch["mark"], batch["lang"], batch["text"]):
+                if has_letter(text):
+                    found, counts = gram_counts(text)
+                    yield {"mark": [mark], "lang": [lang], "found": [found.astype("<u2").tobytes()], "counts": [counts.astype("<i8").tobytes()]}
+
+    return map_columns(sample.select("mark", "lang", "text"), COUNTED, counted)
+
+
 def trained(documents: DataFrame, learn: Column, sample: int = SAMPLE, seed: int = 1) -> Classifier:
     """Learn from the rows where ``learn`` holds and neither ``text`` nor ``lang`` is null."""
     texts = documents.where(learn & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text")
@@ -199,11 +218,11 @@ def trained(documents: DataFrame, learn: Column, sample: int = SAMPLE, seed: int
     )
 
     def fit(batches: Iterator[Columns]) -> Iterator[Columns]:
-        rows = sorted((m, lang, text) for batch in batches for m, lang, text in zip(batch["mark"], batch["lang"], batch["text"]) if has_letter(text))
-        languages = sorted({lang for _, lang, _ in rows})
+        rows = sorted((row for batch in batches for row in zip(*(batch[c] for c in COUNTED.names))), key=lambda row: row[:2])
+        languages = sorted({row[1] for row in rows})
         examples = []
-        for _, lang, text in rows:
-            found, counts = gram_counts(text)
+        for _, lang, found, counts in rows:
+            found, counts = np.frombuffer(found, dtype="<u2").astype(np.int64), np.frombuffer(counts, dtype="<i8")
             examples.append((found, weighted(found, counts, idf), languages.index(lang)))
         held = examples[::CALIBRATE] if len(examples) >= 20 * max(1, len(languages)) else []
         kept = [e for k, e in enumerate(examples) if not held or k % CALIBRATE]
@@ -221,8 +240,8 @@ def trained(documents: DataFrame, learn: Column, sample: int = SAMPLE, seed: int
             "temperature": [degree],
         }
 
-    # The sample is bounded, so one task may hold it.
-    model = map_columns(training_sample(texts, sample).repartition(1), model_type, fit).collect()
+    # The sample is bounded in texts and in what is left of each, so one task may hold it.
+    model = map_columns(sample_counts(training_sample(texts, sample)).repartition(1), model_type, fit).collect()
     if not model:
         return Classifier([], idf, np.empty(0, dtype=np.int64), np.empty((0, 0)), 1.0)
     row = model[0]

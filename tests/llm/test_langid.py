@@ -73,6 +73,16 @@ def test_sample_is_bounded_and_without_repeats(spark):
     assert Counter(r.lang for r in sample) == {"en": 10, "de": 1}
 
 
+def test_only_counts_of_sampled_texts_travel(spark):
+    long = "the cat and " * 200_000
+    sample = langid.training_sample(documents(spark, [(1, long, "en"), (2, "123", "en")]).select("lang", "text"), 10)
+    (row,) = langid.sample_counts(sample).collect()
+    found, counts = langid.gram_counts(long)
+    assert np.frombuffer(row.found, dtype="<u2").tolist() == found.tolist()
+    assert np.frombuffer(row.counts, dtype="<i8").tolist() == counts.tolist()
+    assert len(row.found) + len(row.counts) < len(long) / 100
+
+
 def test_odd_rows(spark):
     rows = [(k, f"the cat and the dog number {k}", "en") for k in range(30)] + [(100 + k, f"der hund und die katze {k}", "de") for k in range(30)]
     rows += [(200, None, "en"), (201, "", "en"), (202, "123 !", None), (203, "der hund und die katze", None), (None, "the dog", None), (203, "der hund und die katze", None)]
