@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import bpe, decontam, langid, linededup, neardup, pylm, quality, sql, tokenfile, urlfilter, warc
+from tallyhouse.llm import bpe, decontam, langid, linededup, neardup, pylm, quality, simhash, sql, tokenfile, urlfilter, warc
 from tallyhouse.llm.common import table
 
 
@@ -70,6 +70,10 @@ def op10_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     return urlfilter.judge(table(spark, folder, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op12_simhash_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.simhash_near_duplicates(table(spark, folder, "documents"), size=4, radius=4)
+
+
 QUERIES: tuple[Query, ...] = (
     op1_byte_bpe,
     op2_minhash_near_duplicates,
@@ -81,6 +85,7 @@ QUERIES: tuple[Query, ...] = (
     op8_pitman_yor_scores,
     op9_language_id,
     op10_url_filters,
+    op12_simhash_near_duplicates,
 )
 
 
