@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import bpe, decontam, langid, linededup, neardup, pylm, quality, simhash, sql, tokenfile, urlfilter, warc
+from tallyhouse.llm import alignment, bpe, convrepair, decontam, langid, linededup, neardup, pylm, quality, simhash, sql, tokenfile, urlfilter, warc
 from tallyhouse.llm.common import table
 
 
@@ -70,10 +70,18 @@ def op10_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     return urlfilter.judge(table(spark, folder, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op11_tokenizer_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.align_tokenizers(table(spark, folder, "documents"))
+
+
 def op12_simhash_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.simhash_near_duplicates(table(spark, folder, "documents"), size=4, radius=4)
 
 
+def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return convrepair.damaged_and_repaired(table(spark, folder, "conversations"))
+
+
 QUERIES: tuple[Query, ...] = (
     op1_byte_bpe,
     op2_minhash_near_duplicates,
@@ -85,7 +93,9 @@ QUERIES: tuple[Query, ...] = (
     op8_pitman_yor_scores,
     op9_language_id,
     op10_url_filters,
+    op11_tokenizer_alignment,
     op12_simhash_near_duplicates,
+    op13_conversation_repair,
 )
 
 
@@ -102,4 +112,5 @@ def llm_oracle() -> dict[str, str]:
         "op5_quality_rules": sql.quality_rules(),
         "op7_line_dedup": sql.LINE_DEDUP,
         "op10_url_filters": sql.url_filters(),
+        "op13_conversation_repair": sql.conversation_repair(),
     }

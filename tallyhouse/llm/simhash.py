@@ -10,9 +10,9 @@ that differ in these places only are equal under that v's mask: the pair surely
 
 Equal fingerprints are one node from the start. A bucket of two is decided by itself; a larger one is compared
 in one task, which returns a spanning forest. A bucket above ``BUCKET`` fingerprints is dealt again by a second
-family of masks with other vectors, which covers all pairs as well. Each family fixes about half of the bits that
-were free, 32, 16, 8, so a bucket holds 2^8 different fingerprints at most after the third family, whatever the
-data: no case is left out, and no task compares more than ``BUCKET``.
+family of masks with other vectors, which covers all pairs as well, and so on. Each family fixes about half of the
+bits that were free (at most 22, 16 and 12 are after the second to fourth), which bounds the different fingerprints
+of a bucket whatever the data: no case is left out, and no task compares more than ``BUCKET``.
 """
 
 from __future__ import annotations

@@ -172,3 +172,75 @@ best AS (
 SELECT q.page_id, host, path, rule, coalesce(verdict, CASE WHEN {globs} THEN 'block' ELSE 'allow' END) AS verdict
 FROM q LEFT JOIN best USING (page_id)
 """
+
+
+def crc32(text: str) -> str:
+    """CRC-32 of an ASCII text, bit by bit."""
+    bits = "list_reduce([xor(c, b) & 255, 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END)"
+    start = f"list_concat([4294967295], list_transform(string_split({text}, ''), lambda x: ord(x)::BIGINT))"
+    return f"xor(list_reduce({start}, lambda c, b: xor(c // 256, {bits})), 4294967295)"
+
+
+def conversation_repair() -> str:
+    """Row by row: for each of four states (none yet, system, user, assistant) the cheapest and then least way there."""
+
+    def arc(state: str, letter: str, cost: str, line: str | None = None) -> str:
+        lines = f"{state}.r" if line is None else f"list_append({state}.r, {line})"
+        return f"CASE WHEN {state} IS NOT NULL THEN {{'c': {state}.c + {cost}, 'a': {state}.a || '{letter}', 'r': {lines}}} END"
+
+    def stays(state: str, role: str, initial: str) -> list[str]:
+        kept = f"CASE WHEN initial = '{initial}' AND fault IN (0, 3) THEN {arc(state, 'K', 'cut', 'own')} END"
+        return [kept, f"CASE WHEN fault IN (0, 3) THEN {arc(state, 'R', '2 + cut', f"'{role}:' || text")} END"]
+
+    def least(*ways: str) -> str:
+        return f"list_min([{', '.join(ways)}])"
+
+    gone = {s: arc(s, "D", "3") for s in ("s0", "s1", "s2", "s3")}
+    system = f"CASE WHEN initial = 's' AND fault IN (0, 3) THEN {arc('s0', 'K', 'cut', 'own')} END"
+    user = [way for s in ("s0", "s1", "s3") for way in stays(s, "user", "u")]
+    added = [arc(s, "I", "2", "'user:'") for s in ("s0", "s1", "s3")]
+    spaces = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+    return f"""
+WITH RECURSIVE d AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+        {crc32("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS kind
+    FROM conversations),
+damaged AS (
+    SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+        CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+        unnest(CASE WHEN kind = 3 THEN [0, 1] ELSE [0] END) AS copy
+    FROM d WHERE kind <> 0),
+placed AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i, left(role, 1) AS initial,
+        rtrim(text, {spaces}) AS body
+    FROM damaged),
+judged AS (
+    SELECT *, CASE WHEN body = '' THEN 1 WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 2
+        WHEN right(body, 1) NOT IN ('.', '!', '?') THEN 3 ELSE 0 END AS fault,
+        coalesce(lag(initial) OVER (PARTITION BY conv_id ORDER BY i) || initial NOT IN ('su', 'ua', 'au'), false) AS bad_pair
+    FROM placed),
+rows AS (SELECT *, (fault = 3)::BIGINT AS cut, role || ':' || text AS own FROM judged),
+counts AS (
+    SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps, count_if(fault = 1)::BIGINT AS blank,
+        count_if(fault = 2)::BIGINT AS duplicate, count_if(fault = 3)::BIGINT AS truncated, count_if(bad_pair)::BIGINT AS illegal, max(i) AS n
+    FROM rows GROUP BY conv_id),
+begin AS (
+    SELECT conv_id, 0::BIGINT AS i, {{'c': 0::BIGINT, 'a': '', 'r': []::VARCHAR[]}} AS s0 FROM counts),
+ways AS (
+    SELECT conv_id, i, s0, NULL::STRUCT(c BIGINT, a VARCHAR, r VARCHAR[]) AS s1, {arc('s0', 'I', '2', "'user:'")} AS s2,
+        {{'c': 4::BIGINT, 'a': 'II', 'r': ['user:', 'assistant:']}} AS s3 FROM begin
+    UNION ALL
+    SELECT conv_id, i, s0, s1, s2, {least('s3', arc('s2', 'I', '2', "'assistant:'"))} AS s3
+    FROM (
+        SELECT conv_id, i, s0, s1, {least('s2', *added)} AS s2, s3
+        FROM (
+            SELECT rows.conv_id, rows.i, {gone['s0']} AS s0, {least(gone['s1'], system)} AS s1, {least(gone['s2'], *user)} AS s2,
+                {least(gone['s3'], *stays('s2', 'assistant', 'a'))} AS s3
+            FROM ways JOIN rows ON ways.conv_id IS NOT DISTINCT FROM rows.conv_id AND ways.i + 1 = rows.i))),
+best AS (
+    SELECT c.*, {least('s0', 's3')} AS way FROM counts c JOIN ways w ON c.conv_id IS NOT DISTINCT FROM w.conv_id AND c.n = w.i)
+SELECT e.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+    coalesce(illegal, 0) AS illegal, coalesce(way.c, 0) AS cost, coalesce(way.a, '') AS audit,
+    sha256(coalesce(array_to_string(way.r, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) e LEFT JOIN best b ON e.conv_id IS NOT DISTINCT FROM b.conv_id
+"""

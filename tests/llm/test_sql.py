@@ -16,7 +16,7 @@ TYPES = {"bigint": "BIGINT", "string": "VARCHAR", "boolean": "BOOLEAN"}
 @pytest.fixture(scope="module")
 def connection():
     found = duckdb.connect()
-    for name in ("documents", "pages", "benchmark"):
+    for name in ("documents", "pages", "benchmark", "conversations"):
         found.execute(f"create view {name} as select * from '{SMALL}/{name}.parquet'")
     return found
 
