@@ -14,6 +14,7 @@ from tallyhouse.catalog import TABLES
 from tallyhouse.functions import status_is
 from tallyhouse.operators import (
     activity,
+    allocation,
     carts,
     constraints,
     customers,
@@ -41,6 +42,7 @@ from tallyhouse.streaming import cart_sessions, read_stream, stream_daily_activi
 ORDERS_AS_OF = "2001-08-02"
 EVENTS_AS_OF = "2024-01-31"
 STEP = ("changed_at", "line", "product_id")
+ARRIVAL = ("created_at", "order_id", "line", "warehouse_id", "quantity")
 MOVE = ("created_at", "reference_id", "line", "quantity_change")
 
 QUERIES: dict[str, Callable[[Retail], DataFrame]] = {}
@@ -306,10 +308,22 @@ def stock_allocation(r: Retail) -> DataFrame:
     )
 
 
+@query
+def stock_in_turn(r: Retail) -> DataFrame:
+    served = allocation.allocate_in_turn(r["order_items"], r["inventory"], ARRIVAL)
+    return served.select(
+        "order_id", "product_id", "line", "warehouse_id", "quantity", "inventory_id", "allocated_warehouse_id", "reject_reason"
+    )
+
+
+@query
+def remaining_stock(r: Retail) -> DataFrame:
+    return allocation.remaining_stock(r["order_items"], r["inventory"], order=ARRIVAL)
+
+
 @query
 def stock_demand_cover(r: Retail) -> DataFrame:
-    order = ("created_at", "order_id", "line", "warehouse_id", "quantity")
-    return inventory.demand_cover(r["order_items"], r["inventory"], order).select(
+    return inventory.demand_cover(r["order_items"], r["inventory"], ARRIVAL).select(
         "order_id", "product_id", "line", "warehouse_id", "quantity", "running_demand", "covered"
     )
 
@@ -430,6 +444,12 @@ def discounts_in_force(r: Retail) -> DataFrame:
     return promotions.discounts_in_force(r["orders"], r["discount"])
 
 
+@query
+def discount_timeline(r: Retail) -> DataFrame:
+    timeline = promotions.discount_timeline(r["discount"])
+    return timeline.withColumn("since", F.timestamp_micros("since"))
+
+
 @query
 def discounts_in_force_now(r: Retail) -> DataFrame:
     return promotions.in_force(r["discount"], "1996-04-10").select("id", "discount_type", "value")

@@ -92,6 +92,26 @@ FIRST_FREE = """
       on h.{owner} = o.owner and h.product_id = p.id
     group by o.owner"""
 
+# Line by line: stock is a list of [quantity, -inventory id, warehouse id], whose largest entry serves the line.
+IN_TURN = """
+    with recursive stock as (select product_id, list([cast(quantity as bigint), -id, warehouse_id]) held
+        from v_inventory group by product_id),
+      arrived as (select *, row_number() over (partition by product_id
+        order by created_at, order_id, line, warehouse_id, quantity) place from v_order_items),
+      served as (
+        select product_id, cast(0 as bigint) place, held, cast(null as bigint[]) top, cast(0 as bigint) wanted from stock
+        union all
+        select product_id, place,
+          list_transform(before, lambda s: case when s[2] = best[2] and best[1] >= wanted
+            then [s[1] - wanted, s[2], s[3]] else s end),
+          case when best[1] >= wanted then best end, wanted
+        from (select a.product_id, a.place, s.held before, list_max(s.held) best, cast(a.quantity as bigint) wanted
+          from served s join arrived a on a.product_id = s.product_id and a.place = s.place + 1)),
+      told as (select a.*, s.top[2:3] served,
+          list_sum(list_transform(b.held, lambda x: x[1])) before
+        from arrived a left join served s on s.product_id = a.product_id and s.place = a.place
+        left join served b on b.product_id = a.product_id and b.place = a.place - 1)"""
+
 STEPS = """
     select *, lag(status) over (partition by order_id order by changed_at, line, product_id) previous_status
     from v_status_history"""
@@ -523,6 +543,16 @@ SQL = {
         from v_order_items i left join ({STOCK}) s on s.product_id = i.product_id
         left join (select * from (select *, row_number() over (partition by product_id
           order by quantity desc, id) place from v_inventory) where place = 1) t on t.product_id = i.product_id""",
+    "stock_in_turn": f"""
+        {IN_TURN} select order_id, product_id, line, warehouse_id, quantity, -served[1] inventory_id,
+          served[2] allocated_warehouse_id, case when served is null and (before is null or before < quantity)
+            then 'insufficient_stock' when served is null then 'no_single_warehouse' end reject_reason
+        from told""",
+    "remaining_stock": f"""
+        {IN_TURN} select i.id, i.product_id, i.warehouse_id, cast(i.quantity as bigint) opening,
+          cast(coalesce(t.taken, 0) as bigint) taken, cast(i.quantity - coalesce(t.taken, 0) as bigint) quantity
+        from v_inventory i left join (select -served[1] id, sum(quantity) taken from told where served is not null
+          group by 1) t on t.id = i.id""",
     "stock_demand_cover": f"""
         select order_id, product_id, line, warehouse_id, quantity, cast(demand as bigint) running_demand,
           demand <= coalesce(total_stock, 0) covered
@@ -652,6 +682,11 @@ SQL = {
           cast(max(d."value") as double) best_value
         from v_orders o left join v_discount d on d.start_date <= o.order_date and o.order_date <= d.end_date
         group by o.id""",
+    "discount_timeline": f"""
+        select {moment("since")} since, count(d.id) discounts, arg_max(d.id, d."value" * 1000 - d.id) best_discount_id,
+          cast(max(d."value") as double) best_value
+        from (select start_date since from v_discount union select end_date + interval 1 microsecond from v_discount) m
+        left join v_discount d on d.start_date <= since and since <= d.end_date group by since""",
     "discounts_in_force_now": """
         select id, discount_type, cast("value" as double) "value" from v_discount
         where start_date <= timestamp '1996-04-10' and end_date >= timestamp '1996-04-10'""",

@@ -194,6 +194,8 @@ def with_views(sql: str) -> str:
         return sql
     ctes = ",\n".join(f"{name} as ({VIEWS[name].strip()})" for name in ordered)
     body = sql.strip()
+    if body.lower().startswith("with recursive "):
+        return f"with recursive {ctes},\n{body[15:]}"
     if body.lower().startswith("with "):
         return f"with {ctes},\n{body[5:]}"
     return f"with {ctes}\n{body}"

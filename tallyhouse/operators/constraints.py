@@ -1,8 +1,9 @@
 """Key, reference and domain checks as one result row per check.
 
-Rules that a row meets by itself share one pass over the table; every key and
-reference takes one grouping. Hot keys cost nothing extra: rows are counted per key first, with map-side
-combine, and only the counts travel.
+All checks of all tables share one pass: every row of a table is turned into one small entry for each key it
+must not repeat, each reference it makes, each reference made to it, and each rule that it meets by itself. Entries are
+grouped by check and key, and then by check. A table is read once, whatever the number of its checks, and entries of
+one key combine on the map side, so a hot key costs nothing extra.
 """
 
 from __future__ import annotations
@@ -92,23 +93,102 @@ def check_reference(df: DataFrame, table: str, column: str, parent: DataFrame, p
     return _row(counts, table, f"reference({column})")
 
 
-def check_table(tables: Mapping[str, DataFrame], name: str) -> DataFrame:
-    """Every declared key, reference and domain of one table that its columns allow."""
-    spec = lookup(name)
-    df = tables[name]
-    checks = []
-    for key in (spec.key, *spec.unique):
-        if set(key) <= set(df.columns):
-            checks.append(check_unique(df, name, key))
-    for column, (parent, parent_key) in spec.references.items():
-        if column in df.columns and parent in tables:
-            checks.append(check_reference(df, name, column, tables[parent], parent_key))
-    rules = [domain(column, allowed) for column, allowed in spec.domains.items() if column in df.columns]
-    rules += [at_least(column, least) for column, least in LEAST.get(name, {}).items()]
-    if rules:
-        checks.append(check_rows(df, name, rules))
-    return reduce(DataFrame.unionByName, checks)
+@dataclass(frozen=True)
+class Check:
+    """One check: ``kind`` is unique, reference or row."""
+
+    table: str
+    rule: str
+    kind: str
+
+
+def _entry(check: int, key: str, n: str = "1L", failed: str = "0L", parent: str = "false") -> str:
+    return f"named_struct('check', {check}, 'key', {key}, 'n', {n}, 'failed', {failed}, 'parent', {parent})"
+
+
+def _text(columns: Iterable[str]) -> str:
+    """The columns' text, each behind its length, so that different keys never look the same."""
+    names = [f"cast(`{column}` as string)" for column in columns]
+    return names[0] if len(names) == 1 else f"concat({', '.join(f'length({name}), {chr(39)}:{chr(39)}, {name}' for name in names)})"
+
+
+def _filled(columns: Iterable[str]) -> str:
+    return " and ".join(f"`{column}` is not null" for column in columns)
+
+
+def _row_rules(df: DataFrame, name: str) -> list[RowRule]:
+    rules = [domain(column, allowed) for column, allowed in lookup(name).domains.items() if column in df.columns]
+    return rules + [at_least(column, least) for column, least in LEAST.get(name, {}).items() if column in df.columns]
 
 
 def check_all(tables: Mapping[str, DataFrame], names: Iterable[str]) -> DataFrame:
-    return reduce(DataFrame.unionByName, [check_table(tables, name) for name in names])
+    """Every declared key, reference and domain of the named tables that their columns allow.
+
+    ``table_name, rule, checked, failed``: rows that a check judged, and those that fail it. Rows that repeat a key already seen
+    fail it, rows with a NULL in a key are exempt; a NULL reference is not judged. An empty table has rows of zeros.
+    """
+    checks: list[Check] = []
+    entries: dict[str, list[Column]] = {}
+
+    def add(check: Check) -> int:
+        checks.append(check)
+        return len(checks) - 1
+
+    def enter(table: str, condition: str, entry: str) -> None:
+        entries.setdefault(table, []).append(F.expr(f"if({condition}, {entry}, null)"))
+
+    for name in names:
+        spec, df = lookup(name), tables[name]
+        for key in (spec.key, *spec.unique):
+            if set(key) <= set(df.columns):
+                number = add(Check(name, f"unique({','.join(key)})", "unique"))
+                enter(name, _filled(key), _entry(number, _text(key)))
+        for column, (parent, parent_key) in spec.references.items():
+            if column in df.columns and parent in tables:
+                number = add(Check(name, f"reference({column})", "reference"))
+                enter(name, _filled([column]), _entry(number, _text([column])))
+                enter(parent, _filled([parent_key]), _entry(number, _text([parent_key]), n="0L", parent="true"))
+        for rule in _row_rules(df, name):
+            number = add(Check(name, rule.name, "row"))
+            entry = F.struct(
+                F.lit(number).alias("check"),
+                F.lit(None).cast("string").alias("key"),
+                rule.judged.cast("int").cast("bigint").alias("n"),
+                F.coalesce(rule.failed, F.lit(False)).cast("int").cast("bigint").alias("failed"),
+                F.lit(False).alias("parent"),
+            )
+            entries.setdefault(name, []).append(entry)
+    if not checks:
+        raise ValueError("no check applies to these tables")
+    spark = next(iter(tables.values())).sparkSession
+    # An entry of nothing for every check, so that checks of empty tables are told as well.
+    parts = [spark.range(len(checks)).select(F.expr(_entry(0, "cast(null as string)", n="0L")).withField("check", F.col("id").cast("int")).alias("e")).select("e.*")]
+    for name, made in entries.items():
+        parts.append(tables[name].select(F.inline(F.array_compact(F.array(*made)))))
+    every = reduce(DataFrame.unionByName, parts)
+    per_key = every.groupBy("check", "key").agg(
+        F.sum("n").alias("n"), F.sum("failed").alias("failed"), F.max("parent").alias("parent")
+    )
+    per_check = per_key.groupBy("check").agg(
+        F.sum("n").alias("checked"),
+        F.sum(F.greatest(F.col("n") - 1, F.lit(0))).alias("unique"),
+        F.sum(F.when(F.col("parent"), 0).otherwise(F.col("n"))).alias("reference"),
+        F.sum("failed").alias("row"),
+    )
+
+    def listed(values: Iterable[str]) -> Column:
+        return F.element_at(F.array(*[F.lit(value) for value in values]), F.col("check") + 1)
+
+    kind = listed(check.kind for check in checks)
+    failed = F.when(kind == "unique", F.col("unique")).when(kind == "reference", F.col("reference")).otherwise(F.col("row"))
+    return per_check.select(
+        listed(check.table for check in checks).alias("table_name"),
+        listed(check.rule for check in checks).alias("rule"),
+        F.col("checked").cast("bigint").alias("checked"),
+        failed.cast("bigint").alias("failed"),
+    )
+
+
+def check_table(tables: Mapping[str, DataFrame], name: str) -> DataFrame:
+    """The checks of one table."""
+    return check_all(tables, [name])

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.functions import money
+from tallyhouse.functions import money, or_zero
+from tallyhouse.operators.sequence import asof_join
 from tallyhouse.operators.skew import key_sizes, salted_join
 from tallyhouse.operators.validation import Rule, validate
 
@@ -35,51 +36,74 @@ def in_force(discount: DataFrame, at: str) -> DataFrame:
     )
 
 
-def discounts_in_force(orders: DataFrame, discount: DataFrame) -> DataFrame:
-    """Per order: how many discounts were in force and the largest one.
+# Levels of the halved time line: moments are counted in microseconds.
+LEVELS = 60
+
+
+def _moment(column: str) -> Column:
+    return F.unix_micros(F.col(column).cast("timestamp"))
+
+
+def _spans(begin: Column, end: Column) -> Column:
+    """The moments from ``begin`` up to ``end``, cut into spans of 2^level that start at multiples of their length.
 
-    A range join. Each discount is repeated once per day of its period, so
-    the join is an equality on the day and the exact moments are compared
-    only inside matching days. Periods are cut to the days that have orders at all, so a
-    discount without an end costs no more than that. Orders without any discount are kept.
+    Each level has two spans at most, so a period of any length is a short list.
     """
-    day = F.to_date("order_date")
-    first = F.greatest(F.to_date("start_date"), orders.agg(F.min(day)).scalar())
-    last = F.least(F.to_date("end_date"), orders.agg(F.max(day)).scalar())
-    periods = (
-        discount.filter(F.col("is_active") & (F.col("start_date") <= F.col("end_date")))
-        .withColumns({"_first": first, "_last": last})
-        .filter("_first <= _last")
-        .select(
-            F.col("id").alias("discount_id"),
-            "value",
-            "start_date",
-            "end_date",
-            F.explode(F.sequence("_first", "_last")).alias("_valid_day"),
-        )
-    )
-    dated = orders.select(F.col("id").alias("order_id"), "order_date", F.to_date("order_date").alias("_day"))
-    inside = (
-        (F.col("_day") == F.col("_valid_day"))
-        & (F.col("start_date") <= F.col("order_date"))
-        & (F.col("order_date") <= F.col("end_date"))
+
+    def at(level: Column) -> Column:
+        first = F.call_function("shiftright", begin + F.call_function("shiftleft", F.lit(1).cast("bigint"), level) - 1, level)
+        last = F.call_function("shiftright", end, level)
+        span = lambda place: F.struct(level.alias("level"), place.alias("place"))
+        open_ = first < last
+        return F.array(F.when(open_ & (first % 2 != 0), span(first)), F.when(open_ & (last % 2 != 0), span(last - 1)))
+
+    return F.array_compact(F.flatten(F.transform(F.sequence(F.lit(0), F.lit(LEVELS)), at)))
+
+
+def discount_timeline(discount: DataFrame) -> DataFrame:
+    """``since, discounts, best_discount_id, best_value`` from every moment at which a period begins or has ended.
+
+    Periods include both of their ends. The best discount has the largest value, the lowest id on a tie.
+    Each period becomes a few spans of a halved time line, each moment looks at the one span of every level that
+    holds it: two numbers combine per span, and no period is repeated by day or by moment.
+    """
+    periods = discount.filter(F.col("is_active") & (F.col("start_date") <= F.col("end_date"))).select(
+        "id", "value", _moment("start_date").alias("begin"), (_moment("end_date") + 1).alias("end")
     )
-    best = F.max(
-        F.when(F.col("discount_id").isNotNull(), F.struct("value", (-F.col("discount_id")).alias("_id")))
+    spans = (
+        periods.select("id", "value", F.explode(_spans(F.col("begin"), F.col("end"))).alias("span"))
+        .groupBy("span")
+        .agg(F.count(F.lit(1)).alias("covered"), F.max(F.struct("value", (-F.col("id")).alias("place"))).alias("best"))
     )
+    since = periods.select(F.explode(F.array("begin", "end")).alias("since")).distinct()
+    levels = F.sequence(F.lit(0), F.lit(LEVELS))
+    looked = F.transform(levels, lambda l: F.struct(l.alias("level"), F.call_function("shiftright", F.col("since"), l).alias("place")))
     return (
-        dated.join(periods, inside, "left")
-        .groupBy("order_id")
-        .agg(F.count("discount_id").alias("discounts"), best.alias("_best"))
+        since.select("since", F.explode(looked).alias("span"))
+        .join(spans, "span", "left")
+        .groupBy("since")
+        .agg(F.sum("covered").alias("discounts"), F.max("best").alias("best"))
         .select(
-            "order_id",
-            "discounts",
-            (-F.col("_best._id")).alias("best_discount_id"),
-            F.col("_best.value").alias("best_value"),
+            "since",
+            F.coalesce("discounts", F.lit(0)).alias("discounts"),
+            (-F.col("best.place")).alias("best_discount_id"),
+            F.col("best.value").alias("best_value"),
         )
     )
 
 
+def discounts_in_force(orders: DataFrame, discount: DataFrame) -> DataFrame:
+    """Per order: how many discounts were in force and the largest one.
+
+    The periods make a time line of states, and each order takes the state of its moment. Orders without any
+    discount are kept, also those without a moment.
+    """
+    moments = orders.select(F.col("id").alias("order_id"), _moment("order_date").alias("_moment"))
+    state = ["discounts", "best_discount_id", "best_value"]
+    found = asof_join(moments, discount_timeline(discount), [], "_moment", "since", state)
+    return found.select("order_id", or_zero("discounts").alias("discounts"), "best_discount_id", "best_value")
+
+
 def discount_split(
     items: DataFrame, orders: DataFrame, discount: DataFrame, counted: DataFrame | None = None
 ) -> DataFrame:

@@ -1,8 +1,8 @@
-"""Numbering, previous-row and running-balance jobs over long histories.
+"""Numbering, previous-row, last-value and running-balance jobs over long histories.
 
 A window puts every row of a key into one task, which is right for the many
 keys with a short history and wrong for a key that holds a large share of
-the table. Keys are counted first. Ordinary keys take the plain window, at
+the table. Hot keys are found by a sketch. Ordinary keys take the plain window, at
 the cost of one shuffle. Hot keys are cut into ordered slices: the window
 runs inside a slice, and what a slice carries into the next one comes from
 an aggregate with one row per slice.
@@ -15,14 +15,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyhouse.operators.skew import hot_keys
+from tallyhouse.operators.skew import heavy_hitters
 from tallyhouse.session import materialise
 
-# Ids per slice and slices per group, as powers of two: with a unique id no
-# slice exceeds 2^14 rows and no group of slices exceeds 2^12.
-SLICE_BITS = 14
-GROUP_BITS = 12
-
 # Rows of one key that a single task should still sort.
 HOT_ROWS = 5_000_000
 
@@ -40,61 +35,49 @@ def _keyed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 def dense_sequence(df: DataFrame, key: str, name: str, groups: Sequence[str] = ()) -> DataFrame:
     """Number rows 1, 2, 3 … by ``key`` within ``groups`` without one big sort.
 
-    ``key`` must be a unique integer. Works like ``row_number`` over the
-    groups, but a group is spread over id slices, so a handful of huge groups
-    (or none at all) still uses every task.
+    ``key`` must be unique within a group; a NULL comes first. Works like ``row_number`` over the
+    groups, but rows are dealt out by ranges of (groups, key), so a handful of huge groups
+    (or none at all), sparse keys or keys in clumps still use every task. A row's place in its range is known
+    once the range is sorted; ranges are counted, and the counts of the ranges before are added.
     """
     groups = list(groups)
-    rows = _keyed(df, groups).withColumn("_slice", F.shiftright(F.col(key).cast("long"), SLICE_BITS))
-
-    sizes = (
-        rows.groupBy("_key", "_slice")
-        .agg(F.count(F.lit(1)).alias("_size"))
-        .withColumn("_group", F.shiftright("_slice", GROUP_BITS))
-    )
+    dealt = _keyed(df, groups).repartitionByRange(*groups, key).sortWithinPartitions(*groups, key)
+    # Written once: bounds of ranges come from a sample. The upper bits are the range, the lower 33 the row in it.
+    rows = materialise(dealt.withColumn("_at", F.monotonically_increasing_id()))
+    rows = rows.withColumn("_slice", F.shiftright("_at", 33)).withColumn("_place", F.col("_at").bitwiseAND((1 << 33) - 1))
     before = (Window.unboundedPreceding, -1)
-    earlier_slices = Window.partitionBy("_key", "_group").orderBy("_slice").rowsBetween(*before)
-    earlier_groups = Window.partitionBy("_key").orderBy("_group").rowsBetween(*before)
-    group_starts = (
-        sizes.groupBy("_key", "_group")
-        .agg(F.sum("_size").alias("_group_size"))
-        .withColumn("_group_start", F.coalesce(F.sum("_group_size").over(earlier_groups), F.lit(0)))
-        .drop("_group_size")
-    )
-    starts = (
-        sizes.withColumn("_slice_start", F.coalesce(F.sum("_size").over(earlier_slices), F.lit(0)))
-        .join(group_starts, ["_key", "_group"])
-        .select("_key", "_slice", (F.col("_slice_start") + F.col("_group_start")).alias("_start"))
-    )
-
-    inside = Window.partitionBy("_key", "_slice").orderBy(key)
-    numbered = rows.withColumn("_place", F.row_number().over(inside))
-    return (
-        numbered.join(starts, ["_key", "_slice"])
-        .withColumn(name, F.col("_start") + F.col("_place"))
-        .select(*df.columns, name)
-    )
+    if not groups:
+        # One row for each range, so a single small task adds them up and the sums may be broadcast.
+        sizes = rows.groupBy("_slice").agg((F.max("_place") + 1).alias("_size"))
+        start = F.coalesce(F.sum("_size").over(Window.orderBy("_slice").rowsBetween(*before)), F.lit(0))
+        starts = F.broadcast(sizes.select("_slice", start.alias("_start")))
+        numbered = rows.join(starts, "_slice")
+    else:
+        # A group lies in neighbouring ranges, and its rows in one range lie together.
+        sizes = rows.groupBy("_key", "_slice").agg(F.min("_place").alias("_first"), F.count(F.lit(1)).alias("_size"))
+        earlier = F.sum("_size").over(Window.partitionBy("_key").orderBy("_slice").rowsBetween(*before))
+        starts = sizes.select("_key", "_slice", (F.coalesce(earlier, F.lit(0)) - F.col("_first")).alias("_start"))
+        numbered = rows.join(starts, ["_key", "_slice"])
+    return numbered.withColumn(name, F.col("_start") + F.col("_place") + 1).select(*df.columns, name)
 
 
 def split_hot(
     df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS
-) -> tuple[DataFrame, DataFrame | None]:
+) -> tuple[DataFrame | None, DataFrame | None]:
     """Rows of ordinary keys, and rows of hot keys (None when no key is hot).
 
     The list of hot keys is short by definition, see
-    :func:`tallyhouse.operators.skew.hot_keys`, so it may be looked at here
-    and broadcast.
+    :func:`tallyhouse.operators.skew.heavy_hitters`, so it may be looked at here. Without any key
+    the table is one history, which is cut like a hot key.
     """
     keys = list(keys)
-    hot = hot_keys(df, keys, hot_rows)
-    found = hot.collect()
+    if not keys:
+        return None, df
+    found = [row["_hash"] for row in heavy_hitters(df, keys, hot_rows).collect()]
     if not found:
         return df, None
-    listed = F.broadcast(df.sparkSession.createDataFrame(found, hot.schema))
-    same = F.lit(True)
-    for key in keys:
-        same = same & df[key].eqNullSafe(listed[key])
-    return df.join(listed, same, "left_anti"), df.join(listed, same, "left_semi")
+    is_hot = F.xxhash64(*keys).isin(found)
+    return df.filter(~is_hot), df.filter(is_hot)
 
 
 def _sliced(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -143,6 +126,75 @@ def previous_value(
     return result.unionByName(joined.select(*result.columns))
 
 
+def last_value(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    value: str,
+    name: str,
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """Last value that is not NULL, per key, the row's own included."""
+    keys = list(keys)
+    ordinary, hot = split_hot(df, keys, hot_rows)
+    upto = (Window.unboundedPreceding, 0)
+    result = None
+    if ordinary is not None:
+        whole = Window.partitionBy(*keys).orderBy(*order).rowsBetween(*upto)
+        result = ordinary.withColumn(name, F.last(value, ignorenulls=True).over(whole))
+    if hot is None:
+        return result
+
+    rows = _sliced(hot, keys, order)
+    inside = Window.partitionBy("_key", "_slice").orderBy(*order).rowsBetween(*upto)
+    slices = Window.partitionBy("_key").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    valued = F.when(F.col(value).isNotNull(), F.struct(*order, F.col(value).alias("_value")))
+    carried = (
+        rows.groupBy("_key", "_slice")
+        .agg(F.max(valued)["_value"].alias("_last"))
+        .withColumn("_carried", F.last("_last", ignorenulls=True).over(slices))
+        .drop("_last")
+    )
+    local = rows.withColumn("_local", F.last(value, ignorenulls=True).over(inside))
+    joined = local.join(carried, ["_key", "_slice"]).withColumn(name, F.coalesce("_local", "_carried"))
+    joined = joined.select(*df.columns, name)
+    return joined if result is None else result.unionByName(joined)
+
+
+def asof_join(
+    facts: DataFrame,
+    versions: DataFrame,
+    on: Sequence[str],
+    at: str,
+    since: str,
+    columns: Sequence[str],
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """Each fact with the ``columns`` of the last version of its key that began by the fact's moment; NULL without any.
+
+    Versions are laid among the facts in order of time, and the last one is carried on, so no range of moments
+    is joined or expanded, and a key with a long history is cut into slices. ``(on, since)`` must be
+    unique among versions. A NULL key or moment meets no version.
+    """
+    on = list(on)
+    present = F.col(since).isNotNull()
+    for key in on:
+        present = present & F.col(key).isNotNull()
+    kinds = [F.col(name).cast(facts.schema[name].dataType).alias(name) for name in on]
+    begun = versions.filter(present).select(
+        *kinds, F.col(since).cast(facts.schema[at].dataType).alias("_at"), F.lit(0).alias("_side"), F.struct(*columns).alias("_version")
+    )
+    asked = facts.withColumn("_at", F.col(at)).withColumn("_side", F.lit(1))
+    every = begun.unionByName(asked, allowMissingColumns=True)
+    found = last_value(every, on, ["_at", "_side"], "_version", "_found", hot_rows)
+    valid = F.col("_at").isNotNull()
+    for key in on:
+        valid = valid & F.col(key).isNotNull()
+    return found.filter("_side = 1").select(
+        *facts.columns, *[F.when(valid, F.col("_found")[name]).alias(name) for name in columns]
+    )
+
+
 def running_total(
     df: DataFrame,
     keys: Sequence[str],

@@ -18,6 +18,9 @@ from pyspark.sql import functions as F
 HOT_ROWS = 1_000_000
 # Tasks over which the rows of one hot key are spread.
 SALTS = 64
+# Keys that a list of hot keys holds at most, and keys that a sketch follows. A key with more than one row in
+# some 3 000 is surely among them; one with less is no load for a task.
+LISTED, TRACKED = 1024, 4096
 
 
 def key_sizes(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -33,6 +36,19 @@ def hot_keys(
     return counted.filter(F.col("_rows") > hot_rows).select(*keys)
 
 
+def heavy_hitters(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Hashes (``_hash``) of the keys that hold more than about ``hot_rows`` rows, ``LISTED`` at most.
+
+    One pass that counts nothing exactly: every task keeps a space-saving sketch of bounded size, and sketches, not
+    rows, are shuffled and merged in two steps. The list only steers how work is spread; results never depend on it.
+    """
+    name = f"approx_top_k_accumulate(xxhash64({', '.join(f'`{key}`' for key in keys)}), {TRACKED})"
+    parts = df.groupBy((F.spark_partition_id() % SALTS).alias("_part")).agg(F.expr(name).alias("_sketch"))
+    # Grouped by a constant: an empty table has no part, and a sketch of no parts cannot be made.
+    top = parts.groupBy((F.col("_part") * 0).alias("_all")).agg(F.expr(f"approx_top_k_estimate(approx_top_k_combine(_sketch, {TRACKED}), {LISTED})").alias("_top"))
+    return top.select(F.inline("_top").alias("_hash", "_rows")).filter(F.col("_rows") > hot_rows).select("_hash")
+
+
 def salted_join(
     fact: DataFrame,
     keyed: DataFrame,
@@ -48,22 +64,31 @@ def salted_join(
     as they are. Rows without a key match nothing and are spread like hot ones.
     The salt is a hash of the fact row, so a retried task sends
     every row to the same place. ``sizes`` (keys and ``_rows``) saves the
-    count when the caller has it or can take it from a cheaper table.
+    sketch when the caller has counted the keys already.
     """
     if how not in ("left", "inner", "left_semi", "left_anti"):
         raise ValueError(f"salted_join keeps the fact side only, got {how!r}")
     keys = [on] if isinstance(on, str) else list(on)
-    # Spark broadcasts the list while it is small.
-    hot = hot_keys(fact, keys, hot_rows, sizes).withColumn("_hot", F.lit(True))
+    if sizes is None:
+        # At most LISTED rows.
+        hot = F.broadcast(heavy_hitters(fact, keys, hot_rows).withColumn("_hot", F.lit(True)))
+        match, helper = ["_hash"], F.xxhash64(*keys)
+    else:
+        # Spark broadcasts the list while it is small.
+        hot = hot_keys(fact, keys, hot_rows, sizes).withColumn("_hot", F.lit(True))
+        match, helper = keys, None
+
+    def marked(df: DataFrame) -> DataFrame:
+        df = df if helper is None else df.withColumn("_hash", helper)
+        return df.join(hot, match, "left")
+
     keyless = F.lit(False)
     for key in keys:
         keyless = keyless | F.col(key).isNull()
     salt = F.pmod(F.xxhash64(*fact.columns), F.lit(SALTS)).cast("int")
     last = F.when(F.col("_hot"), SALTS - 1).otherwise(0)
-    salted = fact.join(hot, keys, "left").withColumn("_salt", F.when(F.col("_hot") | keyless, salt).otherwise(0)).drop("_hot")
-    repeated = (
-        keyed.join(hot, keys, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), last))).drop("_hot")
-    )
+    salted = marked(fact).withColumn("_salt", F.when(F.col("_hot") | keyless, salt).otherwise(0)).drop("_hot", "_hash")
+    repeated = marked(keyed).withColumn("_salt", F.explode(F.sequence(F.lit(0), last))).drop("_hot", "_hash")
     return salted.join(repeated, [*keys, "_salt"], how).drop("_salt")
 
 

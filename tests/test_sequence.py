@@ -9,8 +9,10 @@ import random
 import pytest
 
 from tallyhouse.operators.sequence import (
+    asof_join,
     clamped_balance,
     dense_sequence,
+    last_value,
     previous_value,
     running_total,
     split_hot,
@@ -116,3 +118,89 @@ def test_slices_equal_one_window_with_nulls_and_ties(spark, rows, seed):
         lambda hot: clamped_balance(df, ["k"], ["t", "id"], "v", "opening", hot),
     ):
         assert rows(job(5)) == rows(job(10_000))
+
+
+def wild_ids(draw, kind):
+    if kind == "sparse":
+        return [draw.randrange(-(2**62), 2**62) for _ in range(300)]
+    if kind == "clumps":
+        return [base + k for base in (-(2**40), 0, 2**61) for k in range(100)]
+    return list(range(-150, 150))
+
+
+@pytest.mark.parametrize("kind", ["sparse", "clumps", "dense"])
+@pytest.mark.parametrize("groups", [[], ["g"], ["g", "h"]], ids=["none", "one", "two"])
+def test_numbers_follow_the_rank_whatever_the_ids(spark, kind, groups):
+    draw = random.Random(4)
+    data = [(value, draw.choice(["x", "x", "x", "y", None]), draw.randrange(2)) for value in set(wild_ids(draw, kind))]
+    df = spark.createDataFrame(data, "id long, g string, h int").repartition(7)
+    numbered = dense_sequence(df, "id", "n", groups)
+    assert numbered.columns == ["id", "g", "h", "n"]
+    expected, seen = {}, {}
+    for row in sorted(data):
+        group = tuple({"g": row[1], "h": row[2]}[name] for name in groups)
+        seen[group] = seen.get(group, 0) + 1
+        expected[row[0]] = seen[group]
+    assert {row.id: row.n for row in numbered.collect()} == expected
+
+
+def exchanges(df):
+    return df._jdf.queryExecution().explainString(spark_mode(df)).count("Exchange ")
+
+
+def spark_mode(df):
+    return df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple")
+
+
+def test_numbering_plans_few_exchanges(spark):
+    df = spark.range(100).selectExpr("id", "id % 3 g")
+    assert exchanges(dense_sequence(df, "id", "n")) <= 3
+    assert exchanges(dense_sequence(df, "id", "n", ["g"])) <= 4
+
+
+@BOTH
+def test_last_value(history, hot_rows):
+    df, by_key = history
+    result = last_value(df, ["k"], ["t", "id"], "status", "known", hot_rows)
+    expected = {}
+    for rows in by_key.values():
+        last = None
+        for row in rows:
+            last = row.status if row.status is not None else last
+            expected[row.id] = last
+    assert {row.id: row.known for row in result.collect()} == expected
+
+
+def test_last_value_without_keys(history):
+    df, _ = history
+    expected, last = {}, None
+    for row in sorted(df.collect(), key=lambda row: (row.t, row.id)):
+        last = row.status if row.status is not None else last
+        expected[row.id] = last
+    assert {row.id: row.known for row in last_value(df, [], ["t", "id"], "status", "known").collect()} == expected
+
+
+@pytest.mark.parametrize("hot_rows", [10_000, 30], ids=["plain", "hot"])
+@pytest.mark.parametrize("keys", [["k"], []], ids=["keyed", "keyless"])
+def test_asof_join_finds_the_last_version_begun(spark, keys, hot_rows):
+    draw = random.Random(11)
+    facts = [(n, draw.choice([1, 1, 1, 2, 3, None]), draw.choice([None, *range(30)])) for n in range(300)]
+    versions = {(draw.choice([1, 2, None]) if keys else 0, draw.choice([None, *range(30)])): n for n in range(25)}
+    left = spark.createDataFrame(facts, "id long, k long, t long")
+    right = spark.createDataFrame([(k, t, f"v{n}", n if n % 3 else None) for (k, t), n in versions.items()], "k long, since int, name string, w int")
+    found = asof_join(left, right, keys, "t", "since", ["name", "w"], hot_rows)
+    assert found.columns == ["id", "k", "t", "name", "w"]
+    expected = {}
+    for number, k, t in facts:
+        begun = [(s, n) for (key, s), n in versions.items() if s is not None and t is not None and s <= t and (not keys or (key == k and k is not None))]
+        n = max(begun)[1] if begun else None
+        expected[number] = (None, None) if n is None else (f"v{n}", n if n % 3 else None)
+    assert {r.id: (r.name, r.w) for r in found.collect()} == expected
+
+
+def test_asof_join_of_empty_tables(spark):
+    left = spark.createDataFrame([], "id long, k long, t long")
+    right = spark.createDataFrame([], "k long, since long, name string")
+    assert asof_join(left, right, ["k"], "t", "since", ["name"]).collect() == []
+    one = spark.createDataFrame([(1, 1, 5)], "id long, k long, t long")
+    assert [tuple(r) for r in asof_join(one, right, ["k"], "t", "since", ["name"]).collect()] == [(1, 1, 5, None)]
