@@ -22,6 +22,7 @@ from tallyhouse.operators import (
     lifecycle,
     orders,
     payments,
+    profiles,
     promotions,
     quality,
     returns,
@@ -38,6 +39,8 @@ from tallyhouse.plans.marts.return_analysis import top_return_reasons as ranked_
 from tallyhouse.session import checkpoint_dir, tune
 from tallyhouse.sources import filter_day, incremental, incremental_by_change, reassign_ids
 from tallyhouse.streaming import cart_sessions, read_stream, stream_daily_activity, write_stream
+from tallyhouse.streaming.deadlines import SECOND, Terms, due_by, stream_deadlines, with_timers
+from tallyhouse.streaming.ingest import ingest_stream, ingested
 
 ORDERS_AS_OF = "2001-08-02"
 EVENTS_AS_OF = "2024-01-31"
@@ -558,6 +561,57 @@ def cart_session_stream(r: Retail) -> DataFrame:
     )
 
 
+# Dates have no minutes here: 30 days to confirm, carts idle for a day.
+TERMS = Terms(confirm=30 * 86_400 * SECOND, idle=86_400 * SECOND)
+
+
+def _deadline_events(placed: DataFrame, lines: DataFrame, touches: DataFrame) -> DataFrame:
+    """Orders, their steps and activity as events of one kind."""
+    failed = (F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "O")
+
+    def events(df: DataFrame, kind, number: str, event, at: str) -> DataFrame:
+        named = [kind if not isinstance(kind, str) else F.lit(kind), event if not isinstance(event, str) else F.lit(event)]
+        return df.select(named[0].alias("kind"), F.col(number).alias("id"), named[1].alias("event"), F.col(at).alias("created_at"))
+
+    steps = events(
+        lines, F.when(failed, "delivery").otherwise("order"), "l_orderkey", F.when(failed, "failed").otherwise("confirmed"), "l_shipdate"
+    )
+    return events(placed, "order", "o_orderkey", "placed", "o_orderdate").unionByName(steps).unionByName(
+        events(touches, "cart", "user_id", "touch", "ts")
+    )
+
+
+@query
+def due_deadlines(r: Retail) -> DataFrame:
+    events = _deadline_events(*[r.source(name) for name in ("orders", "lineitem", "events")])
+    until = r.source("events").agg((F.max("ts") - F.make_dt_interval(days=F.lit(1))).alias("until")).scalar()
+    return due_by(events, until, TERMS)
+
+
+@query
+def deadline_stream(r: Retail) -> DataFrame:
+    """The same decisions from a stream with timers."""
+    parts = [read_stream(r.spark, f"{r.folder}/{name}.parquet", SOURCES[name]) for name in ("orders", "lineitem", "events")]
+    decided = stream_deadlines(_deadline_events(*parts), TERMS)
+    folder = f"{checkpoint_dir(r.spark)}/stream-deadlines-{uuid.uuid4().hex}"
+    with with_timers(r.spark):
+        running = write_stream(decided, f"{folder}/out", f"{folder}/state")
+    running.awaitTermination()
+    return r.spark.read.schema(decided.schema).parquet(f"{folder}/out")
+
+
+@query
+def ingested_orders(r: Retail) -> DataFrame:
+    """Two versions of every order arrive as a stream; the later one is kept in its day."""
+    arrived = read_stream(r.spark, f"{r.folder}/orders.parquet", SOURCES["orders"])
+    first = arrived.select(F.col("o_orderkey").alias("id"), F.lit("P").alias("status"), F.col("o_orderdate").alias("created_at"), F.lit(0).alias("version"))
+    last = arrived.select(F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("status"), F.col("o_orderdate").alias("created_at"), F.lit(1).alias("version"))
+    folder = f"{checkpoint_dir(r.spark)}/ingest-{uuid.uuid4().hex}"
+    for _ in range(2):
+        ingest_stream(first.unionByName(last), folder, ["id"], "created_at", ["version"]).awaitTermination()
+    return ingested(r.spark, folder).select("id", "status", "version", "created_at_day")
+
+
 # Quality, constraints, lifecycle ---------------------------------------------
 
 
@@ -610,6 +664,32 @@ def dq_pass_rate(r: Retail) -> DataFrame:
     return validation.pass_rates(judged, "orders", ORDERS_AS_OF, quality.order_total_rules())
 
 
+@query
+def stored_profiles(r: Retail) -> DataFrame:
+    """Months are profiled once and stored; the years' figures come from the stored rows."""
+    columns = ["id", "customer_id", "status", "total_price", "order_date"]
+    folder = f"{checkpoint_dir(r.spark)}/profiles-{uuid.uuid4().hex}"
+    made = profiles.profile(r["orders"], "orders", F.date_trunc("month", "order_date"), columns)
+    made.write.partitionBy("ds").parquet(folder)
+    every = profiles.report(profiles.merged(r.spark.read.schema(made.schema).parquet(folder)))
+    commonest = F.when(F.col("column_name") == "status", F.get("frequent", 0))
+    return every.select(
+        "table_name", "column_name", "rows", "nulls", "lowest", "highest",
+        (F.col("distinct_values") >= (F.col("rows") - F.col("nulls")) * F.lit(profiles.UNIQUE_SHARE)).alias("looks_unique"),
+        commonest["item"].alias("commonest"), commonest["count"].alias("commonest_rows"),
+    )
+
+
+@query
+def stored_checks(r: Retail) -> DataFrame:
+    """Verdicts of one day from stored profiles of the days around it."""
+    days = r["customer_activity_log"].filter(F.col("created_at") < F.lit(EVENTS_AS_OF).cast("timestamp_ntz"))
+    folder = f"{checkpoint_dir(r.spark)}/profiles-{uuid.uuid4().hex}"
+    made = profiles.profile(days, "customer_activity_log", F.col("created_at"))
+    made.write.partitionBy("ds").parquet(folder)
+    return profiles.checks(r.spark.read.schema(made.schema).parquet(folder), TABLES["customer_activity_log"], "2024-01-20")
+
+
 @query
 def quarantine(r: Retail) -> DataFrame:
     judged = returns.validate_returns(r["order_return"], r["orders"])

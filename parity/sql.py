@@ -112,6 +112,22 @@ IN_TURN = """
         from arrived a left join served s on s.product_id = a.product_id and s.place = a.place
         left join served b on b.product_id = a.product_id and b.place = a.place - 1)"""
 
+# Decisions before the watermark: the newest event less a day.
+DUE = f"""
+    with cut as (select max(ts) - interval 1 day until from events),
+      steps as (select l_orderkey id, l_shipdate t, l_returnflag = 'R' and l_linestatus = 'O' failed from lineitem),
+      confirmed as (select id, min(t) c from steps where not failed group by id),
+      fails as (select id, t, row_number() over (partition by id order by t) nth from steps where failed),
+      touches as (select user_id id, ts t, lead(ts) over (partition by user_id order by ts) following
+        from events where ts <= (select until from cut)),
+      due as (
+        select 'order' kind, o_orderkey id, 'cancelled' decision, o_orderdate + interval 30 day t
+        from orders left join confirmed on id = o_orderkey where c is null or c > o_orderdate + interval 30 day
+        union all select 'delivery', id, 'returned', t from fails where nth = 3
+        union all select 'cart', id, 'expired', t + interval 1 day from touches
+        where following is null or following > t + interval 1 day)
+    select kind, id, decision, {moment("t")} as "at" from due where t < (select until from cut)"""
+
 STEPS = """
     select *, lag(status) over (partition by order_id order by changed_at, line, product_id) previous_status
     from v_status_history"""
@@ -141,6 +157,9 @@ TIER = """case when {0} >= 50000000 then 'Platinum' when {0} >= 20000000 then 'G
     when {0} >= 5000000 then 'Silver' else 'Bronze' end"""
 
 
+NOT_ASKED = "cast(null as varchar) commonest, cast(null as bigint) commonest_rows"
+
+
 def _check(table: str, rule: str, sql: str) -> str:
     return f"select '{table}' table_name, '{rule}' \"rule\", checked, failed from ({sql})"
 
@@ -756,6 +775,35 @@ SQL = {
               order by ts) + interval 1 day then 0 else 1 end fresh from events))
         group by cart_id, span
         having max(t) + interval 1 day <= (select max(ts) from events) - interval 1 day""",
+    "due_deadlines": DUE,
+    "deadline_stream": DUE,
+    "ingested_orders": f"""
+        select o_orderkey id, o_orderstatus status, 1 "version", {day("o_orderdate")} created_at_day from orders""",
+    "stored_profiles": "\nunion all ".join(
+        f"""select 'orders' table_name, '{name}' column_name, count(*) "rows", count(*) - count({name}) nulls,
+          {lowest} lowest, {highest} highest, count(distinct {name}) >= 0.95 * count({name}) looks_unique,
+          {commonest} from v_orders"""
+        for name, lowest, highest, commonest in (
+            *[(c, f"cast(min({c}) as double)", f"cast(max({c}) as double)", NOT_ASKED) for c in ("id", "customer_id", "total_price")],
+            ("order_date", "cast(epoch_us(min(order_date)) as double)", "cast(epoch_us(max(order_date)) as double)", NOT_ASKED),
+            ("status", "cast(null as double)", "cast(null as double)",
+             "mode(status) commonest, (select count(*) from v_orders where status = (select mode(status) from v_orders)) commonest_rows"),
+        )
+    ),
+    "stored_checks": """
+        with days as (select strftime(created_at, '%Y-%m-%d') ds, * from v_activity where created_at < timestamp '2024-01-31'),
+          own as (select * from days where ds = '2024-01-20'),
+          usual as (select avg(n) n from (select ds, count(*) n from days
+            where ds < '2024-01-20' group by ds order by ds desc limit 7)),
+          told as (
+            select 'not_null(id)' "rule", count(id) passed, count(*) - count(id) failed from own
+            union all select 'unique(id)', cast(count(distinct id) >= 0.95 * count(id) as bigint),
+              cast(count(distinct id) < 0.95 * count(id) as bigint) from own
+            union all select 'fresh(created_at)', cast(max(created_at) >= timestamp '2024-01-18' as bigint),
+              cast(max(created_at) < timestamp '2024-01-18' as bigint) from own
+            union all select 'row_count', cast(20 * abs(count(*) - any_value(n)) < any_value(n) as bigint),
+              cast(20 * abs(count(*) - any_value(n)) >= any_value(n) as bigint) from own, usual)
+        select 'customer_activity_log' table_name, "rule", '2024-01-20' ds, passed, failed from told""",
     "constraint_check": CONSTRAINTS,
     "dq_not_null_unique": f"""
         select 'order_items' table_name, 'not_null(order_id)' "rule", '2001-08-02' ds, count(order_id) passed,

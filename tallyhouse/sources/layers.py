@@ -6,7 +6,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
-LAYERS = ("raw", "silver", "gold", "quarantine")
+LAYERS = ("raw", "silver", "gold", "quarantine", "quality")
 
 
 def layer_path(root: str, layer: str, name: str) -> str:
@@ -53,3 +53,8 @@ def file_sizes(spark: SparkSession, path: str, column: str, value: str) -> list[
 def is_file(spark: SparkSession, path: str) -> bool:
     root, files = _folder(spark, path)
     return files.exists(root) and files.getFileStatus(root).isFile()
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    root, files = _folder(spark, path)
+    return files.exists(root)
