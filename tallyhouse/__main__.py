@@ -5,6 +5,7 @@
     python -m tallyhouse clean   --table orders --ds 2024-01-15 --lake /lake
     python -m tallyhouse mart    --mart daily_sales_mart --ds 2024-01-15 --lake /lake
     python -m tallyhouse day     --ds 2024-01-15 --lake /lake --from /export
+    python -m tallyhouse check   --ds 2024-01-15 --lake /lake
     python -m tallyhouse compact --table orders --layer silver --lake /lake
     python -m tallyhouse expire  --table orders --layer raw --ds 2024-01-15 --lake /lake
 """
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tallyhouse.catalog import TABLES, table as lookup
 from tallyhouse.operators.lifecycle import compact, expire_partitions
 from tallyhouse.plans.marts import MARTS
-from tallyhouse.plans.pipeline import load_mart, load_raw, load_silver, run_day, silver_view
+from tallyhouse.plans.pipeline import check_day, load_mart, load_profile, load_raw, load_silver, run_day, silver_view
 from tallyhouse.session import start
 from tallyhouse.sources import LAYERS, Split, layer_path, read_jdbc
 
@@ -45,16 +46,22 @@ def parser() -> argparse.ArgumentParser:
             one.add_argument("--layer", required=True, choices=LAYERS)
         if "mart" in options:
             one.add_argument("--mart", required=True, choices=sorted(MARTS))
+        if "strict" in options:
+            one.add_argument("--strict", action="store_true", help="refuse a source that does not fit the catalog")
+        if "run" in options:
+            one.add_argument("--run-id", help="goes into every row that the step writes")
+            one.add_argument("--data-version", help="goes into every row that the step writes")
         if "source" in options:
             source = one.add_mutually_exclusive_group(required=True)
             source.add_argument("--from", dest="folder")
             source.add_argument("--jdbc")
             one.add_argument("--tasks", type=int, default=JDBC_TASKS, help="parallel range queries over a table's id")
 
-    step("ingest", "ds", "table", "source")
-    step("clean", "ds", "table")
-    step("mart", "ds", "mart")
-    step("day", "ds", "source")
+    step("ingest", "ds", "table", "source", "strict")
+    step("clean", "ds", "table", "run")
+    step("mart", "ds", "mart", "run")
+    step("day", "ds", "source", "run")
+    step("check", "ds")
     step("compact", "table", "layer")
     step("expire", "ds", "stored", "layer")
     return root
@@ -86,17 +93,22 @@ def main(argv: Sequence[str] | None = None) -> None:
     args = parser().parse_args(argv)
     spark = start(f"tallyhouse-{args.step}")
     if args.step == "ingest":
-        load_raw(args.table, open_source(spark, args, args.table, args.folder), args.lake, args.ds)
+        load_raw(args.table, open_source(spark, args, args.table, args.folder), args.lake, args.ds, args.strict)
     elif args.step == "clean":
-        load_silver(spark, args.table, args.lake, args.ds)
+        load_silver(spark, args.table, args.lake, args.ds, run_id=args.run_id, version=args.data_version)
+        load_profile(spark, args.table, args.lake, args.ds)
     elif args.step == "mart":
-        load_mart(args.mart, available(spark, args.lake, args.ds), args.lake, args.ds)
+        load_mart(args.mart, available(spark, args.lake, args.ds), args.lake, args.ds, args.run_id, args.data_version)
     elif args.step == "day":
         names = sorted(TABLES)
         sources = {
             name: open_source(spark, args, name, args.folder and f"{args.folder}/{name}") for name in names
         }
-        run_day(spark, sources, args.lake, args.ds)
+        run_day(spark, sources, args.lake, args.ds, run_id=args.run_id, version=args.data_version)
+    elif args.step == "check":
+        failed = check_day(spark, args.lake, args.ds).filter("failed > 0").orderBy("table_name", "rule").collect()
+        for row in failed:
+            print(f"{row.table_name} {row.rule}: {row.failed} failed, {row.passed} passed")
     elif args.step == "compact":
         spec = lookup(args.table)
         order = spec.partition_column or spec.event_time

@@ -12,6 +12,9 @@ from pyspark.sql import types as T
 
 INCREMENTAL = "incremental"
 SNAPSHOT = "snapshot"
+# Incremental once a first load has taken all there is.
+BACKFILLED = "backfilled"
+BY_DAY = (INCREMENTAL, BACKFILLED)
 
 _STAMPS = "created_at timestamp, updated_at timestamp"
 _NAMED = f"id bigint, name string, description string, {_STAMPS}, is_active boolean"
@@ -82,6 +85,7 @@ _TABLES = (
         " discount_amount decimal(12,2), quantity int, amount decimal(12,2), is_active boolean,"
         " created_at timestamp",
         references={"order_id": ("orders", "id"), "product_id": ("product", "id")},
+        mode=BACKFILLED,
     ),
     Table("order_channel", _NAMED),
     Table(
@@ -90,6 +94,7 @@ _TABLES = (
         " is_active boolean",
         event_time="changed_at",
         references={"order_id": ("orders", "id")},
+        mode=BACKFILLED,
     ),
     Table(
         "product",
@@ -103,6 +108,7 @@ _TABLES = (
         f" source_system string, {_STAMPS}, is_active boolean",
         references={"product_id": ("product", "id"), "customer_id": ("customers", "id")},
         domains={"rating": ("1", "2", "3", "4", "5")},
+        mode=BACKFILLED,
     ),
     Table(
         "sub_category",
@@ -124,6 +130,7 @@ _TABLES = (
         "payment",
         "id bigint, payment_method string, payment_status string, transaction_id string,"
         f" amount decimal(12,2), {_STAMPS}, is_active boolean",
+        mode=BACKFILLED,
     ),
     Table(
         "shipment",
@@ -133,6 +140,7 @@ _TABLES = (
         " actual_delivery timestamp, delivery_attempts int",
         unique=(("tracking_number",),),
         references={"logistics_partner_id": ("logistics_partner", "id")},
+        mode=BACKFILLED,
     ),
     Table(
         "logistics_partner",
@@ -210,6 +218,7 @@ _TABLES = (
         event_time="added_at",
         unique=(("customer_id", "product_id"),),
         references={"customer_id": ("customers", "id"), "product_id": ("product", "id")},
+        mode=BACKFILLED,
     ),
     Table(
         "cart",
@@ -228,6 +237,7 @@ _TABLES = (
         event_time="added_at",
         unique=(("cart_id", "product_id"),),
         references={"cart_id": ("cart", "id"), "product_id": ("product", "id")},
+        mode=BACKFILLED,
     ),
 )
 
