@@ -20,8 +20,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import re
-import struct
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -34,13 +33,11 @@ from pyspark.sql import types as T
 from tallyhouse.llm.common import Columns, Memo, map_columns, text_bytes
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-#: Entries of each cache, and characters of the longest run that is kept in one.
-CACHED, CACHED_CHARS = 200_000, 64
+#: Entries of the cache, and characters of the longest run that is kept in it.
+CACHED, CACHED_CHARS = 600_000, 64
 #: Compatibility verdicts kept at most.
-VERDICTS = 300_000
+VERDICTS = 500_000
 NONE = -1
-#: White space at a text's edges or beside a space.
-CROWDED_SPACE = re.compile(r"\s |^\s| \s|\s\Z").search
 
 
 class Vocabulary:
@@ -61,8 +58,18 @@ class Vocabulary:
                 left, right = self._halves(token, rank)
                 self.halves[rank] = left, right
                 self.joined[left, right] = rank
-        #: Every end of a token, with its rank if it is a token itself.
-        self.endings: dict[bytes, int] = {t[i:]: NONE for t in ranks for i in range(len(t))} | ranks
+        #: Tokens read backwards, byte by byte: from node and byte to the next node, and the token that ends at a node.
+        self.steps: dict[int, int] = {}
+        self.ended: list[int] = [NONE]
+        for token, rank in ranks.items():
+            node = 0
+            for byte in reversed(token):
+                onward = self.steps.setdefault(node << 8 | byte, len(self.ended))
+                if onward == len(self.ended):
+                    self.ended.append(NONE)
+                node = onward
+            self.ended[node] = rank
+        #: Verdicts by the first and the second token.
         self._verdicts: dict[int, dict[int, bool]] = {}
         self._room = VERDICTS
 
@@ -79,30 +86,39 @@ class Vocabulary:
             raise ValueError(f"token {rank} is not the merge of two tokens of lower rank")
         return parts[0], parts[1]
 
-    def last_tokens(self, data: bytes, begin: int, last: list[int]) -> None:
-        """Continue ``last``, the last token of each prefix, from ``begin`` on to the end of ``data``."""
-        for end in range(begin + 1, len(data) + 1):
-            last.append(self.last_token(data, end, last))
+    def last_tokens(self, data: bytes, begin: int, last: list[int], stop: int | None = None) -> None:
+        """Continue ``last``, the last token of each prefix, from ``begin`` on to ``stop`` or the end of ``data``.
 
-    def last_token(self, data: bytes, end: int, last: list[int]) -> int:
-        """The one token ending at ``end`` that is compatible with the prefix before it."""
-        endings, verdicts = self.endings, self._verdicts
-        for start in range(end - 1, -1, -1):
-            token = endings.get(data[start:end])
+        The last token of a prefix is the one token ending there that is compatible with the prefix before it; tokens
+        are met from the shortest on by reading backwards.
+        """
+        ranks, steps, ended, verdicts = self.ranks, self.steps, self.ended, self._verdicts
+        stop = len(data) if stop is None else stop
+        # A prefix that is a token itself is its own last token, so the first ones need no look at what fits.
+        while begin < stop:
+            token = ranks.get(data[: begin + 1])
             if token is None:
                 break
-            if token >= 0:
-                if start == 0:
-                    return token
-                before = last[start - 1]
-                known = verdicts.get(before)
-                fits = None if known is None else known.get(token)
-                if fits is None:
-                    fits = self.fits(before, token)
-                    self._keep(before, token, fits)
-                if fits:
-                    return token
-        raise AssertionError("one token always fits")
+            last.append(token)
+            begin += 1
+        for end in range(begin, stop):
+            node = 0
+            for start in range(end, -1, -1):
+                # A single byte is a token, so a node is there until one token has fitted.
+                node = steps[node << 8 | data[start]]
+                token = ended[node]
+                if token >= 0:
+                    if start == 0:
+                        break
+                    before = last[start - 1]
+                    known = verdicts.get(before)
+                    fits = None if known is None else known.get(token)
+                    if fits is None:
+                        fits = self.fits(before, token)
+                        self._keep(before, token, fits)
+                    if fits:
+                        break
+            last.append(token)
 
     def _keep(self, before: int, token: int, fits: bool) -> None:
         self._room -= 1
@@ -162,10 +178,9 @@ class Prefixes:
             if settled >= self.vocabulary.longest:
                 last.extend(tail[end - behind :])
                 break
+            self.vocabulary.last_tokens(self.data, end, last, end + 1)
             end += 1
-            token = self.vocabulary.last_token(self.data, end, last)
-            last.append(token)
-            settled = settled + 1 if end > behind and tail[end - behind - 1] == token else 0
+            settled = settled + 1 if end > behind and tail[end - behind - 1] == last[-1] else 0
         computed = end - start
         self.last = last
         return computed
@@ -187,42 +202,29 @@ def load_ranks(path: str) -> dict[bytes, int]:
 class Codec:
     """Texts to ids and back.
 
-    Most of a text is words that occur again and again, so ids are cached by
-    match and by stretch between two spaces. Cutting at spaces first is exact
-    where no other white space touches one: every match then starts at a
-    space or ends before it.
+    Most of a text is words that occur again and again, so ids are cached by match.
     """
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.vocabulary = Vocabulary(ranks)
         self.matches = regex.compile(pattern).findall
         self.by_match = Memo(self._match, CACHED, CACHED_CHARS)
-        self.by_stretch = Memo(self._stretch, CACHED, CACHED_CHARS)
-        self.cuts_at_spaces = pattern == public_tokenizers.PATTERN
 
     def _match(self, match: str) -> bytes:
-        ids = Prefixes(self.vocabulary, text_bytes(match)).tokens()
-        return struct.pack(f"<{len(ids)}I", *ids)
-
-    def _stretch(self, stretch: str) -> bytes:
-        return b"".join(map(self.by_match.__getitem__, self.matches(stretch)))
+        data = text_bytes(match)
+        # A token encodes itself: on loading its merges were seen to lead to it.
+        rank = self.vocabulary.ranks.get(data)
+        return array("I", Prefixes(self.vocabulary, data).tokens() if rank is None else [rank]).tobytes()
 
     def encode_packed(self, text: str | None) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
-        if not text:
-            return b""
-        if not self.cuts_at_spaces or CROWDED_SPACE(text):
-            return self._stretch(text)
-        first, *others = text.split(" ")
-        found = map(self.by_stretch.__getitem__, map(" ".__add__, others))
-        return b"".join([self.by_stretch[first], *found])
+        return b"".join(map(self.by_match.__getitem__, self.matches(text))) if text else b""
 
     def encode(self, text: str | None) -> list[int]:
         return np.frombuffer(self.encode_packed(text), dtype="<u4").tolist()
 
     def decode(self, ids) -> bytes:
-        token = self.vocabulary.token
-        return b"".join([token[i] for i in ids])
+        return b"".join(map(self.vocabulary.token.__getitem__, ids))
 
 
 @lru_cache(maxsize=2)

@@ -21,6 +21,7 @@ import os
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -180,23 +181,27 @@ class WordCodec:
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.words = Memo(self._word, CACHED)
+        self.marks = {mark: self._whole(mark) for mark in self.MARKS}
         self.stretches = Memo(self._stretch, CACHED)
 
     def _word(self, word: str) -> bytes:
-        if self._is_plain(word):
-            ids = [token.id for token in self.model.tokenize(word.encode().decode("latin-1").translate(VISIBLE))]
-        else:
-            ids = self.tokenizer.encode(word, add_special_tokens=False).ids
-        return struct.pack(f"<{len(ids)}I", *ids)
+        """Ids of a lower-case word of Latin letters."""
+        seen = word if word.isascii() else word.encode().decode("latin-1").translate(VISIBLE)
+        return array("I", [token.id for token in self.model.tokenize(seen)]).tobytes()
+
+    def _whole(self, stretch: str) -> bytes:
+        return array("I", self.tokenizer.encode(stretch, add_special_tokens=False).ids).tobytes()
 
     def _is_plain(self, word: str) -> bool:
-        return word.isalpha() and max(word) < self.LATIN
+        return word.isalpha() and (word.isascii() or max(word) < self.LATIN)
 
     def _stretch(self, stretch: str) -> bytes:
-        word, mark = stretch, b""
-        if stretch[-1:] in self.MARKS and self._is_plain(stretch[:-1]):
-            word, mark = stretch[:-1], self.words[stretch[-1]]
-        return self.words[word.lower() if self._is_plain(word) else word] + mark
+        mark = stretch[-1:] if stretch[-1:] in self.MARKS else ""
+        word = stretch[:-1] if mark else stretch
+        if not self._is_plain(word):
+            return self._whole(stretch)
+        ids = self.words[word.lower()]
+        return ids + self.marks[mark] if mark else ids
 
     def encode(self, text: str | None) -> np.ndarray:
         stretches = (text or "").replace("\n", " ").split(" ")
