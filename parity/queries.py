@@ -487,6 +487,13 @@ def checkout_validation(r: Retail) -> DataFrame:
     )
 
 
+@query
+def reactivated_carts(r: Retail) -> DataFrame:
+    """The carts against a later version in which every other one is active."""
+    later = r["cart"].withColumn("status", F.when(F.col("id") % 2 == 0, "active").otherwise(F.col("status")))
+    return carts.reactivations(r["cart"], later).select("id", "customer_id", "was", "status", "reject_reason")
+
+
 @query
 def addable_products(r: Retail) -> DataFrame:
     return carts.addable_products(r["cart"], r["cart_items"], r["product"])

@@ -628,6 +628,9 @@ SQL = {
     "wishlist_candidates": FIRST_FREE.format(
         owner="customer_id", owners="select id owner from v_customers where is_active", owned="v_wishlist"
     ),
+    "reactivated_carts": """
+        select id, customer_id, status was, 'active' status, 'reactivated' reject_reason from v_cart
+        where id % 2 = 0 and status in ('checked_out','expired')""",
     "addable_products": FIRST_FREE.format(
         owner="cart_id", owners="select id owner from v_cart where status = 'active'", owned="v_cart_items"
     ),

@@ -22,6 +22,7 @@ from tallyhouse.catalog import TABLES, table as lookup
 from tallyhouse.operators.lifecycle import compact, expire_partitions
 from tallyhouse.plans.marts import MARTS
 from tallyhouse.plans.pipeline import check_day, load_mart, load_profile, load_raw, load_silver, run_day, silver_view
+from tallyhouse.plans.upkeep import SALES, refresh_sales
 from tallyhouse.session import start
 from tallyhouse.sources import LAYERS, Split, layer_path, read_jdbc
 
@@ -48,6 +49,8 @@ def parser() -> argparse.ArgumentParser:
             one.add_argument("--mart", required=True, choices=sorted(MARTS))
         if "strict" in options:
             one.add_argument("--strict", action="store_true", help="refuse a source that does not fit the catalog")
+        if "refresh" in options:
+            one.add_argument("--refresh", action="store_true", help="rebuild only what the day touched, where the mart can")
         if "run" in options:
             one.add_argument("--run-id", help="goes into every row that the step writes")
             one.add_argument("--data-version", help="goes into every row that the step writes")
@@ -59,7 +62,7 @@ def parser() -> argparse.ArgumentParser:
 
     step("ingest", "ds", "table", "source", "strict")
     step("clean", "ds", "table", "run")
-    step("mart", "ds", "mart", "run")
+    step("mart", "ds", "mart", "run", "refresh")
     step("day", "ds", "source", "run")
     step("check", "ds")
     step("compact", "table", "layer")
@@ -97,6 +100,8 @@ def main(argv: Sequence[str] | None = None) -> None:
     elif args.step == "clean":
         load_silver(spark, args.table, args.lake, args.ds, run_id=args.run_id, version=args.data_version)
         load_profile(spark, args.table, args.lake, args.ds)
+    elif args.step == "mart" and args.refresh and args.mart == SALES:
+        refresh_sales(spark, args.lake, args.ds)
     elif args.step == "mart":
         load_mart(args.mart, available(spark, args.lake, args.ds), args.lake, args.ds, args.run_id, args.data_version)
     elif args.step == "day":

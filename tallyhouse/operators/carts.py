@@ -76,6 +76,17 @@ def reactivation_allowed(old_status: Column | str, new_status: Column | str) ->
     return ~(status_in(old_status, "checked_out", "expired") & status_is(new_status, "active"))
 
 
+def reactivations(before: DataFrame, after: DataFrame) -> DataFrame:
+    """Carts of the later version that must not be active again, with ``was`` and ``reject_reason``.
+
+    Two versions of the cart table are compared by id. A cart that is only in one of them has not been reactivated.
+    """
+    was = before.select("id", F.col("status").alias("was"))
+    both = after.join(was, "id")
+    judged = validate(both, [Rule("reactivated", reactivation_allowed("was", "status"))])
+    return judged.filter(F.col("reject_reason").isNotNull())
+
+
 def addable_products(cart: DataFrame, cart_items: DataFrame, product: DataFrame) -> DataFrame:
     """Per active cart: number of active products not in it and the first of them."""
     owners = cart.filter(F.col("is_active") & status_is("status", "active"))

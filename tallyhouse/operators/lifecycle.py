@@ -2,15 +2,25 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+import uuid
+from collections.abc import Mapping, Sequence
 from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallyhouse.session import tune
-from tallyhouse.sinks import Mode, write
-from tallyhouse.sources.layers import drop_partition, file_sizes, partition_values
+from tallyhouse.sources.layers import (
+    child_folders,
+    drop_partition,
+    exists,
+    move,
+    partition_values,
+    read_text,
+    remove,
+    sized_files,
+    write_text,
+)
 
 # Days kept per layer.
 RETENTION_DAYS = {"raw": 30, "silver": 90, "gold": 365, "quarantine": 14}
@@ -92,14 +102,20 @@ def expire_partitions(spark: SparkSession, path: str, column: str, layer: str, a
     return expired
 
 
-def fragmented(spark: SparkSession, path: str, column: str, target_bytes: int) -> list[str]:
-    """Partitions of several files that would fill at most half as many of ``target_bytes``."""
-    found = []
-    for value in partition_values(spark, path, column):
-        sizes = file_sizes(spark, path, column, value)
-        if len(sizes) > 1 and len(sizes) >= 2 * max(1, -(-sum(sizes) // target_bytes)):
-            found.append(value)
-    return found
+def packed(sizes: Mapping[str, int], target_bytes: int) -> list[list[str]]:
+    """Files to put together, by first fit decreasing: bins of up to ``target_bytes``, each of two files or more.
+
+    A file is never split, so one that fills a bin by itself, or finds no partner, stays as it is.
+    """
+    bins: list[tuple[int, list[str]]] = []
+    for name, size in sorted(sizes.items(), key=lambda entry: (-entry[1], entry[0])):
+        for k, (held, names) in enumerate(bins):
+            if held + size <= target_bytes:
+                bins[k] = held + size, [*names, name]
+                break
+        else:
+            bins.append((size, [name]))
+    return [names for _, names in bins if len(names) > 1]
 
 
 def compact(
@@ -109,18 +125,54 @@ def compact(
     target_bytes: int = TARGET_FILE_BYTES,
     sort_by: Sequence[str] = (),
 ) -> list[str]:
-    """Rewrite the partitions with too many small files into files of about ``target_bytes``.
+    """Put the small files of each partition together into files of up to ``target_bytes``; returns the partitions touched.
 
-    Only those are read; they are found in the listing and returned. Rows are rebalanced by partition
-    and AQE cuts the tasks at the target size, in a session of its own, so that
-    other jobs keep their settings. ``sort_by`` keeps the order that the table is
-    written in. Replacement is per partition and takes effect when the job commits.
+    Files are packed from the listing alone, and only files that are put together are read and written; all others keep their
+    names. ``sort_by`` keeps the order that the table is written in. New files are written beside the table, entered in a
+    journal, moved in, and only then the old ones go; a run that broke off in between is finished by the next one. For that
+    moment a reader may meet rows twice.
     """
-    values = fragmented(spark, path, column, target_bytes)
-    if values:
-        own = tune(spark.newSession())
-        own.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_bytes))
-        rows = own.read.parquet(path)
-        listed = [F.lit(value).cast(rows.schema[column].dataType) for value in values]
-        write(rows.filter(F.col(column).isin(*listed)), path, Mode.PARTITIONS, [column], sort_by=sort_by)
-    return values
+    finish_packing(spark, path)
+    plan = {value: packed(sized_files(spark, path, column, value), target_bytes) for value in partition_values(spark, path, column)}
+    plan = {value: bins for value, bins in plan.items() if bins}
+    if not plan:
+        return []
+    # A row for each small file, as many as the listing has.
+    listed, number = [], 0
+    for value, bins in plan.items():
+        for names in bins:
+            listed += [(f"{column}={value}/{name}", number, value) for name in names]
+            number += 1
+    rows = spark.read.option("basePath", path).parquet(*[f"{path}/{file}" for file, _, _ in listed])
+    place = F.regexp_extract(F.col("_metadata.file_path"), "([^/]+/[^/]+)$", 1).alias("_file")
+    bins = F.broadcast(spark.createDataFrame([(file, k) for file, k, _ in listed], "_file string, _bin int"))
+    own = [name for name in rows.columns if name != column]
+    dealt = rows.select(*own, place).join(bins, "_file").drop("_file").repartition(number, "_bin")
+    stage = f"{path}/{PACKING}{uuid.uuid4().hex}"
+    dealt.sortWithinPartitions("_bin", *sort_by).write.option("compression", "zstd").partitionBy("_bin").parquet(stage)
+    moves = []
+    for value, names in plan.items():
+        for files in names:
+            k = len(moves)
+            (made,) = sized_files(spark, stage, "_bin", str(k))
+            moves.append([f"_bin={k}/{made}", f"{column}={value}/packed-{uuid.uuid4().hex}.parquet", [f"{column}={value}/{f}" for f in files]])
+    write_text(spark, f"{stage}/{JOURNAL}", json.dumps(moves))
+    finish_packing(spark, path)
+    spark.catalog.refreshByPath(path)
+    return sorted(plan)
+
+
+PACKING, JOURNAL = "_packing-", "journal.json"
+
+
+def finish_packing(spark: SparkSession, path: str) -> None:
+    """Carry out what journals of earlier runs say; what was staged without a journal is dropped."""
+    for name in child_folders(spark, path, PACKING):
+        journal = f"{path}/{name}/{JOURNAL}"
+        if exists(spark, journal):
+            for made, target, old in json.loads(read_text(spark, journal)):
+                if exists(spark, f"{path}/{name}/{made}"):
+                    move(spark, f"{path}/{name}/{made}", f"{path}/{target}")
+                for file in old:
+                    remove(spark, f"{path}/{file}")
+        remove(spark, f"{path}/{name}")

@@ -32,7 +32,7 @@ def order_kpis(orders: DataFrame) -> DataFrame:
     count, value = F.count(F.lit(1)), F.sum("total_price")
     return orders.agg(
         count.alias("orders"),
-        money(value).alias("gmv"),
+        total(value).alias("gmv"),
         money(half_up(value, F.count("total_price"), 2)).alias("aov"),
         half_up(F.sum("profit"), value, 4).cast("double").alias("profit_margin"),
     )

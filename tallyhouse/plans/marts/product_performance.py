@@ -47,7 +47,7 @@ def product_performance(tables: Tables, as_of: str | None = None) -> DataFrame:
         "category_name",
         "sub_category_name",
         sold.alias("total_sold"),
-        money(or_zero("total_revenue")).alias("total_revenue"),
+        total(or_zero("total_revenue")).alias("total_revenue"),
         money(or_zero("avg_unit_price")).alias("avg_unit_price"),
         or_zero("avg_rating").cast("decimal(3,2)").alias("avg_rating"),
         or_zero("total_reviews").alias("total_reviews"),

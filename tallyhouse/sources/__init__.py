@@ -12,9 +12,9 @@ from tallyhouse.sources.jdbc import Split, read_jdbc  # noqa: F401
 from tallyhouse.sources.layers import (  # noqa: F401
     LAYERS,
     drop_partition,
-    file_sizes,
     layer_path,
     partition_values,
     read_layer,
     read_tables,
+    sized_files,
 )

@@ -43,11 +43,48 @@ def drop_partition(spark: SparkSession, path: str, column: str, value: str) -> N
     files.delete(root, True)
 
 
-def file_sizes(spark: SparkSession, path: str, column: str, value: str) -> list[int]:
+def sized_files(spark: SparkSession, path: str, column: str, value: str) -> dict[str, int]:
     """Bytes of each data file of a partition, from the directory listing alone."""
     root, files = _folder(spark, f"{path}/{column}={value}")
     named = [(status.getPath().getName(), status.getLen()) for status in files.listStatus(root) if status.isFile()]
-    return [size for name, size in named if not name.startswith(("_", "."))]
+    return {name: size for name, size in named if not name.startswith(("_", "."))}
+
+
+def child_folders(spark: SparkSession, path: str, prefix: str) -> list[str]:
+    root, files = _folder(spark, path)
+    if not files.exists(root):
+        return []
+    names = [status.getPath().getName() for status in files.listStatus(root) if status.isDirectory()]
+    return sorted(name for name in names if name.startswith(prefix))
+
+
+def move(spark: SparkSession, path: str, target: str) -> None:
+    root, files = _folder(spark, path)
+    if not files.rename(root, _folder(spark, target)[0]):
+        raise OSError(f"{path} could not be moved to {target}")
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    root, files = _folder(spark, path)
+    files.delete(root, True)
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that is there as a whole or not at all."""
+    root, files = _folder(spark, f"{path}.tmp")
+    out = files.create(root, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    move(spark, f"{path}.tmp", path)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    root, files = _folder(spark, path)
+    data = files.open(root)
+    try:
+        return bytes(data.readAllBytes()).decode()
+    finally:
+        data.close()
 
 
 def is_file(spark: SparkSession, path: str) -> bool:

@@ -1,11 +1,13 @@
 from __future__ import annotations
 
+import random
 from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
 
-from tallyhouse.operators.lifecycle import compact, expire_partitions, keep_recent, latest_by_key, scd2_merge
+from tallyhouse.operators import lifecycle
+from tallyhouse.operators.lifecycle import compact, expire_partitions, keep_recent, latest_by_key, packed, scd2_merge
 from tallyhouse.session import checkpoint_dir, materialise
 from tallyhouse.sinks import Mode, write
 
@@ -101,3 +103,78 @@ def test_materialised_rows_use_the_configured_folder(spark):
     assert df.count() == 5
     assert spark.conf.get("spark.checkpoint.dir") == checkpoint_dir(spark)
     assert "spark.checkpoint" not in df._jdf.queryExecution().toString()
+
+
+def test_first_fit_decreasing():
+    assert packed({"a": 70, "b": 60, "c": 40, "d": 30, "e": 5, "f": 200}, 100) == [["a", "d"], ["b", "c"]]
+    assert packed({"a": 99, "b": 98}, 100) == []
+    assert packed({}, 100) == []
+    draw = random.Random(1)
+    sizes = {f"f{n}": draw.randrange(1, 120) for n in range(200)}
+    bins = packed(sizes, 100)
+    assert all(sum(sizes[f] for f in files) <= 100 and len(files) > 1 for files in bins)
+    names = [f for files in bins for f in files]
+    assert len(names) == len(set(names))
+    # What is left over has no partner among itself.
+    left = sorted(sizes[f] for f in sizes if f not in names)
+    assert len(left) < 2 or left[0] + left[1] > 100
+
+
+@pytest.fixture
+def mixed(spark, tmp_path):
+    """One partition with a large file and small ones, one with a single file."""
+    path = tmp_path / "t"
+    spark.range(0, 60_000).selectExpr("id", "uuid() s", "'a' ds").coalesce(1).write.partitionBy("ds").parquet(str(path))
+    spark.range(60_000, 60_400, 1, 5).selectExpr("id", "uuid() s", "'a' ds").write.mode("append").partitionBy("ds").parquet(str(path))
+    spark.range(70_000, 70_010, 1, 1).selectExpr("id", "uuid() s", "'b' ds").write.mode("append").partitionBy("ds").parquet(str(path))
+    (large,) = [f.name for f in (path / "ds=a").glob("*.parquet") if f.stat().st_size > 500_000]
+    return path, large
+
+
+def files(path, ds):
+    return sorted(f.name for f in (path / f"ds={ds}").glob("*.parquet"))
+
+
+def test_only_small_files_are_rewritten(spark, mixed, rows):
+    path, large = mixed
+    single = files(path, "b")
+    before = rows(spark.read.parquet(str(path)))
+    assert compact(spark, str(path), "ds", target_bytes=100_000, sort_by=["id"]) == ["a"]
+    assert large in files(path, "a") and len(files(path, "a")) == 2
+    assert files(path, "b") == single
+    assert rows(spark.read.parquet(str(path))) == before
+    assert not [f for f in path.iterdir() if f.name.startswith("_packing")]
+    (small,) = [f for f in files(path, "a") if f != large]
+    assert [r.id for r in spark.read.parquet(str(path / "ds=a" / small)).collect()] == list(range(60_000, 60_400))
+    assert compact(spark, str(path), "ds", target_bytes=100_000) == []
+
+
+@pytest.mark.parametrize("steps", [0, 1, 2])
+def test_a_packing_that_broke_off_is_finished(spark, mixed, rows, monkeypatch, steps):
+    path, _ = mixed
+    before = rows(spark.read.parquet(str(path)))
+    done = []
+
+    def breaking(session, file, real=lifecycle.remove):
+        if len(done) >= steps and "/_packing-" not in file:
+            raise OSError("driver lost")
+        done.append(file)
+        real(session, file)
+
+    monkeypatch.setattr(lifecycle, "remove", breaking)
+    with pytest.raises(OSError):
+        compact(spark, str(path), "ds", target_bytes=100_000)
+    monkeypatch.undo()
+    assert compact(spark, str(path), "ds", target_bytes=100_000) == []
+    spark.catalog.refreshByPath(str(path))
+    assert rows(spark.read.parquet(str(path))) == before
+    assert len(files(path, "a")) == 2
+
+
+def test_a_packing_without_a_journal_is_dropped(spark, mixed, rows):
+    path, _ = mixed
+    before = rows(spark.read.parquet(str(path)))
+    (path / "_packing-dead" / "_bin=0").mkdir(parents=True)
+    (path / "_packing-dead" / "_bin=0" / "part-0.parquet").write_bytes(b"half")
+    assert compact(spark, str(path), "ds", target_bytes=100_000) == ["a"]
+    assert rows(spark.read.parquet(str(path))) == before
