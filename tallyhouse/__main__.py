@@ -6,6 +6,7 @@
     python -m tallyhouse mart    --mart daily_sales_mart --ds 2024-01-15 --lake /lake
     python -m tallyhouse day     --ds 2024-01-15 --lake /lake --from /export
     python -m tallyhouse check   --ds 2024-01-15 --lake /lake
+    python -m tallyhouse export  --table daily_sales_mart --layer gold --lake /lake --to /out/sales
     python -m tallyhouse compact --table orders --layer silver --lake /lake
     python -m tallyhouse expire  --table orders --layer raw --ds 2024-01-15 --lake /lake
 """
@@ -24,7 +25,7 @@ from tallyhouse.plans.marts import MARTS
 from tallyhouse.plans.pipeline import check_day, load_mart, load_profile, load_raw, load_silver, run_day, silver_view
 from tallyhouse.plans.upkeep import SALES, refresh_sales
 from tallyhouse.session import start
-from tallyhouse.sources import LAYERS, Split, layer_path, read_jdbc
+from tallyhouse.sources import LAYERS, Split, export_parquet, layer_path, read_jdbc, read_layer
 
 # Range queries that read a table over JDBC at a time.
 JDBC_TASKS = 16
@@ -65,6 +66,8 @@ def parser() -> argparse.ArgumentParser:
     step("mart", "ds", "mart", "run", "refresh")
     step("day", "ds", "source", "run")
     step("check", "ds")
+    step("export", "stored", "layer")
+    steps.choices["export"].add_argument("--to", required=True)
     step("compact", "table", "layer")
     step("expire", "ds", "stored", "layer")
     return root
@@ -114,6 +117,8 @@ def main(argv: Sequence[str] | None = None) -> None:
         failed = check_day(spark, args.lake, args.ds).filter("failed > 0").orderBy("table_name", "rule").collect()
         for row in failed:
             print(f"{row.table_name} {row.rule}: {row.failed} failed, {row.passed} passed")
+    elif args.step == "export":
+        export_parquet(read_layer(spark, args.lake, args.layer, args.table), args.to)
     elif args.step == "compact":
         spec = lookup(args.table)
         order = spec.partition_column or spec.event_time

@@ -22,6 +22,8 @@ def test_steps_one_by_one(spark, tmp_path):
     row = read_layer(spark, lake, "gold", "cart_analytics_mart").first()
     assert (row.channel, row.total_carts, row.ds.isoformat() if hasattr(row.ds, "isoformat") else row.ds) == (
         "Web", 2, "2024-01-15")
+    main(["export", "--table", "cart_analytics_mart", "--layer", "gold", "--lake", lake, "--to", str(tmp_path / "out")])
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 1
     main(["compact", "--table", "cart", "--layer", "silver", "--lake", lake])
     main(["expire", "--table", "cart", "--layer", "raw", "--lake", lake, "--ds", "2024-03-01"])
     assert read_layer(spark, lake, "silver", "cart").count() == 2
