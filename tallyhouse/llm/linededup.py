@@ -45,10 +45,13 @@ def deduplicate_lines(documents: DataFrame, size: int = LINES) -> DataFrame:
     window and stay whole; of a text whose lines are all covered, the empty text
     is left. Rows that repeat both doc_id and text share the same decisions, rows
     that repeat only the doc_id are told apart by their text. A null doc_id
-    comes before all others. An empty table stays empty. Helper columns
-    have names of their own, which other columns should not carry: they begin
-    with ``_line_``.
+    comes before all others. An empty table stays empty. A text of any length is taken whole. Other columns
+    travel under names of their own, so theirs may be anything; ``n_lines`` and ``n_removed`` of the input give way to the new ones.
     """
+    names = [c for c in documents.columns if c not in ("n_lines", "n_removed")]
+    documents = documents.select(*names)
+    hidden = {c: f"_line_own_{k}" for k, c in enumerate(names) if c not in ("doc_id", "text")}
+    documents = documents.withColumnsRenamed(hidden)
     others = [c for c in documents.columns if c != "text"]
     # The lines travel instead of the text, so they are made once.
     rows = documents.select(*others, F.xxhash64("text").alias("_line_text"), lines_of(F.col("text")).alias("_line_parts"))
@@ -75,7 +78,7 @@ def deduplicate_lines(documents: DataFrame, size: int = LINES) -> DataFrame:
     touched = F.col("_line_starts").isNotNull()
     text = F.when(touched, cut).otherwise(F.array_join(lines, "\n")).alias("text")
     return found.select(
-        *[text if c == "text" else F.col(c) for c in documents.columns],
+        *[text if c == "text" else F.col(hidden.get(c, c)).alias(c) for c in names],
         F.when(lines.isNull(), 0).otherwise(F.size(lines)).cast("long").alias("n_lines"),
         F.when(touched, F.size(F.array_distinct(gone))).otherwise(0).cast("long").alias("n_removed"),
     )

@@ -54,7 +54,7 @@ FEATURES = T.StructType(
         T.StructField("doc_id", T.LongType()),
         T.StructField("n_shingles", T.LongType()),
         T.StructField("set_id", T.BinaryType()),
-        T.StructField("signature", T.ArrayType(T.IntegerType())),
+        T.StructField("signature", T.ArrayType(T.LongType())),
     ]
 )
 
@@ -78,14 +78,18 @@ def factors(coordinates: int) -> np.ndarray:
 
 
 def signature(shingles: np.ndarray, coordinates: int) -> np.ndarray:
-    """Smallest value of each coordinate's hash over the set, as 32 bits."""
-    lowest = np.full(coordinates, np.iinfo(np.uint32).max, dtype=np.uint32)
+    """Smallest value of each coordinate's hash over the set.
+
+    All 64 bits are kept: the minimum of k shingles is one of about 2^64 / k values, so documents without a common shingle
+    meet by chance in no coordinate, however many documents there are.
+    """
+    lowest = np.full(coordinates, np.iinfo(np.uint64).max, dtype=np.uint64)
     by = factors(coordinates)[:, None]
     for start in range(0, len(shingles), BLOCK):
         spread = shingles[None, start : start + BLOCK] * by
         spread ^= spread >> np.uint64(32)
         spread *= np.uint64(0x9E3779B97F4A7C15)
-        np.minimum(lowest, (spread >> np.uint64(32)).astype(np.uint32).min(axis=1), out=lowest)
+        np.minimum(lowest, spread.min(axis=1), out=lowest)
     return lowest
 
 
@@ -100,7 +104,7 @@ def features(documents: DataFrame, size: int, coordinates: int) -> DataFrame:
                 shingles = shingle_set(text_bytes(text).lower().split(), size, hashes)
                 out["n_shingles"].append(len(shingles))
                 out["set_id"].append(xxhash.xxh3_128_digest(shingles.tobytes()) if len(shingles) else None)
-                out["signature"].append(signature(shingles, coordinates).view(np.int32) if len(shingles) else None)
+                out["signature"].append(signature(shingles, coordinates).view(np.int64) if len(shingles) else None)
             yield out
 
     return map_columns(documents.select(F.col("doc_id").cast("long"), "text"), FEATURES, computed)
@@ -109,9 +113,7 @@ def features(documents: DataFrame, size: int, coordinates: int) -> DataFrame:
 def families(sets: DataFrame, coordinates: int, agree: int) -> DataFrame:
     """``(id, root)`` of documents that share a value of their prefixes, from ``(id, signature)``."""
     token = F.posexplode("signature").alias("coordinate", "value")
-    postings = sets.select("id", token).select(
-        "id", F.shiftleft(F.col("coordinate").cast("long"), 32).bitwiseOR(F.col("value").cast("long").bitwiseAND(0xFFFFFFFF)).alias("token")
-    )
+    postings = sets.select("id", token).select("id", F.xxhash64("coordinate", "value").alias("token"))
     lists = stored(
         postings.groupBy("token").agg(F.count("*").alias("n"), F.min("id").alias("first")).where("n > 1"), "posting-lists"
     )
@@ -133,7 +135,7 @@ def tiles(members: DataFrame, similarity: float) -> DataFrame:
     one step or in two neighbouring ones.
     """
     step = F.floor(F.log(F.col("n").cast("double")) / F.lit(-np.log(similarity))).cast("int")
-    heavy = F.col("n") * 8 + 4 * COORDINATES
+    heavy = F.col("n") * 8 + 8 * COORDINATES
     members = members.withColumn("step", step).withColumn("bytes", heavy)
     whole = members.groupBy("root").agg(F.sum("bytes").alias("all_bytes"), F.count("*").alias("all"))
     by_step = members.groupBy("root", "step").agg(F.sum("bytes").alias("bytes"), F.count("*").alias("documents"))
@@ -207,7 +209,7 @@ def overlap(one: np.ndarray, other: np.ndarray) -> int:
 def links_of_tile(sets: list[np.ndarray], percent: int, coordinates: int, agree: int) -> list[tuple[int, int]]:
     """A spanning forest of the linked pairs of ``sets``: pairs of positions."""
     count = len(sets)
-    signatures = np.array([signature(s, coordinates) for s in sets], dtype=np.uint32).reshape(count, coordinates)
+    signatures = np.array([signature(s, coordinates) for s in sets], dtype=np.uint64).reshape(count, coordinates)
     sizes = np.array([len(s) for s in sets])
     order = np.argsort(signatures, axis=0, kind="stable")
     ranked = np.take_along_axis(signatures, order, axis=0)

@@ -52,7 +52,8 @@ def test_no_python_runs(spark):
 def test_odd_rows(spark):
     text = "one\ntwo\nthree\nfour"
     rows = [(5, text), (None, text), (6, None), (7, ""), (8, "one\ntwo"), (9, "\n\n\n\n"), (10, "one\ntwo\nthree\n")]
-    df = with_clashes(documents(spark, rows), "at", "one", "two", "first", "w", "n")
+    names = ("at", "one", "two", "first", "w", "n", "_line_text", "_line_doc", "_line_parts", "_line_starts", "_line_same")
+    df = with_clashes(documents(spark, rows), *names)
     out = linededup.deduplicate_lines(df)
     assert out.columns == [*df.columns, "n_lines", "n_removed"]
     assert got(out) == brute_force(rows)

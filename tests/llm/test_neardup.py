@@ -4,6 +4,7 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pytest
 
 from tallyhouse.llm import neardup
 from tallyhouse.llm.common import word_hashes
@@ -136,3 +137,17 @@ def test_components_of_paths_stars_and_self_links(spark):
 
 def test_result_has_one_row_for_each_document(spark):
     assert len(by(op2_minhash_near_duplicates(spark, SMALL).collect())) == len(whole("documents"))
+
+
+@pytest.mark.parametrize("bits", [64, 16])
+def test_strangers_make_no_family(spark, bits):
+    """Documents of 300 shingles without a common one: with whole coordinates no two meet, with short ones all become one family."""
+    draw = np.random.default_rng(5)
+    values = draw.integers(0, 2**64 // 300, size=(3000, neardup.COORDINATES), dtype=np.uint64) >> np.uint64(64 - bits)
+    rows = [(k, row) for k, row in enumerate(values.view(np.int64).tolist())]
+    sets = spark.createDataFrame(rows, "id long, signature array<bigint>")
+    found = neardup.families(sets, neardup.COORDINATES, neardup.AGREE).groupBy("root").count().collect()
+    if bits == 64:
+        assert found == []
+    else:
+        assert max(r["count"] for r in found) > 2500
