@@ -19,7 +19,7 @@ import os
 import uuid
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import count
+from itertools import count, repeat
 
 import numpy as np
 import public_tokenizers
@@ -35,8 +35,6 @@ from tallyhouse.llm.common import Columns, map_columns, new_folder, stored
 RANKS, PIECES = "byte_bpe_50k.tiktoken", "piece_bpe_32k.model"
 #: Bytes of text in a block; one longer text is a block by itself.
 BLOCK_BYTES = 8 << 20
-#: Texts that are handed to the encoders together, in bytes.
-BATCH_BYTES = 1 << 18
 #: A pair is the first id times this and the second id.
 SECOND = 1 << 32
 
@@ -95,8 +93,8 @@ class ByteLevel(Side):
             tokens[rank] = token
         super().__init__(tokens)
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(self.encoding.encode_ordinary(" " + text), dtype=np.int64) for text in texts]
+    def encode(self, text: str) -> np.ndarray:
+        return np.array(self.encoding.encode_ordinary(" " + text), dtype=np.int64)
 
 
 class Pieces(Side):
@@ -112,8 +110,11 @@ class Pieces(Side):
         piece = self.model.id_to_piece(k)
         return bytes([int(piece[1:-1], 16)]) if self.model.is_byte(k) else piece.replace("▁", " ").encode()
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return self.model.encode(texts, num_threads=1)
+    def encode(self, text: str) -> np.ndarray | None:
+        """Ids of a space and ``text``; None if they do not spell it."""
+        ids = self.model.encode(text)
+        spells = self.covers(ids, (" " + text).encode("utf-8", "surrogatepass"))
+        return np.array(ids, dtype=np.int64) if spells else None
 
 
 @lru_cache(maxsize=2)
@@ -122,12 +123,12 @@ def sides(ranks: str, pieces: str) -> tuple[ByteLevel, Pieces]:
     return ByteLevel(public_tokenizers.path(ranks)), Pieces(public_tokenizers.path(pieces))
 
 
-def cuts(ends_a: list[int], ends_b: list[int]) -> tuple[list[int], list[int]]:
+def cuts(ends_a: list[int], ends_b: list[int]) -> tuple[np.ndarray, np.ndarray]:
     """For each byte where tokens of both sides end, in order: how many tokens of either side lie before it."""
-    index_a, index_b = dict(zip(ends_a, count(1))), dict(zip(ends_b, count(1)))
-    # Keys go in as they grow, so what is met in the other dictionary comes out sorted.
-    common = list(filter(index_b.__contains__, index_a))
-    return list(map(index_a.__getitem__, common)), list(map(index_b.__getitem__, common))
+    index_b = dict(zip(ends_b, count(1)))
+    # The first side's ends come in order with their index, so what is met in the other's dictionary comes out sorted.
+    met = np.fromiter(map(index_b.get, ends_a, repeat(0)), np.int64, len(ends_a))
+    return np.flatnonzero(met) + 1, met[met > 0]
 
 
 def linked(ends_a: list[int], ends_b: list[int], a: int, to_a: int, b: int, to_b: int) -> Iterator[tuple[int, int]]:
@@ -191,9 +192,8 @@ class Aligned:
 
     def __init__(self, one: Side, other: Side, a: np.ndarray, b: np.ndarray):
         ends_a, ends_b = one.ends(a), other.ends(b)
-        cut_a, cut_b = cuts(ends_a, ends_b)
         self.a, self.b = a, b
-        self.cut_a, self.cut_b = np.array(cut_a, dtype=np.int64), np.array(cut_b, dtype=np.int64)
+        self.cut_a, self.cut_b = cuts(ends_a, ends_b)
         of_a, of_b = links(ends_a, ends_b, self.cut_a, self.cut_b)
         self.pairs = self.a[of_a] * SECOND + self.b[of_b]
 
@@ -201,29 +201,12 @@ class Aligned:
         return written(self.a, self.b, self.cut_a, self.cut_b)
 
 
-def aligned(texts: list[str | None], one: ByteLevel, other: Side) -> Iterator[Aligned | None]:
-    """The alignment of each text; None for a null or empty one, and where the tokens do not spell the space and the text."""
-    present = [text for text in texts if text]
-    encoded = zip(one.encode(present), other.encode(present))
-    for text in texts:
-        if not text:
-            yield None
-            continue
-        a, b = next(encoded)
-        spells = other.covers(b, (" " + text).encode("utf-8", "surrogatepass"))
-        yield Aligned(one, other, a, np.array(b, dtype=np.int64)) if spells else None
-
-
-def batches_of(texts: list, limit: int) -> Iterator[slice]:
-    """Slices of texts with about ``limit`` characters, one text at least."""
-    start, held = 0, 0
-    for k, text in enumerate(texts):
-        held += len(text or "")
-        if held >= limit:
-            yield slice(start, k + 1)
-            start, held = k + 1, 0
-    if start < len(texts):
-        yield slice(start, len(texts))
+def aligned(text: str | None, one: ByteLevel, other: Pieces) -> Aligned | None:
+    """The alignment of a text; None for a null or empty one, and where the tokens do not spell the space and the text."""
+    if not text:
+        return None
+    b = other.encode(text)
+    return None if b is None else Aligned(one, other, one.encode(text), b)
 
 
 def aligned_blocks(documents: DataFrame, folder: str, ranks: str, pieces: str, block_bytes: int) -> DataFrame:
@@ -251,19 +234,18 @@ def aligned_blocks(documents: DataFrame, folder: str, ranks: str, pieces: str, b
             return done
 
         for batch in batches:
-            for part in batches_of(batch["text"], BATCH_BYTES):
-                texts = batch["text"][part]
-                for doc, text, found in zip(batch["doc_id"][part], texts, aligned(texts, one, other)):
-                    rows["doc_id"].append(doc)
-                    own = (len(found.a), len(found.b), len(found.cut_a), len(found.pairs)) if found else (0, 0, 0, 0)
-                    for c, value in zip(COUNTS, own):
-                        rows[c].append(value)
-                    rows["groups_sha256"].append(hashlib.sha256(found.groups()).hexdigest() if found else "")
-                    if found:
-                        held.append(found.pairs)
-                    size += len(text or "")
-                    if size >= block_bytes:
-                        yield block()
+            for doc, text in zip(batch["doc_id"], batch["text"]):
+                found = aligned(text, one, other)
+                rows["doc_id"].append(doc)
+                own = (len(found.a), len(found.b), len(found.cut_a), len(found.pairs)) if found else (0, 0, 0, 0)
+                for c, value in zip(COUNTS, own):
+                    rows[c].append(value)
+                rows["groups_sha256"].append(hashlib.sha256(found.groups()).hexdigest() if found else "")
+                if found:
+                    held.append(found.pairs)
+                size += len(text or "")
+                if size >= block_bytes:
+                    yield block()
         if rows["doc_id"]:
             yield block()
         if out:
