@@ -49,6 +49,8 @@ HEADLINE = (
     "addable_products",
     "customer_code",
     "activity_daily_stream",
+    "stock_in_turn",
+    "due_deadlines",
 )
 
 

@@ -608,15 +608,17 @@ def deadline_stream(r: Retail) -> DataFrame:
 
 
 @query
-def ingested_orders(r: Retail) -> DataFrame:
-    """Two versions of every order arrive as a stream; the later one is kept in its day."""
-    arrived = read_stream(r.spark, f"{r.folder}/orders.parquet", SOURCES["orders"])
-    first = arrived.select(F.col("o_orderkey").alias("id"), F.lit("P").alias("status"), F.col("o_orderdate").alias("created_at"), F.lit(0).alias("version"))
-    last = arrived.select(F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("status"), F.col("o_orderdate").alias("created_at"), F.lit(1).alias("version"))
+def ingested_activity(r: Retail) -> DataFrame:
+    """Two versions of every event arrive as a stream; the later one is kept in its day, and a second run finds nothing new."""
+    arrived = read_stream(r.spark, f"{r.folder}/events.parquet", SOURCES["events"])
+    versions = [
+        arrived.select(F.col("event_id").alias("id"), kind.alias("activity_type"), F.col("ts").alias("created_at"), F.lit(n).alias("version"))
+        for n, kind in enumerate((F.lit("unknown"), F.col("event_type")))
+    ]
     folder = f"{checkpoint_dir(r.spark)}/ingest-{uuid.uuid4().hex}"
     for _ in range(2):
-        ingest_stream(first.unionByName(last), folder, ["id"], "created_at", ["version"]).awaitTermination()
-    return ingested(r.spark, folder).select("id", "status", "version", "created_at_day")
+        ingest_stream(versions[0].unionByName(versions[1]), folder, ["id"], "created_at", ["version"]).awaitTermination()
+    return ingested(r.spark, folder).select("id", "activity_type", "version", "created_at_day")
 
 
 # Quality, constraints, lifecycle ---------------------------------------------

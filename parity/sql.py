@@ -780,8 +780,8 @@ SQL = {
         having max(t) + interval 1 day <= (select max(ts) from events) - interval 1 day""",
     "due_deadlines": DUE,
     "deadline_stream": DUE,
-    "ingested_orders": f"""
-        select o_orderkey id, o_orderstatus status, 1 "version", {day("o_orderdate")} created_at_day from orders""",
+    "ingested_activity": f"""
+        select event_id id, event_type activity_type, 1 "version", {day("ts")} created_at_day from events""",
     "stored_profiles": "\nunion all ".join(
         f"""select 'orders' table_name, '{name}' column_name, count(*) "rows", count(*) - count({name}) nulls,
           {lowest} lowest, {highest} highest, count(distinct {name}) >= 0.95 * count({name}) looks_unique,

@@ -180,7 +180,7 @@ def asof_join(
     present = F.col(since).isNotNull()
     for key in on:
         present = present & F.col(key).isNotNull()
-    kinds = [F.col(name).cast(facts.schema[name].dataType).alias(name) for name in on]
+    kinds = [F.col(name).try_cast(facts.schema[name].dataType).alias(name) for name in on]
     begun = versions.filter(present).select(
         *kinds, F.col(since).cast(facts.schema[at].dataType).alias("_at"), F.lit(0).alias("_side"), F.struct(*columns).alias("_version")
     )

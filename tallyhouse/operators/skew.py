@@ -72,7 +72,8 @@ def salted_join(
     if sizes is None:
         # At most LISTED rows.
         hot = F.broadcast(heavy_hitters(fact, keys, hot_rows).withColumn("_hot", F.lit(True)))
-        match, helper = ["_hash"], F.xxhash64(*keys)
+        # Hashes differ by type, so the other side's keys are hashed as the fact's.
+        match, helper = ["_hash"], F.xxhash64(*[F.col(key).try_cast(fact.schema[key].dataType) for key in keys])
     else:
         # Spark broadcasts the list while it is small.
         hot = hot_keys(fact, keys, hot_rows, sizes).withColumn("_hot", F.lit(True))

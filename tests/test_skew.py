@@ -74,3 +74,14 @@ def test_rows_without_a_key_reach_many_tasks(spark, sides, how, kept):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert sum(row["count"] for row in tasks) == kept
     assert not kept or len(tasks) > 1
+
+
+@pytest.mark.parametrize("kinds", [("int", "long"), ("long", "int"), ("long", "decimal(12,2)"), ("string", "long")])
+@pytest.mark.parametrize("how", ["inner", "left_anti"])
+def test_keys_of_different_types_meet(spark, rows, kinds, how):
+    fact = spark.createDataFrame([(5 if n % 4 else n, n) for n in range(200)], "k long, v long").selectExpr(f"cast(k as {kinds[0]}) k", "v")
+    keyed = spark.range(0, 150, 2).unionByName(spark.createDataFrame([(5,)], "id long")).selectExpr(f"cast(id as {kinds[1]}) k", "id w")
+    plain = fact.join(keyed.withColumnRenamed("k", "o"), fact["k"] == F.col("o"), how)
+    expected = rows(plain.select("v", "w") if how == "inner" else plain.select("v"))
+    joined = salted_join(fact, keyed, "k", how, hot_rows=10)
+    assert rows(joined.select("v", "w") if how == "inner" else joined.select("v")) == expected
