@@ -148,7 +148,7 @@ def find_items(
     A null or empty text has no words. Null and wordless items have no windows;
     an item with a null item_id marks words but is not listed. Repeated
     rows give repeated results, repeated items count once. Empty tables give
-    empty results, or texts without hits. Other columns are ignored.
+    empty results, or texts without hits. A text of any length is scanned whole. Other columns are ignored.
     """
     shared = blocks(items, block_bytes)
     schema = T.StructType([documents.schema[c] for c in keep] + RESULT.fields)

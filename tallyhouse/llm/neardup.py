@@ -284,8 +284,8 @@ def near_duplicates(
     A text with fewer words than ``size`` has one shingle, all its words; without words,
     or null, it has none and is linked with nothing. Rows that repeat a doc_id
     count as one document with several texts: all of them get the same component.
-    A null doc_id keeps a null component and is kept. Other columns are
-    ignored. An empty table gives an empty result.
+    A null doc_id keeps a null component and is kept. A text of any length is shingled whole. Other columns are
+    ignored, whatever their names. An empty table gives an empty result.
     """
     known = stored(features(documents, size, coordinates), "near-duplicate-features")
     with_set = known.where("set_id is not null and doc_id is not null")

@@ -239,7 +239,8 @@ def write_token_files(
     Returns the stored list of files, ``part, file, n_documents, n_tokens, start``; ``start``
     is the number of ids in all files before. Rows that repeat a doc_id follow one another in the
     order of their text's hash; a null doc_id comes first. A null or empty text
-    has the end id alone. An empty table gives no file.
+    has the end id alone. A text of any length is encoded whole; a file's blocks are written as they fill. Other columns are
+    ignored. An empty table gives no file.
     """
     bits = bits_for(vocabulary_size)
     order = ["doc_id", F.xxhash64("text")]
