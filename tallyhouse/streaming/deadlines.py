@@ -7,10 +7,12 @@ its own moment. The batch twin :func:`due_by` gives the same rows from a whole t
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Row, Window
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
 
@@ -22,6 +24,13 @@ CONFIRM_MINUTES = 30
 SECOND = 1_000_000
 DECISION = "kind string, id bigint, decision string, at_micros bigint"
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+# Events that count, in the order of their names.
+EVENTS = ("confirmed", "failed", "placed", "touch")
+BUCKETS = 1024
+NEVER = np.iinfo(np.int64).max
+# How waiting events and the progress of ids lie in the state.
+WAITING = np.dtype([("id", "<i8"), ("at", "<i8"), ("event", "i1")])
+PROGRESS = np.dtype([("id", "<i8"), ("due", "<i8"), ("failures", "<i4"), ("settled", "?")])
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -69,67 +78,109 @@ class Progress:
         return found
 
 
+def _rows(chunks: Iterable[bytes], kind: np.dtype) -> np.ndarray:
+    return np.frombuffer(b"".join(chunks), kind)
+
+
 class Deadlines(StatefulProcessor):
-    """The state machine of one (kind, id): waiting events, progress, and a timer for what comes next."""
+    """The state machine of many ids of one kind: waiting events, progress, and a timer for what comes next.
+
+    A call to the state costs far more than an event, so the ids of a bucket share one entry of each state and one timer,
+    and every id still has a :class:`Progress` of its own.
+    """
 
     def __init__(self, terms: Terms):
         self.terms = terms
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", "event string, at_micros bigint")
-        self.progress = handle.getValueState("progress", "due bigint, failures int, settled boolean")
+        self.waiting = handle.getListState("waiting", "chunk binary")
+        self.progress = handle.getValueState("progress", "chunk binary")
 
     def _wake(self, micros: int) -> None:
         # Timers count milliseconds; the first one at or after the moment.
         self.handle.registerTimer(-(-micros // 1000))
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        events = [(row["event"], row["at_micros"]) for row in rows]
-        if events:
-            self.waiting.appendList(events)
-            self._wake(min(at for _, at in events))
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        first = None
+        for part in rows:
+            known = part[part["event"] >= 0]
+            if len(known):
+                chunk = np.empty(len(known), WAITING)
+                for name in WAITING.names:
+                    chunk[name] = known[name].to_numpy()
+                self.waiting.appendValue((chunk.tobytes(),))
+                first = min(int(chunk["at"].min()), first if first is not None else NEVER)
+        if first is not None:
+            self._wake(first)
         return iter(())
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        kind, number = key[0], key[1]
-        passed = timerValues.getCurrentWatermarkInMs() * 1000
-        waiting = [(event, at) for event, at in self.waiting.get()] if self.waiting.exists() else []
-        known = self.progress.get() if self.progress.exists() else None
-        now = Progress(*known) if known is not None else Progress()
+    def _take(self, known: np.ndarray, events: np.ndarray, kind: str, passed: int) -> tuple[np.ndarray, list[tuple[int, str, int]]]:
+        """Progress after ``events`` and the decisions due before ``passed``, id by id."""
+        # Ids with neither an event nor anything due stay as they are.
+        moved = np.isin(known["id"], events["id"]) | (known["due"] < passed)
+        now = {number: Progress(due if due != NEVER else None, failures, settled) for number, due, failures, settled in known[moved].tolist()}
         found = []
         # At one moment a confirmation still counts, and events are taken in the order of their names.
-        for event, at in sorted((e for e in waiting if e[1] <= passed), key=lambda e: (e[1], e[0])):
-            found += now.take(kind, event, at, self.terms)
-        found += now.due_until(passed, kind)
-        rest = [e for e in waiting if e[1] > passed]
-        if rest:
-            self.waiting.put(rest)
-        elif waiting:
-            self.waiting.clear()
-        self.progress.update((now.due, now.failures, now.settled))
-        following = [at for _, at in rest] + ([now.due] if now.due is not None else [])
-        if following:
+        for number, at, event in events[np.lexsort((events["event"], events["at"], events["id"]))].tolist():
+            if number not in now:
+                now[number] = Progress()
+            found += [(number, *decided) for decided in now[number].take(kind, EVENTS[event], at, self.terms)]
+        for number, state in now.items():
+            found += [(number, *decided) for decided in state.due_until(passed, kind)]
+        after = [(number, NEVER if p.due is None else p.due, p.failures, p.settled) for number, p in now.items()]
+        return np.concatenate([known[~moved], np.array(after, PROGRESS)]), found
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        kind, passed = key[0], timerValues.getCurrentWatermarkInMs() * 1000
+        waiting = _rows((chunk for (chunk,) in self.waiting.get()), WAITING)
+        stored = self.progress.get()
+        known = _rows(stored or (), PROGRESS)
+        over = waiting["at"] <= passed
+        rest = waiting[~over]
+        if over.any():
+            if len(rest):
+                self.waiting.put([(rest.tobytes(),)])
+            else:
+                self.waiting.clear()
+        found = []
+        if over.any() or (known["due"] < passed).any():
+            known, found = self._take(known, waiting[over], kind, passed)
+            self.progress.update((known.tobytes(),))
+        following = min([int(rows.min()) for rows in (rest["at"], known["due"]) if len(rows)], default=NEVER)
+        if following != NEVER:
             # Something due at the watermark itself is settled by the next one.
-            self._wake(max(min(following), passed + 1000))
-        for decision, at in found:
-            yield Row(kind=kind, id=number, decision=decision, at_micros=at)
+            self._wake(max(following, passed + 1000))
+        if found:
+            numbers, decisions, moments = zip(*found)
+            yield pd.DataFrame({"kind": kind, "id": numbers, "decision": decisions, "at_micros": moments})
 
     def close(self) -> None:
         pass
 
 
-def stream_deadlines(events: DataFrame, terms: Terms = Terms(), lateness: str = "1 day") -> DataFrame:
+def stream_deadlines(events: DataFrame, terms: Terms = Terms(), lateness: str = "1 day", buckets: int = BUCKETS) -> DataFrame:
     """``kind, id, decision, at`` as moments are passed, from events ``kind, id, event, created_at``.
 
     Kinds and events: order (placed, confirmed), delivery (failed), cart (touch). Other events are passed over, as are rows without
-    an id or a moment. Needs the state store that :func:`with_timers` sets.
+    an id or a moment. Ids share the state of ``buckets`` buckets of each kind; the number stays fixed as long as a checkpoint is
+    used. Needs the state store that :func:`with_timers` sets.
     """
     known = events.filter("id is not null and created_at is not null and kind is not null")
-    timed = known.select("kind", F.col("id").cast("bigint").alias("id"), "event", F.col("created_at").cast("timestamp").alias("created_at"))
-    marked = timed.withWatermark("created_at", lateness).withColumn("at_micros", F.unix_micros("created_at"))
-    decided = marked.groupBy("kind", "id").transformWithState(
-        statefulProcessor=Deadlines(terms), outputStructType=DECISION, outputMode="Append", timeMode="EventTime"
+    number = F.coalesce(F.array_position(F.array(*[F.lit(name) for name in EVENTS]), F.col("event")), F.lit(0)) - 1
+    timed = known.select(
+        "kind",
+        F.col("id").cast("bigint").alias("id"),
+        number.cast("tinyint").alias("event"),
+        F.col("created_at").cast("timestamp").alias("created_at"),
+    )
+    marked = timed.withWatermark("created_at", lateness).withColumn("at", F.unix_micros("created_at"))
+    decided = (
+        marked.withColumn("bucket", F.pmod(F.xxhash64("id"), F.lit(buckets)))
+        .groupBy("kind", "bucket")
+        .transformWithStateInPandas(
+            statefulProcessor=Deadlines(terms), outputStructType=DECISION, outputMode="Append", timeMode="EventTime"
+        )
     )
     return decided.select("kind", "id", "decision", F.timestamp_micros("at_micros").alias("at"))
 

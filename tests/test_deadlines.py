@@ -94,3 +94,16 @@ def test_progress_row_by_row():
     assert cart.take("cart", "touch", 70, terms) == [] and cart.take("cart", "touch", 200, terms) == [("expired", 140)]
     parcel = Progress()
     assert [parcel.take("delivery", "failed", t, terms) for t in (1, 2, 3, 4)] == [[], [], [("returned", 3)], []]
+
+
+def test_state_is_kept_by_bucket_and_not_by_id(spark, tmp_path):
+    folder, out = str(tmp_path / "in"), str(tmp_path / "out")
+    spark.range(20_000).selectExpr(
+        "'order' kind", "id", "'placed' event", "timestamp'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, id % 7) created_at"
+    ).unionByName(frame(spark, [("cart", 1, "touch", 3 * DAY)])).coalesce(1).write.parquet(folder)
+    with with_timers(spark):
+        query = write_stream(stream_deadlines(read_stream(spark, folder, DDL)), out, f"{out}-state")
+    query.awaitTermination()
+    found = spark.read.parquet(out)
+    assert found.count() == found.select("id").distinct().count() == 20_000
+    assert max(p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress) < 20_000
