@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import re
+
 import pytest
 
 from parity.queries import QUERIES, callables
 from tests.conftest import SMALL
+from tallyhouse.plans.marts import build
 
 
 def plan_of(df) -> str:
@@ -38,3 +41,9 @@ def test_dedupe_limits_before_the_shuffle(spark):
 def test_sums_combine_before_the_shuffle(spark):
     plan = plan_of(callables()["cart_analytics"](spark, SMALL))
     assert plan.index("Exchange hashpartitioning(channel") < plan.index("partial_sum")
+
+
+def test_returns_hold_nothing_per_order_and_product(retail):
+    plan = build("return_analysis", retail, "2001-08-02")._jdf.queryExecution().optimizedPlan().toString()
+    keys = re.findall(r"Aggregate \[([^\]]*)\]", plan)
+    assert keys and not [k for k in keys if "order_id" in k and "product_id" in k]
