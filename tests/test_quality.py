@@ -85,3 +85,22 @@ def test_declared_constraints_of_a_table(spark):
     customers = spark.createDataFrame([(1,)], "id long")
     found = {row.rule: row.failed for row in constraints.check_table({"cart": cart, "customers": customers}, "cart").collect()}
     assert found == {"unique(id)": 1, "reference(customer_id)": 1, "domain(status)": 1}
+
+
+def test_constraint_keys_of_whole_numbers_stay_numbers(spark, rows):
+    columns = "customer_id long, product_id int, order_id string"
+    wishlist = spark.createDataFrame([(1, 12, None), (11, 2, None), (1, 12, None), (None, 2, None), (1, None, None)], columns)
+    cart = spark.createDataFrame([(1, None, "7"), (2, None, "07")], columns).withColumn("id", F.lit(5).cast("smallint"))
+    tables = {
+        "wishlist": wishlist,
+        "cart": cart,
+        "customers": spark.createDataFrame([(1,), (3,)], "id int"),
+        "orders": spark.createDataFrame([(7,)], "id long"),
+    }
+    made = constraints.check_all(tables, ["wishlist", "cart"])
+    assert rows(made, "table_name", "rule", "checked", "failed") == [
+        ("cart", "reference(customer_id)", 2, 1), ("cart", "reference(order_id)", 2, 1), ("cart", "unique(id)", 2, 1),
+        ("wishlist", "reference(customer_id)", 4, 1), ("wishlist", "unique(customer_id,product_id)", 3, 1)]
+    numbers = constraints.check_all({"customers": tables["customers"]}, ["customers"])
+    plan = numbers._jdf.queryExecution().optimizedPlan().toString()
+    assert "as string)" not in plan and "lambda" not in plan
