@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -130,3 +131,64 @@ def test_the_whole_previous_token_is_the_context(spark):
     for blocks in (1, 5):
         found = by(pylm.language_model_scores(df, F.col("doc_id") < 500, blocks=blocks).collect())
         assert found[500]["score"] - found[501]["score"] > 1.2
+
+
+@pytest.mark.parametrize(("n", "d", "others", "base"), [(2, 0.7, 5, 0.2), (800, 0.5, 20, 0.3), (800, 0.9, 1e4, 0.01), (1024, 0.8, 1e5, 0.02)])
+def test_tables_of_many_customers_follow_the_exact_distribution(n, d, others, base):
+    """By a forward pass over the customers; three seatings one by one gave 27.5 tables in place of 10.8 in the second case."""
+    weights = np.zeros(n + 1)
+    weights[1] = 1.0
+    for seated in range(1, n):
+        t = np.arange(n + 1)
+        following = weights * np.maximum(seated - d * t, 0)
+        following[1:] += (weights * (1.0 + d * (others + t)) * base)[:-1]
+        weights = following / following.max()
+    weights /= weights.sum()
+    mean = (weights * np.arange(n + 1)).sum()
+    deviation = math.sqrt((weights * (np.arange(n + 1) - mean) ** 2).sum())
+    many = 4000
+    drawn = pylm.seated(np.full(many, n), d, 1.0, np.full(many, others), np.full(many, base), np.random.default_rng(7))
+    assert abs(drawn.mean() - mean) < 5 * deviation / math.sqrt(many)
+    assert drawn.std() == pytest.approx(deviation, rel=0.08)
+
+
+def test_dishes_are_stored_once_and_shuffles_removed(spark, monkeypatch, tmp_path):
+    """Generations of seatings name the file of the dishes; the setting that removes shuffle files is put back."""
+    monkeypatch.setattr("tallyhouse.llm.common.checkpoint_dir", lambda _: f"file://{tmp_path}")
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, seen = spark.conf.get(setting, None), []
+    plain = pylm.stored
+    monkeypatch.setattr(pylm, "stored", lambda df, name: (seen.append(spark.conf.get(setting)), plain(df, name))[1])
+    found = pylm.language_model_scores(spark.read.parquet(f"{SMALL}/documents.parquet"), F.col("doc_id") % 5 != 1, blocks=3)
+    assert found.count() == len(whole("documents"))
+    assert seen == ["true"] * 3 and spark.conf.get(setting, None) == before
+    size = Counter()
+    for path in tmp_path.rglob("*"):
+        if path.is_file():
+            size[path.relative_to(tmp_path).parts[0].rsplit("-", 1)[0]] += path.stat().st_size
+    assert size["language-model-blocks"] + size["language-model-counts"] < size["language-model-files"]
+
+
+def test_a_block_scores_its_own_dishes_as_any_others(spark):
+    df = documents(spark, [(k, f"a b{k % 4} c{k % 9} a") for k in range(90)] + [(90, "c1 b2 new b3")])
+    counts = pylm.counted(df, 1, F.col("doc_id") < 90)
+    (start,), n = pylm.summed(counts)
+    blocks = pylm.sampled(counts, start, 2, 2, seed=4)
+    totals, _ = pylm.summed(blocks, 2, start.discounts)
+    (row,) = blocks.collect()
+    model = pylm.Model(row.dishes, row.tables, totals, n)
+    every = pylm.Dishes.unpacked(pylm.read(row.dishes))
+    for own, asked in zip(model.own(), model.score(every)):
+        assert own == pytest.approx(asked)
+    assert (every.count == 0).any()
+
+
+@pytest.mark.parametrize("kind", [pa.string(), pa.large_string()])
+def test_words_of_stretches_are_those_of_plain_splitting(kind):
+    texts = ["a b", "  C\tD\x0b\x0ce \r\n", None, "", " ", "é\x1cz \xa0x 漢 Ünd"] * 700 + ["w " * 3_000_000]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(len(texts))), "text": pa.array(texts, kind), "learn": [True] * len(texts)})
+    stretches = list(pylm.stretches_of([batch.slice(3, 2000), batch.slice(2003)]))
+    words = [[*(t or "").encode().lower().split()] for t in texts[3:]]
+    assert [w for s in stretches for a in s.words for w in a.cast(pa.large_binary()).to_pylist()] == [w for text in words for w in text]
+    assert [n for s in stretches for n in s.sizes()] == [len(text) + 1 for text in words]
+    assert [d for s in stretches for d in s.documents] == list(range(3, len(texts)))
