@@ -140,3 +140,74 @@ def test_repeated_rows_null_ids_and_empty_tables(spark, libraries):
     assert found == sorted([(d, t) for (d, _), t in zip(rows, theirs)], key=repr)
     assert alignment.align_tokenizers(df.limit(0)).collect() == []
     assert sorted(got(alignment.align_tokenizers(documents(spark, [(1, None), (2, "")])))) == [(d, (0, 0, 0, 0, 0, 0, "")) for d in (1, 2)]
+
+
+SPACES = [" ", "  ", "\n", " \n", "\n ", "\t ", "\r\n", "\x1c ", "\x85", "\xa0 ", "　 ", "​ "]
+
+
+def spaced(draw, words):
+    return "".join(draw.choice([*words, *SPACES, " ", " ", " "]) for _ in range(draw.randrange(1, 30)))
+
+
+def test_runs_have_the_ids_of_the_text():
+    one, other = alignment.sides(alignment.RANKS, alignment.PIECES)
+    assert other.merges_stay_in_runs
+    draw = random.Random(8)
+    texts = [t for t in ODD if t and "▁" not in t] + [spaced(draw, ["word", "two,", "() {\r", "'s", "12", "é", "北京", "🙂", "x.\ny"]) for _ in range(2000)]
+    for text in texts:
+        runs = alignment.runs_of(text, other)
+        assert " ".join(runs) == text
+        for side in (one, other):
+            assert np.concatenate([side.encode(r) for r in runs]).tolist() == side.encode(text).tolist()
+
+
+def test_texts_with_odd_white_space_and_runs_that_do_not_spell(spark, libraries):
+    draw = random.Random(9)
+    texts = [spaced(draw, ["same", "the", "end.", "▁" if k % 7 == 0 else "no", "a▁b" if k % 11 == 0 else "é"]) for k in range(300)]
+    found = sorted(got(alignment.align_tokenizers(documents(spark, list(enumerate(texts))))))
+    theirs = expected(texts, libraries)
+    assert {t[6] == "" for t in theirs} == {True, False}
+    for (_, ours), other in zip(found, theirs, strict=True):
+        same(ours, other)
+
+
+class Counted:
+    def __init__(self, side):
+        self.side, self.characters = side, 0
+
+    def __getattr__(self, name):
+        return getattr(self.side, name)
+
+    def encode(self, text):
+        self.characters += len(text)
+        return self.side.encode(text)
+
+
+def test_a_block_encodes_repeated_runs_once(spark, tmp_path, monkeypatch):
+    draw = random.Random(10)
+    words = ["".join(draw.choices("abcdefgh", k=6)) for _ in range(50)]
+    texts = [" ".join(draw.choices(words, k=40)) for _ in range(100)]
+    counted = [Counted(side) for side in alignment.sides(alignment.RANKS, alignment.PIECES)]
+    monkeypatch.setattr(alignment, "sides", lambda *_: counted)
+    monkeypatch.setattr(alignment, "stored", lambda found, _: found)
+    monkeypatch.setattr(alignment, "map_columns", lambda df, schema, work: list(work(iter([{"doc_id": list(range(100)), "text": texts}]))))
+    folder = tmp_path.as_uri()
+    blocks = alignment.aligned_blocks(documents(spark, []), folder, alignment.RANKS, alignment.PIECES, alignment.BLOCK_BYTES)
+    assert len(blocks) == 1
+    for side in counted:
+        assert side.characters < 2 * sum(map(len, words)) < sum(map(len, texts)) / 10
+
+
+def test_pieces_that_reach_over_spaces_take_texts_whole(monkeypatch):
+    one, other = alignment.sides(alignment.RANKS, alignment.PIECES)
+    texts = ["two words here", "end \n", "▁ no", "x.\ny  z"]
+    cut = [alignment.Runs(one, other, alignment.runs_of(t, other)) for t in texts]
+    monkeypatch.setattr(other, "merges_stay_in_runs", False)
+    assert [alignment.runs_of(t, other) for t in texts] == [[t] for t in texts]
+    entire = alignment.Runs(one, other, texts)
+    assert entire.spelled.tolist() == [True, True, False, True]
+    for k, runs in enumerate(cut):
+        if k != 2:
+            assert {c: v[k] for c, v in entire.counts.items()} == {c: v.sum() for c, v in runs.counts.items()}
+            assert entire.groups[k] == b";".join(runs.groups)
+            assert sorted(entire.pairs[entire.place[entire.of == k]]) == sorted(runs.pairs[runs.place])
